@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyworks.operators.skew import heavy_keys
+from tallyworks.operators.skew import heavy_keys, small_side
 
 # A list longer than this is split over several rows of the same key.
 MAX_LIST = 1_000_000
@@ -29,64 +29,70 @@ def cogroup(
     few rows per key by construction, such as one sum per key, whose list lengths
     need no look.
     """
-    hot = _hot_parts(sides, key, max_list, short)
+    # A struct around the key makes NULL keys equal, without losing the partitioning by key.
+    wrapped = {name: df.select(F.struct(key).alias("group"), _value(df, key)) for name, df in sides.items()}
+    hot = _hot_parts(wrapped, max_list, short)
     if hot is None:
-        return _outer({name: _whole_lists(df, key, name) for name, df in sides.items()}, key)
-    cold = {name: _whole_lists(df.join(hot, key, "left_anti"), key, name) for name, df in sides.items()}
-    split = {name: _split_lists(df.join(hot, key), key, name, max_list) for name, df in sides.items()}
-    return _outer(cold, key).unionByName(_outer(split, key))
+        grouped = _outer({name: _whole_lists(df, name) for name, df in wrapped.items()})
+    else:
+        cold = {name: _whole_lists(df.join(hot, "group", "left_anti"), name) for name, df in wrapped.items()}
+        split = {name: _split_lists(df.join(hot, "group"), name, max_list) for name, df in wrapped.items()}
+        grouped = _outer(cold).unionByName(_outer(split))
+    return grouped.select(F.col(f"group.{key}").alias(key), "part", *sides)
 
 
-def _hot_parts(sides, key, max_list, short) -> DataFrame | None:
+def _value(df: DataFrame, key: str) -> Column:
+    rest = [c for c in df.columns if c != key]
+    if len(rest) != 1:
+        raise ValueError(f"a co-group input has the key and one value column, not {df.columns}")
+    return F.col(rest[0]).alias("value")
+
+
+def _hot_parts(sides, max_list, short) -> DataFrame | None:
     """Keys with a list that is too long, and the number of parts they need."""
-    found = []
-    for name, df in sides.items():
-        if name not in short:
-            heavy = heavy_keys(df.select(key), [key], max_list)
-            if heavy is not None:
-                found.append(heavy)
-    if not found:
+    looked_at = [
+        df.where(F.col("value").isNotNull()).select("group", F.lit(name).alias("side"))
+        for name, df in sides.items()
+        if name not in short
+    ]
+    if not looked_at:
+        return None
+    heavy = heavy_keys(reduce(DataFrame.unionByName, looked_at), ["group", "side"], max_list)
+    if heavy is None:
         return None
-    longest = reduce(DataFrame.unionByName, found).groupBy(key).agg(F.max("key_rows").alias("longest"))
+    longest = heavy.groupBy("group").agg(F.max("key_rows").alias("longest"))
     # Values spread over the parts by hash, so parts aim at half the allowed length.
-    return longest.select(key, F.ceil(F.col("longest") * 2 / max_list).alias("parts"))
-
-
-def _value(df: DataFrame, key: str) -> str:
-    rest = [c for c in df.columns if c not in (key, "parts")]
-    if len(rest) != 1:
-        raise ValueError(f"a co-group input has the key and one value column, not {df.columns}")
-    return rest[0]
+    return small_side(longest.select("group", F.ceil(F.col("longest") * 2 / max_list).alias("parts")))
 
 
-def _whole_lists(df: DataFrame, key: str, name: str) -> DataFrame:
-    values = F.array_sort(F.collect_list(_value(df, key)))
-    return df.groupBy(key).agg(values.alias(name)).withColumn("part", F.lit(0).cast("bigint"))
+def _whole_lists(df: DataFrame, name: str) -> DataFrame:
+    values = F.array_sort(F.collect_list("value"))
+    return df.groupBy("group").agg(values.alias(name)).withColumn("part", F.lit(0).cast("bigint"))
 
 
-def _split_lists(df: DataFrame, key: str, name: str, max_list: int) -> DataFrame:
+def _split_lists(df: DataFrame, name: str, max_list: int) -> DataFrame:
     """Lists of hot keys in parts.
 
     Copies of one value collapse to a count before they move; a count too large
     for one list is cut into runs. Value and run number choose the part.
     """
-    value = _value(df, key)
     run_length = max(1, max_list // 8)
-    copies = df.where(F.col(value).isNotNull()).groupBy(key, "parts", value).agg(F.count(F.lit(1)).alias("copies"))
+    present = df.where(F.col("value").isNotNull())
+    copies = present.groupBy("group", "parts", "value").agg(F.count(F.lit(1)).alias("copies"))
     runs = copies.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / run_length))))
     length = F.least(F.lit(run_length), F.col("copies") - F.col("run") * run_length).cast("int")
     placed = runs.select(
-        key,
-        F.pmod(F.xxhash64(value, "run"), F.col("parts")).alias("part"),
-        F.array_repeat(value, length).alias("run_values"),
+        "group",
+        F.pmod(F.xxhash64("value", "run"), F.col("parts")).alias("part"),
+        F.array_repeat("value", length).alias("copied"),
     )
-    return placed.groupBy(key, "part").agg(F.array_sort(F.flatten(F.collect_list("run_values"))).alias(name))
+    return placed.groupBy("group", "part").agg(F.array_sort(F.flatten(F.collect_list("copied"))).alias(name))
 
 
-def _outer(lists: Mapping[str, DataFrame], key: str) -> DataFrame:
-    joined = reduce(lambda left, right: left.join(right, [key, "part"], "full_outer"), lists.values())
+def _outer(lists: Mapping[str, DataFrame]) -> DataFrame:
+    joined = reduce(lambda left, right: left.join(right, ["group", "part"], "full_outer"), lists.values())
     columns = []
     for name, df in lists.items():
         empty = F.array().cast(df.schema[name].dataType)
         columns.append(F.coalesce(F.col(name), empty).alias(name))
-    return joined.select(key, "part", *columns)
+    return joined.select("group", "part", *columns)

@@ -6,11 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyworks.functions.values import exact
+from tallyworks.functions.values import exact_sum
 
 
-def keyed_sum(df: DataFrame, keys: Sequence[str], value: Column, name: str = "total") -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(value).alias(name))
+def sum_of(value: Column, scale: int | None = None) -> Column:
+    """Sum as an aggregate expression. With a scale it is exact, hence the same for every partitioning."""
+    return F.sum(value) if scale is None else exact_sum(value, scale)
+
+
+def keyed_sum(
+    df: DataFrame, keys: Sequence[str], value: Column, name: str = "total", scale: int | None = None
+) -> DataFrame:
+    return df.groupBy(*keys).agg(sum_of(value, scale).alias(name))
 
 
 def keyed_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
@@ -18,15 +25,11 @@ def keyed_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFram
 
 
 def mean_of(value: Column, scale: int | None = None) -> Column:
-    """Mean as an aggregate expression; NaN when there is no value.
-
-    With a scale the sum is taken over decimals, so the mean is the same for
-    every partitioning.
-    """
+    """Mean as an aggregate expression; NaN when there is no value. A scale makes its sum exact."""
     if scale is None:
         mean = F.avg(value)
     else:
-        mean = F.try_divide(F.sum(exact(value, scale)).cast("double"), F.count(value))
+        mean = F.try_divide(exact_sum(value, scale).cast("double"), F.count(value))
     return F.coalesce(mean, F.lit(float("nan")))
 
 

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyworks.functions.values import exact
+from tallyworks.functions.values import from_units, units
+from tallyworks.operators.keyed import sum_of
 
 
 def interval(microseconds: int) -> str:
@@ -14,13 +15,19 @@ def interval(microseconds: int) -> str:
 
 
 def tumbling_sum(
-    df: DataFrame, keys: Sequence[str], time: str, width: str, value: Column, name: str = "total"
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    width: str,
+    value: Column,
+    name: str = "total",
+    scale: int | None = None,
 ) -> DataFrame:
     """Sum and row count per key and fixed window, windows starting at the epoch."""
     window = F.window(time, width)
     return (
         df.groupBy(*keys, window.alias("win"))
-        .agg(F.sum(value).alias(name), F.count(F.lit(1)).alias("n"))
+        .agg(sum_of(value, scale).alias(name), F.count(F.lit(1)).alias("n"))
         .select(*keys, F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), name, "n")
     )
 
@@ -49,7 +56,7 @@ def session_mean(
     slots = df.groupBy(*keys, F.window(time, interval(gap_us)).alias("slot")).agg(
         F.min(time).alias("first_seen"),
         F.max(time).alias("last_seen"),
-        F.sum(exact(value, scale)).alias("slot_total"),
+        F.sum(units(value, scale)).alias("slot_total"),
         F.count(value).alias("slot_values"),
         F.count(F.lit(1)).alias("slot_rows"),
     )
@@ -65,7 +72,7 @@ def session_mean(
         F.sum("slot_values").alias("counted"),
         F.sum("slot_rows").alias("n"),
     )
-    mean = F.try_divide(F.col("total").cast("double"), F.col("counted"))
+    mean = F.try_divide(from_units(F.col("total"), scale), F.col("counted"))
     return merged.select(
         *keys,
         "session_start",

@@ -41,7 +41,7 @@ def profit_windows(sales: DataFrame, time: str = "sold_at", width: str = WINDOW)
 def profit_window_stream(
     sales: DataFrame, time: str = "sold_at", width: str = WINDOW, delay: str = NO_DELAY
 ) -> DataFrame:
-    return tumbling_stream(profits(sales), ["store_id"], time, width, F.col("profit"), "profit", delay)
+    return tumbling_stream(profits(sales), ["store_id"], time, width, F.col("profit"), "profit", delay=delay)
 
 
 def pane_line() -> Column:

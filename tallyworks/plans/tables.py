@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyworks.functions import scoring, text, values
-from tallyworks.functions.values import exact
+from tallyworks.functions.values import units
 from tallyworks.operators import keyed, panes, rows, windows
 from tallyworks.operators.cogroup import cogroup
 from tallyworks.operators.periods import missed_periods
@@ -43,16 +43,15 @@ def attendance_count(spark: SparkSession, folder: str) -> DataFrame:
 
 def sum_per_key(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = table(spark, folder, "lineitem")
-    sums = keyed.keyed_sum(lineitem, ["l_suppkey"], exact(F.col("l_extendedprice")))
+    sums = keyed.keyed_sum(lineitem, ["l_suppkey"], F.col("l_extendedprice"), scale=2)
     return sums.withColumn("total", F.col("total").cast("double"))
 
 
 def membership_profit(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = table(spark, folder, "lineitem")
     chosen = lineitem.where(text.strip(F.col("l_returnflag")).isin("A", "R") & F.col("l_extendedprice").isNotNull())
-    price, discount, quantity = (exact(F.col(c)) for c in ("l_extendedprice", "l_discount", "l_quantity"))
-    profit = (price * (1 - discount)).cast("decimal(24,4)") - quantity
-    sums = keyed.keyed_sum(chosen, ["l_suppkey"], profit, "profit")
+    profit = F.col("l_extendedprice") * (1 - F.col("l_discount")) - F.col("l_quantity")
+    sums = keyed.keyed_sum(chosen, ["l_suppkey"], profit, "profit", scale=4)
     return sums.withColumn("profit", F.col("profit").cast("double"))
 
 
@@ -273,7 +272,7 @@ def weapon_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 def tumbling_sum(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
-    sums = windows.tumbling_sum(events, ["event_type"], "ts", "1 hour", exact(F.col("value")))
+    sums = windows.tumbling_sum(events, ["event_type"], "ts", "1 hour", F.col("value"), scale=2)
     return sums.withColumn("total", F.col("total").cast("double"))
 
 
@@ -282,17 +281,17 @@ def session_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _double_total(df: DataFrame) -> DataFrame:
-    return df.withColumn("total", F.col("total").cast("double"))
+    return df.withColumn("total", values.from_units(F.col("total")))
 
 
 def pane_discarding(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("user_id", "event_id", "value")
-    return _double_total(panes.discarding_panes(events, ["user_id"], "event_id", exact(F.col("value")), 5))
+    return _double_total(panes.discarding_panes(events, ["user_id"], "event_id", units(F.col("value")), 5))
 
 
 def pane_accumulating(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("user_id", "event_id", "value")
-    return _double_total(panes.accumulating_panes(events, ["user_id"], "event_id", exact(F.col("value")), 2))
+    return _double_total(panes.accumulating_panes(events, ["user_id"], "event_id", units(F.col("value")), 2))
 
 
 def player_team_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -342,14 +341,13 @@ def _windowed(spark: SparkSession, events: DataFrame, label: str, transform) ->
 
 
 def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
-    total = exact(F.col("value"))
     sums = _windowed(
         spark,
         _zoned_events(spark, folder),
         "tumbling",
-        lambda s: stream_windows.tumbling_stream(s, ["event_type"], "ts", "1 hour", total),
+        lambda s: stream_windows.tumbling_stream(s, ["event_type"], "ts", "1 hour", F.col("value"), scale=2),
     )
-    return _double_total(_unzoned(sums, "window_start", "window_end"))
+    return _unzoned(sums, "window_start", "window_end").withColumn("total", F.col("total").cast("double"))
 
 
 def stream_session(spark: SparkSession, folder: str) -> DataFrame:
@@ -368,7 +366,7 @@ def _pane_results(spark: SparkSession, folder: str, label: str, starter, n: int)
 
     def start(stream: DataFrame):
         return starter(
-            stream, ["user_id"], "event_id", exact(F.col("value")), n, f"{base}/out", f"{base}/checkpoint"
+            stream, ["user_id"], "event_id", units(F.col("value")), n, f"{base}/out", f"{base}/checkpoint"
         )
 
     _replayed(spark, events, base, start)
@@ -377,7 +375,7 @@ def _pane_results(spark: SparkSession, folder: str, label: str, starter, n: int)
             events.schema["user_id"],
             T.StructField("pane", T.LongType()),
             T.StructField("n", T.LongType()),
-            T.StructField("total", T.DecimalType(38, 2)),
+            T.StructField("total", T.LongType()),
         ]
     )
     return _double_total(stream_panes.read_results(spark, f"{base}/out", schema))

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyworks.functions.values import exact
+from tallyworks.functions.values import from_units, units
+from tallyworks.operators.keyed import sum_of
 from tallyworks.operators.windows import interval
 
 NO_DELAY = "0 seconds"
@@ -23,13 +24,14 @@ def tumbling_stream(
     width: str,
     value: Column,
     name: str = "total",
+    scale: int | None = None,
     delay: str = NO_DELAY,
 ) -> DataFrame:
     """Sum and row count per key and fixed window. Partial sums are built before the shuffle."""
     return (
         stream.withWatermark(time, delay)
         .groupBy(*keys, F.window(time, width).alias("win"))
-        .agg(F.sum(value).alias(name), F.count(F.lit(1)).alias("n"))
+        .agg(sum_of(value, scale).alias(name), F.count(F.lit(1)).alias("n"))
         .select(*keys, F.col("win.start").alias("window_start"), F.col("win.end").alias("window_end"), name, "n")
     )
 
@@ -56,9 +58,9 @@ def session_stream(
     session = F.session_window(time, interval(gap_us - shorter))
     grouped = stream.withWatermark(time, delay).groupBy(*keys, session.alias("session"))
     merged = grouped.agg(
-        F.sum(exact(value, scale)).alias("total"), F.count(value).alias("counted"), F.count(F.lit(1)).alias("n")
+        F.sum(units(value, scale)).alias("total"), F.count(value).alias("counted"), F.count(F.lit(1)).alias("n")
     )
-    mean = F.try_divide(F.col("total").cast("double"), F.col("counted"))
+    mean = F.try_divide(from_units(F.col("total"), scale), F.col("counted"))
     end = F.col("session.end") + F.expr(f"INTERVAL '{shorter / 1_000_000:.6f}' SECOND")
     return merged.select(
         *keys,
