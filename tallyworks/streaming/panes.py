@@ -25,15 +25,8 @@ from tallyworks.streaming.control import triggered
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame, DataFrame | None]]
 
 
-def run_steps(
-    stream: DataFrame,
-    step: Step,
-    state_schema: T.StructType,
-    out: str,
-    checkpoint: str,
-    continuous: str | None = None,
-) -> StreamingQuery:
-    """Start a query that passes every micro-batch and the carried state through ``step``."""
+def batch_writer(step: Step, state_schema: T.StructType, out: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """The function that takes each micro-batch: it writes the results and the carried state."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -49,6 +42,19 @@ def run_steps(
         if shared is not None:
             shared.unpersist()
 
+    return on_batch
+
+
+def run_steps(
+    stream: DataFrame,
+    step: Step,
+    state_schema: T.StructType,
+    out: str,
+    checkpoint: str,
+    continuous: str | None = None,
+) -> StreamingQuery:
+    """Start a query that passes every micro-batch and the carried state through ``step``."""
+    on_batch = batch_writer(step, state_schema, out, checkpoint)
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return triggered(writer, continuous).start()
 
