@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyworks.operators.skew import heavy_keys, small_side
 
@@ -28,71 +28,73 @@ def cogroup(
     parts, which together hold every value. ``short`` names the inputs that have
     few rows per key by construction, such as one sum per key, whose list lengths
     need no look.
+
+    The inputs are stacked, each with its value in its own column, and grouped
+    once: one shuffle and no join, and keys of any input and NULL keys stay in.
     """
-    # A struct around the key makes NULL keys equal, without losing the partitioning by key.
-    wrapped = {name: df.select(F.struct(key).alias("group"), _value(df, key)) for name, df in sides.items()}
-    hot = _hot_parts(wrapped, max_list, short)
+    stacked = _stack(sides, key)
+    hot = _hot_parts(sides, key, max_list, short)
     if hot is None:
-        grouped = _outer({name: _whole_lists(df, name) for name, df in wrapped.items()})
-    else:
-        cold = {name: _whole_lists(df.join(hot, "group", "left_anti"), name) for name, df in wrapped.items()}
-        split = {name: _split_lists(df.join(hot, "group"), name, max_list) for name, df in wrapped.items()}
-        grouped = _outer(cold).unionByName(_outer(split))
-    return grouped.select(F.col(f"group.{key}").alias(key), "part", *sides)
-
-
-def _value(df: DataFrame, key: str) -> Column:
-    rest = [c for c in df.columns if c != key]
-    if len(rest) != 1:
-        raise ValueError(f"a co-group input has the key and one value column, not {df.columns}")
-    return F.col(rest[0]).alias("value")
-
-
-def _hot_parts(sides, max_list, short) -> DataFrame | None:
+        return _lists(stacked, key, sides).select(key, F.lit(0).cast("bigint").alias("part"), *sides)
+    same = F.col(key).eqNullSafe(F.col("hot_key"))
+    cold = _lists(stacked.join(hot, same, "left_anti"), key, sides)
+    cold = cold.select(key, F.lit(0).cast("bigint").alias("part"), *sides)
+    return cold.unionByName(_split_lists(stacked.join(hot, same).drop("hot_key"), key, sides, max_list))
+
+
+def _stack(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """All inputs in one: the key and a value column per input, NULL in the rows of the others."""
+    values = {}
+    for name, df in sides.items():
+        rest = [c for c in df.columns if c != key]
+        if len(rest) != 1:
+            raise ValueError(f"a co-group input has the key and one value column, not {df.columns}")
+        values[name] = rest[0]
+    kinds = {name: df.schema[values[name]].dataType for name, df in sides.items()}
+    parts = []
+    for name, df in sides.items():
+        own = F.col(values[name])
+        parts.append(df.select(key, *[(own if n == name else F.lit(None).cast(kinds[n])).alias(n) for n in sides]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _lists(stacked: DataFrame, key: str, sides: Mapping[str, DataFrame]) -> DataFrame:
+    return stacked.groupBy(key).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in sides])
+
+
+def _hot_parts(sides: Mapping[str, DataFrame], key: str, max_list: int, short: tuple[str, ...]) -> DataFrame | None:
     """Keys with a list that is too long, and the number of parts they need."""
-    looked_at = [
-        df.where(F.col("value").isNotNull()).select("group", F.lit(name).alias("side"))
-        for name, df in sides.items()
-        if name not in short
-    ]
+    looked_at = []
+    for name, df in sides.items():
+        if name not in short:
+            (value,) = [c for c in df.columns if c != key]
+            looked_at.append(df.where(F.col(value).isNotNull()).select(key, F.lit(name).alias("side")))
     if not looked_at:
         return None
-    heavy = heavy_keys(reduce(DataFrame.unionByName, looked_at), ["group", "side"], max_list)
+    heavy = heavy_keys(reduce(DataFrame.unionByName, looked_at), [key, "side"], max_list)
     if heavy is None:
         return None
-    longest = heavy.groupBy("group").agg(F.max("key_rows").alias("longest"))
+    longest = heavy.groupBy(key).agg(F.max("key_rows").alias("longest"))
     # Values spread over the parts by hash, so parts aim at half the allowed length.
-    return small_side(longest.select("group", F.ceil(F.col("longest") * 2 / max_list).alias("parts")))
+    parts = F.ceil(F.col("longest") * 2 / max_list).alias("parts")
+    return small_side(longest.select(F.col(key).alias("hot_key"), parts))
 
 
-def _whole_lists(df: DataFrame, name: str) -> DataFrame:
-    values = F.array_sort(F.collect_list("value"))
-    return df.groupBy("group").agg(values.alias(name)).withColumn("part", F.lit(0).cast("bigint"))
-
-
-def _split_lists(df: DataFrame, name: str, max_list: int) -> DataFrame:
+def _split_lists(stacked: DataFrame, key: str, sides: Mapping[str, DataFrame], max_list: int) -> DataFrame:
     """Lists of hot keys in parts.
 
     Copies of one value collapse to a count before they move; a count too large
     for one list is cut into runs. Value and run number choose the part.
     """
     run_length = max(1, max_list // 8)
-    present = df.where(F.col("value").isNotNull())
-    copies = present.groupBy("group", "parts", "value").agg(F.count(F.lit(1)).alias("copies"))
+    present = stacked.where(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in sides]))
+    copies = present.groupBy(key, "parts", *sides).agg(F.count(F.lit(1)).alias("copies"))
     runs = copies.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / run_length))))
     length = F.least(F.lit(run_length), F.col("copies") - F.col("run") * run_length).cast("int")
     placed = runs.select(
-        "group",
-        F.pmod(F.xxhash64("value", "run"), F.col("parts")).alias("part"),
-        F.array_repeat("value", length).alias("copied"),
+        key,
+        F.pmod(F.xxhash64(*sides, "run"), F.col("parts")).alias("part"),
+        *[F.when(F.col(n).isNotNull(), F.array_repeat(n, length)).alias(n) for n in sides],
     )
-    return placed.groupBy("group", "part").agg(F.array_sort(F.flatten(F.collect_list("copied"))).alias(name))
-
-
-def _outer(lists: Mapping[str, DataFrame]) -> DataFrame:
-    joined = reduce(lambda left, right: left.join(right, ["group", "part"], "full_outer"), lists.values())
-    columns = []
-    for name, df in lists.items():
-        empty = F.array().cast(df.schema[name].dataType)
-        columns.append(F.coalesce(F.col(name), empty).alias(name))
-    return joined.select("group", "part", *columns)
+    merged = [F.array_sort(F.flatten(F.collect_list(n))).alias(n) for n in sides]
+    return placed.groupBy(key, "part").agg(*merged)

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyworks.operators.skew import heavy_keys
+from tallyworks.operators.skew import GROUP_ROWS, heavy_keys
 
-# Rows of one key that are sorted in one group. A hot key is cut into slots of this width.
-SLOT_ROWS = 1_000_000
+# A key with more rows than this is cut into slots of this width.
+SLOT_ROWS = GROUP_ROWS
 # Scores of one key that are written by one task.
 BLOCK_PANES = 1_000_000
 
@@ -138,7 +138,12 @@ def fired_scores(counts: DataFrame, keys: Sequence[str], n: int, block: int = BL
     return spread.select(*keys, F.explode(steps).alias("step")).select(*keys, (F.col("step") * n).alias("score"))
 
 
-def running_scores(df: DataFrame, keys: Sequence[str], n: int, block: int = BLOCK_PANES) -> DataFrame:
-    """Running count of a key after every n rows: n, 2n, 3n and so on."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("seen"))
+def running_scores(
+    df: DataFrame, keys: Sequence[str], n: int, added: str | None = None, block: int = BLOCK_PANES
+) -> DataFrame:
+    """Running count of a key after every n rows: n, 2n, 3n and so on.
+
+    ``added`` is a column with the number of rows that a row stands for.
+    """
+    counts = df.groupBy(*keys).agg((F.count(F.lit(1)) if added is None else F.sum(added)).alias("seen"))
     return fired_scores(counts.withColumn("seen_before", F.lit(0).cast("bigint")), keys, n, block)

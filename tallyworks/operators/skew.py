@@ -11,6 +11,8 @@ from tallyworks.session import work_folder
 # Most rows that may be sent to every executor. The tables broadcast here hold
 # keys and counts, so this stays at some tens of megabytes.
 BROADCAST_ROWS = 200_000
+# Most rows of one key that are put into one group to be sorted there.
+GROUP_ROWS = 1_000_000
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

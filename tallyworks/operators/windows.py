@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyworks.functions.values import from_units, units
 from tallyworks.operators.keyed import sum_of
+from tallyworks.operators.skew import GROUP_ROWS, heavy_keys
 
 
 def interval(microseconds: int) -> str:
     return f"{microseconds} microseconds"
 
 
+def seconds(microseconds: int) -> Column:
+    return F.expr(f"INTERVAL '{microseconds / 1_000_000:.6f}' SECOND")
+
+
 def tumbling_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -41,6 +46,7 @@ def session_mean(
     name: str = "mean",
     scale: int = 2,
     inclusive: bool = False,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Mean and row count per key and session.
 
@@ -48,11 +54,60 @@ def session_mean(
     one; with ``inclusive`` an event exactly one gap later still belongs to it.
     ``session_end`` is the last event plus the gap.
 
-    Events of one key in the same gap-wide slot of time always share a session.
-    They are summed up per slot first, with map-side combine, so a key moves at
-    most one row per slot, however many events it has. Slots are then linked.
+    The built-in session window moves and sorts all rows of a key in one group.
+    If a key has more than ``group_rows`` rows, sessions are linked from slots.
+    """
+    if heavy_keys(df, keys, group_rows) is None:
+        return native_sessions(df, keys, time, gap_us, value, name, scale, inclusive)
+    return _linked_sessions(df, keys, time, gap_us, value, name, scale, inclusive)
+
+
+def native_sessions(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    gap_us: int,
+    value: Column,
+    name: str,
+    scale: int,
+    inclusive: bool,
+) -> DataFrame:
+    """Sessions by the built-in window, bounded or streaming.
+
+    The built-in window joins events exactly one gap apart. Without ``inclusive``
+    they are apart: its gap is one microsecond shorter and its end gets that
+    microsecond back.
+    """
+    shorter = 0 if inclusive else 1
+    session = F.session_window(time, interval(gap_us - shorter)).alias("session")
+    merged = df.groupBy(*keys, session).agg(
+        F.sum(units(value, scale)).alias("total"), F.count(value).alias("counted"), F.count(F.lit(1)).alias("n")
+    )
+    return merged.select(
+        *keys,
+        F.col("session.start").alias("session_start"),
+        (F.col("session.end") + seconds(shorter)).alias("session_end"),
+        _mean(scale).alias(name),
+        "n",
+    )
+
+
+def _linked_sessions(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    gap_us: int,
+    value: Column,
+    name: str,
+    scale: int,
+    inclusive: bool,
+) -> DataFrame:
+    """Sessions out of gap-wide slots of time.
+
+    Events of one key in the same slot always share a session. They are summed
+    up per slot first, with map-side combine, so a key moves at most one row per
+    slot, however many events it has. Slots are then linked.
     """
-    gap = F.expr(f"INTERVAL '{gap_us / 1_000_000:.6f}' SECOND")
     slots = df.groupBy(*keys, F.window(time, interval(gap_us)).alias("slot")).agg(
         F.min(time).alias("first_seen"),
         F.max(time).alias("last_seen"),
@@ -62,9 +117,10 @@ def session_mean(
     )
     order = Window.partitionBy(*keys).orderBy("first_seen")
     idle = F.col("first_seen") - F.lag("last_seen").over(order)
-    breaks = idle > gap if inclusive else idle >= gap
+    breaks = idle > seconds(gap_us) if inclusive else idle >= seconds(gap_us)
     marked = slots.withColumn("starts", F.coalesce(breaks.cast("int"), F.lit(1)))
-    numbered = marked.withColumn("session_no", F.sum("starts").over(order))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = marked.withColumn("session_no", F.sum("starts").over(so_far))
     merged = numbered.groupBy(*keys, "session_no").agg(
         F.min("first_seen").alias("session_start"),
         F.max("last_seen").alias("last_seen"),
@@ -72,11 +128,11 @@ def session_mean(
         F.sum("slot_values").alias("counted"),
         F.sum("slot_rows").alias("n"),
     )
-    mean = F.try_divide(from_units(F.col("total"), scale), F.col("counted"))
     return merged.select(
-        *keys,
-        "session_start",
-        (F.col("last_seen") + gap).alias("session_end"),
-        F.coalesce(mean, F.lit(float("nan"))).alias(name),
-        "n",
+        *keys, "session_start", (F.col("last_seen") + seconds(gap_us)).alias("session_end"), _mean(scale).alias(name), "n"
     )
+
+
+def _mean(scale: int) -> Column:
+    mean = F.try_divide(from_units(F.col("total"), scale), F.col("counted"))
+    return F.coalesce(mean, F.lit(float("nan")))

@@ -18,23 +18,27 @@ WEAPON_KEYS = ["game_id", "player_id", "used_weapon"]
 
 
 def player_and_team(kills: DataFrame, player: str = "player_id", team: str = "team_id") -> DataFrame:
-    """Every kill as one row for its player and one for its team, told apart by ``kind``."""
+    """The number of kills of players and of teams, told apart by ``kind``, as parts to be summed up.
+
+    Kills are counted per player and team first, so only the counts are doubled.
+    """
+    counted = kills.groupBy(player, team).agg(F.count(F.lit(1)).alias("added"))
     scorers = F.array(
         F.struct(F.lit("player").alias("kind"), F.col(player).cast("string").alias("id")),
         F.struct(F.lit("team").alias("kind"), F.col(team).cast("string").alias("id")),
     )
-    return kills.select(F.explode(scorers).alias("scorer")).select("scorer.kind", "scorer.id")
+    return counted.select(F.explode(scorers).alias("scorer"), "added").select("scorer.kind", "scorer.id", "added")
 
 
 def player_team_scores(kills: DataFrame, n: int = FIRE_EVERY) -> DataFrame:
     """Kills so far of every player and team, after every n kills."""
-    return running_scores(player_and_team(kills), ["kind", "id"], n)
+    return running_scores(player_and_team(kills), ["kind", "id"], n, "added")
 
 
 def start_player_team_scores(
     kills: DataFrame, out: str, checkpoint: str, n: int = FIRE_EVERY, continuous: str | None = None
 ) -> StreamingQuery:
-    return start_scores(player_and_team(kills), ["kind", "id"], n, out, checkpoint, continuous)
+    return start_scores(kills, ["kind", "id"], n, out, checkpoint, player_and_team, continuous)
 
 
 def score_line() -> Column:

@@ -132,13 +132,24 @@ def start_accumulating(
 
 
 def start_scores(
-    stream: DataFrame, keys: Sequence[str], n: int, out: str, checkpoint: str, continuous: str | None = None
+    stream: DataFrame,
+    keys: Sequence[str],
+    n: int,
+    out: str,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    continuous: str | None = None,
 ) -> StreamingQuery:
-    """Running count of a key after every n rows. Only counts per key move, no rows."""
-    schema = _state_schema(stream, keys)
+    """Running count of a key after every n rows. Only counts per key move, no rows.
+
+    ``prepare`` turns each batch into rows with the keys and ``added``, the number
+    of rows that a row stands for.
+    """
+    schema = _state_schema(stream if prepare is None else prepare(stream), keys)
 
     def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-        fresh = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("added"))
+        rows = batch.withColumn("added", F.lit(1).cast("bigint")) if prepare is None else prepare(batch)
+        fresh = rows.groupBy(*keys).agg(F.sum("added").alias("added"))
         sides = fresh.withColumn("seen_before", F.lit(0).cast("bigint")).unionByName(
             state.withColumn("added", F.lit(0).cast("bigint")).withColumnRenamed("seen", "seen_before")
         )

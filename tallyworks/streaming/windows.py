@@ -10,9 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyworks.functions.values import from_units, units
 from tallyworks.operators.keyed import sum_of
-from tallyworks.operators.windows import interval
+from tallyworks.operators.windows import native_sessions
 
 NO_DELAY = "0 seconds"
 
@@ -49,23 +48,6 @@ def session_stream(
 ) -> DataFrame:
     """Mean and row count per key and session.
 
-    The built-in session window joins events exactly one gap apart. By default
-    they are apart here: the gap is one microsecond shorter, and the session end
-    gets that microsecond back. Start this stream with the setting
-    ``control.LOCAL_SESSION_MERGE`` on.
+    Start this stream with the setting ``control.LOCAL_SESSION_MERGE`` on.
     """
-    shorter = 0 if inclusive else 1
-    session = F.session_window(time, interval(gap_us - shorter))
-    grouped = stream.withWatermark(time, delay).groupBy(*keys, session.alias("session"))
-    merged = grouped.agg(
-        F.sum(units(value, scale)).alias("total"), F.count(value).alias("counted"), F.count(F.lit(1)).alias("n")
-    )
-    mean = F.try_divide(from_units(F.col("total"), scale), F.col("counted"))
-    end = F.col("session.end") + F.expr(f"INTERVAL '{shorter / 1_000_000:.6f}' SECOND")
-    return merged.select(
-        *keys,
-        F.col("session.start").alias("session_start"),
-        end.alias("session_end"),
-        F.coalesce(mean, F.lit(float("nan"))).alias(name),
-        "n",
-    )
+    return native_sessions(stream.withWatermark(time, delay), keys, time, gap_us, value, name, scale, inclusive)

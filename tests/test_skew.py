@@ -93,7 +93,7 @@ def test_numbering_on_earlier_input(spark, arrivals, slot_rows):
 @pytest.mark.parametrize("block", [3, 1000])
 def test_running_scores(spark, arrivals, block):
     want = {(k, s) for k, found in by_key(arrivals).items() for s in range(2, len(found) + 1, 2)}
-    got = [tuple(r) for r in panes.running_scores(frame(spark, arrivals), ["key"], 2, block).collect()]
+    got = [tuple(r) for r in panes.running_scores(frame(spark, arrivals), ["key"], 2, block=block).collect()]
     assert len(got) == len(want) and set(got) == want
 
 
@@ -140,14 +140,15 @@ def sessions_of(times, gap, inclusive):
     return grouped
 
 
+@pytest.mark.parametrize("group_rows", [100, 1_000_000])
 @pytest.mark.parametrize("inclusive", [False, True])
-def test_sessions(spark, inclusive):
+def test_sessions(spark, inclusive, group_rows):
     rng = random.Random(9)
     events = [("hot", rng.randrange(0, 3000)) for _ in range(700)]
     events += [(f"k{rng.randrange(5)}", rng.randrange(0, 3000)) for _ in range(400)]
     df = spark.createDataFrame(events, "key string, t bigint")
     df = df.select("key", F.timestamp_seconds("t").alias("ts"), F.col("t").cast("double").alias("v"))
-    got = windows.session_mean(df, ["key"], "ts", 5_000_000, F.col("v"), inclusive=inclusive)
+    got = windows.session_mean(df, ["key"], "ts", 5_000_000, F.col("v"), inclusive=inclusive, group_rows=group_rows)
     rows_ = got.select(
         "key", F.unix_seconds("session_start"), F.unix_seconds("session_end"), F.round("mean", 6), "n"
     ).collect()
