@@ -13,6 +13,10 @@ SLOT_ROWS = GROUP_ROWS
 # Scores of one key that are written by one task.
 BLOCK_PANES = 1_000_000
 
+PANE_KEY = "pane_key"
+# The slot of a key that is not cut: a number that no slot of a hot key has.
+WHOLE_KEY = -(2**63)
+
 
 def number_arrivals(
     df: DataFrame,
@@ -25,72 +29,90 @@ def number_arrivals(
     """Add ``position``, the place of a row in its key's arrival order, from 1 on.
 
     ``seq`` is the arrival number: a unique integer, roughly without gaps. With
-    a value also ``running``, its running total. ``before`` has one row per key
-    with ``seen`` and ``total`` of earlier input, on which both build.
+    a value also ``amount``, the value, and ``running``, its running total.
+    ``before`` has one row per key with ``seen`` and ``total`` of earlier input,
+    on which both build.
 
     Keys with more than ``slot_rows`` rows are cut at multiples of ``slot_rows``
     of ``seq``, so no group that is sorted has more rows than that; the rows and
     totals of earlier slots come from an aggregate with map-side combine. Without
     such keys this is one window over the key.
     """
-    amount = F.lit(0).cast("bigint") if value is None else value
-    rows = df.withColumn("pane_key", F.struct(*keys)).withColumn("amount", amount)
-    heavy = heavy_keys(rows, ["pane_key"], slot_rows)
-    if heavy is None:
-        group, offsets = ["pane_key"], before
-        if before is not None:
-            offsets = before.select(F.struct(*keys).alias("pane_key"), "seen", "total")
-    else:
-        group = ["pane_key", "slot"]
-        is_heavy = F.col("key_rows").isNotNull()
-        slot = F.when(is_heavy, F.floor(F.col(seq) / slot_rows)).otherwise(F.lit(0).cast("bigint"))
-        rows = rows.join(heavy, "pane_key", "left").withColumn("slot", slot).drop("key_rows")
-        offsets = _slot_offsets(rows, keys, before)
+    rows = df.withColumn("amount", F.lit(0).cast("bigint") if value is None else value)
+    heavy = heavy_keys(rows, keys, slot_rows)
+    if heavy is None and before is None:
+        return _numbered(rows, keys, seq)
+    # A struct around the keys makes NULL keys meet in joins.
+    rows = rows.withColumn(PANE_KEY, F.struct(*keys))
+    offsets = None if before is None else before.select(F.struct(*keys).alias(PANE_KEY), "seen", "total")
+    group = [PANE_KEY]
+    if heavy is not None:
+        group = [PANE_KEY, "slot"]
+        rows, offsets = _slotted(rows, keys, seq, heavy, offsets, slot_rows)
+    built_on = _numbered(rows, group, seq).join(offsets, group, "left")
+    return built_on.withColumns(
+        {
+            "position": F.col("position") + F.coalesce("seen", F.lit(0)),
+            "running": F.col("running") + F.coalesce("total", F.lit(0)),
+        }
+    ).drop("slot", "seen", "total")
+
+
+def _numbered(rows: DataFrame, group: Sequence[str], seq: str) -> DataFrame:
     order = Window.partitionBy(*group).orderBy(seq)
-    numbered = rows.withColumn("position", F.row_number().over(order).cast("bigint"))
-    running = F.sum("amount").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if value is not None:
-        numbered = numbered.withColumn("running", running)
-    if offsets is not None:
-        numbered = numbered.join(offsets, group, "left").withColumn(
-            "position", F.col("position") + F.coalesce("seen", F.lit(0))
-        )
-        if value is not None:
-            numbered = numbered.withColumn("running", F.col("running") + F.coalesce("total", F.lit(0)))
-    return numbered.drop("slot", "seen", "total")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns(
+        {"position": F.row_number().over(order).cast("bigint"), "running": F.sum("amount").over(so_far)}
+    )
 
 
-def _slot_offsets(rows: DataFrame, keys: Sequence[str], before: DataFrame | None) -> DataFrame:
-    """Rows and totals of a key ahead of each of its slots."""
-    sizes = rows.groupBy("pane_key", "slot").agg(F.count(F.lit(1)).alias("size"), F.sum("amount").alias("subtotal"))
-    earlier = Window.partitionBy("pane_key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+def _slotted(
+    rows: DataFrame, keys: Sequence[str], seq: str, heavy: DataFrame, before: DataFrame | None, slot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their slot, and the rows and totals of a key ahead of each of its slots.
+
+    All rows of a key that is not hot are in the slot ``WHOLE_KEY``.
+    """
+    hot = heavy.select(F.struct(*keys).alias(PANE_KEY), "key_rows")
+    slot = F.expr(f"(`{seq}` - pmod(`{seq}`, {slot_rows})) div {slot_rows}")
+    slotted = rows.join(hot, PANE_KEY, "left").withColumn(
+        "slot", F.when(F.col("key_rows").isNotNull(), slot).otherwise(F.lit(WHOLE_KEY))
+    )
+    sizes = (
+        slotted.where(F.col("slot") != WHOLE_KEY)
+        .groupBy(PANE_KEY, "slot")
+        .agg(F.count(F.lit(1)).alias("size"), F.sum("amount").alias("subtotal"))
+    )
+    earlier = Window.partitionBy(PANE_KEY).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "pane_key",
+        PANE_KEY,
         "slot",
         F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("seen"),
         F.coalesce(F.sum("subtotal").over(earlier), F.lit(0)).alias("total"),
     )
-    if before is None:
-        return offsets
-    known = before.select(
-        F.struct(*keys).alias("pane_key"), F.col("seen").alias("seen_before"), F.col("total").alias("total_before")
-    )
-    return offsets.join(known, "pane_key", "left").select(
-        "pane_key",
-        "slot",
-        (F.col("seen") + F.coalesce("seen_before", F.lit(0))).alias("seen"),
-        (F.col("total") + F.coalesce("total_before", F.lit(0))).alias("total"),
-    )
+    if before is not None:
+        known = before.select(PANE_KEY, F.col("seen").alias("seen_before"), F.col("total").alias("total_before"))
+        offsets = offsets.join(known, PANE_KEY, "left").select(
+            PANE_KEY,
+            "slot",
+            (F.col("seen") + F.coalesce("seen_before", F.lit(0))).alias("seen"),
+            (F.col("total") + F.coalesce("total_before", F.lit(0))).alias("total"),
+        )
+        offsets = offsets.unionByName(before.withColumn("slot", F.lit(WHOLE_KEY)))
+    return slotted.drop("key_rows"), offsets
 
 
 def pane_sums(numbered: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """Rows and total per pane of n rows, panes counted from 0; the last pane of a key may be short."""
+    # Grouping by the struct, where there is one, keeps to the partitioning of the numbering.
+    struct = PANE_KEY in numbered.columns
+    group = [PANE_KEY] if struct else keys
     pane = F.expr(f"(position - 1) div {n}")
-    return (
-        numbered.groupBy("pane_key", pane.alias("pane"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
-        .select(*[F.col(f"pane_key.{k}").alias(k) for k in keys], "pane", "n", "total")
+    sums = numbered.groupBy(*group, pane.alias("pane")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total")
     )
+    names = [F.col(f"{PANE_KEY}.{k}").alias(k) for k in keys] if struct else keys
+    return sums.select(*names, "pane", "n", "total")
 
 
 def discarding_panes(
