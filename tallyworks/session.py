@@ -12,15 +12,16 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_root: str | None = None
 
 
-def build_session(master: str = "local[*]", app: str = "tallyworks", **settings: str) -> SparkSession:
+def build_session(master: str | None = "local[*]", app: str = "tallyworks", **settings: str) -> SparkSession:
     """A session with the settings the operators rely on.
 
     Adaptive execution sizes the shuffles and splits skewed join partitions.
-    On a cluster pass the master and the shuffle partition count that fit it.
+    Pass no master to use the one that the program was submitted with, and the
+    shuffle partition count that fits the cluster.
     """
+    builder = SparkSession.builder if master is None else SparkSession.builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyworks.functions import text, values
+from tallyworks.operators.skew import small_side
 
 _READERS = {
     T.LongType: values.to_long,
@@ -30,7 +31,8 @@ def conform(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFrame]
     of its bad columns, so a row with a bad optional value is in both.
     """
     required = [f.name for f in layout.fields if not f.nullable]
-    rows = raw.select(*[typed(f.name, f.dataType) for f in layout.fields])
+    others = [c for c in raw.columns if c not in layout.fieldNames()]
+    rows = raw.select(*others, *[typed(f.name, f.dataType) for f in layout.fields])
     for name in required:
         rows = rows.where(F.col(name).isNotNull())
     flags = []
@@ -40,7 +42,7 @@ def conform(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFrame]
             bad = bad & (F.length(text.strip(F.col(f.name))) > 0)
         flags.append(F.when(bad, F.lit(f.name)))
     whole = F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in layout.fieldNames()])
-    rejects = raw.select(whole.alias("line"), F.array_compact(F.array(*flags)).alias("bad_columns"))
+    rejects = raw.select(*others, whole.alias("line"), F.array_compact(F.array(*flags)).alias("bad_columns"))
     return rows, rejects.where(F.size("bad_columns") > 0)
 
 
@@ -61,10 +63,37 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def scan_numbered_lines(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+    """Text lines in ``value`` with ``seq``, their number over all files in file name order, from 0 on.
+
+    A read block knows the order of its own lines. The blocks, not the lines,
+    are counted and put in order to find the number at which each block starts.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row_id"),
+    )
+    blocks = lines.groupBy("file", "block").agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("rows"))
+    skipped = F.when(F.col("block") == 0, 1).otherwise(0) if header else F.lit(0)
+    ahead = F.sum(F.col("rows") - skipped).over(
+        Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = blocks.select("file", "block", "first_id", F.coalesce(ahead, F.lit(0)).alias("start"))
+    place = F.col("row_id") - F.col("first_id") - skipped
+    numbered = lines.join(small_side(starts), ["file", "block"])
+    return numbered.where(place >= 0).select((F.col("start") + place).alias("seq"), "value")
+
+
 def split_lines(lines: DataFrame, layout: T.StructType, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Typed rows and rejects of delimited text lines, as they come from a topic."""
+    """Typed rows and rejects of delimited text lines, as they come from a topic.
+
+    Other columns of the lines, such as the arrival number, stay in front.
+    """
     stripped = text.strip(F.col(column))
-    return conform(lines.select(*text.fields(stripped, layout.fieldNames())), layout)
+    others = [c for c in lines.columns if c != column]
+    return conform(lines.select(*others, *text.fields(stripped, layout.fieldNames())), layout)
 
 
 def scan_ids(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
