@@ -147,17 +147,20 @@ def fired_scores(counts: DataFrame, keys: Sequence[str], n: int, block: int = BL
     """The scores a running count passes between ``seen_before`` and ``seen``, every n rows.
 
     A count alone decides at which scores a key fires, so no row has to be
-    numbered. A key with many firings is cut into blocks, which spread over the
-    tasks before they unfold.
+    numbered. Most keys unfold where they were counted. A key with more than
+    ``block`` firings is cut into blocks, which spread over all tasks before they
+    unfold; both read the same shuffle of the counts.
     """
     first, last = F.expr(f"seen_before div {n} + 1"), F.expr(f"seen div {n}")
     firing = counts.select(*keys, first.alias("first"), last.alias("last")).where("last >= first")
-    blocks = firing.withColumn("block", F.explode(F.expr(f"sequence(0L, (last - first) div {block})")))
+    few = F.col("last") - F.col("first") < block
     partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = blocks.repartition(partitions, *keys, "block")
-    start = F.col("first") + F.col("block") * block
-    steps = F.sequence(start, F.least(start + (block - 1), F.col("last")))
-    return spread.select(*keys, F.explode(steps).alias("step")).select(*keys, (F.col("step") * n).alias("score"))
+    starts = F.explode(F.sequence("first", "last", F.lit(block).cast("bigint"))).alias("first")
+    blocks = firing.where(~few).select(*keys, starts, "last").repartition(partitions, *keys, "first")
+    ends = F.least(F.col("first") + (block - 1), F.col("last")).alias("last")
+    ranges = firing.where(few).unionByName(blocks.select(*keys, "first", ends))
+    steps = F.explode(F.sequence("first", "last")).alias("step")
+    return ranges.select(*keys, steps).select(*keys, (F.col("step") * n).alias("score"))
 
 
 def running_scores(

@@ -10,6 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 # Merges the sessions of a key inside each task before the shuffle, so that a hot key moves few rows.
 LOCAL_SESSION_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
+# Lets a query run one more batch without input after the watermark has moved.
+BATCH_WITHOUT_INPUT = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str):

@@ -20,9 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyworks.operators.panes import SLOT_ROWS, fired_scores, firing_rows, number_arrivals, pane_sums
 from tallyworks.streaming.control import triggered
 
-# Takes the batch and the state before it. Gives the results, the state after it
-# and, if both are built on it, a shared intermediate that is worth keeping.
-Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame, DataFrame | None]]
+# Writes an intermediate result that is used more than once, and reads it back.
+Keep = Callable[[DataFrame], DataFrame]
+# Takes the batch and the state before it, gives the results and the state after it.
+Step = Callable[[DataFrame, DataFrame, Keep], tuple[DataFrame, DataFrame]]
 
 
 def batch_writer(step: Step, state_schema: T.StructType, out: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
@@ -34,13 +35,14 @@ def batch_writer(step: Step, state_schema: T.StructType, out: str, checkpoint: s
             state = spark.createDataFrame([], state_schema)
         else:
             state = spark.read.schema(state_schema).parquet(f"{checkpoint}/carried/{(batch_id - 1) % 2}")
-        results, carried, shared = step(batch, state)
-        if shared is not None:
-            shared.persist()
+
+        def keep(df: DataFrame) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{checkpoint}/kept")
+            return spark.read.schema(df.schema).parquet(f"{checkpoint}/kept")
+
+        results, carried = step(batch, state, keep)
         results.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         carried.write.mode("overwrite").parquet(f"{checkpoint}/carried/{batch_id % 2}")
-        if shared is not None:
-            shared.unpersist()
 
     return on_batch
 
@@ -88,20 +90,20 @@ def start_discarding(
     schema = _state_schema(stream, keys, value)
     wide = schema["total"].dataType
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    def step(batch: DataFrame, state: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
         numbered = number_arrivals(batch, keys, seq, value, before=state, slot_rows=slot_rows)
         new = pane_sums(numbered, keys, n).withColumn("total", F.col("total").cast(wide))
         open_panes = state.select(
             *keys, F.expr(f"seen div {n}").alias("pane"), F.expr(f"seen % {n}").alias("n"), "total"
         )
         sums = new.unionByName(open_panes).groupBy(*keys, "pane")
-        panes = sums.agg(F.sum("n").alias("n"), F.sum("total").cast(wide).alias("total"))
+        panes = keep(sums.agg(F.sum("n").alias("n"), F.sum("total").cast(wide).alias("total")))
         unfinished = F.when(F.col("n") < n, F.col("total"))
         carried = panes.groupBy(*keys).agg(
             F.max(F.col("pane") * n + F.col("n")).alias("seen"),
             F.coalesce(F.sum(unfinished), F.lit(0)).cast(wide).alias("total"),
         )
-        return panes.where(F.col("n") == n), carried, panes
+        return panes.where(F.col("n") == n), carried
 
     return run_steps(stream, step, schema, out, checkpoint, continuous)
 
@@ -121,12 +123,12 @@ def start_accumulating(
     schema = _state_schema(stream, keys, value)
     wide = schema["total"].dataType
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    def step(batch: DataFrame, state: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
         numbered = number_arrivals(batch, keys, seq, value, before=state, slot_rows=slot_rows)
         fired = firing_rows(numbered, keys, n).withColumn("total", F.col("total").cast(wide))
         new = batch.select(*keys, F.lit(1).cast("bigint").alias("seen"), value.cast(wide).alias("total"))
         sums = new.unionByName(state).groupBy(*keys)
-        return fired, sums.agg(F.sum("seen").alias("seen"), F.sum("total").cast(wide).alias("total")), None
+        return fired, sums.agg(F.sum("seen").alias("seen"), F.sum("total").cast(wide).alias("total"))
 
     return run_steps(stream, step, schema, out, checkpoint, continuous)
 
@@ -147,7 +149,7 @@ def start_scores(
     """
     schema = _state_schema(stream if prepare is None else prepare(stream), keys)
 
-    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    def step(batch: DataFrame, state: DataFrame, keep: Keep) -> tuple[DataFrame, DataFrame]:
         rows = batch.withColumn("added", F.lit(1).cast("bigint")) if prepare is None else prepare(batch)
         fresh = rows.groupBy(*keys).agg(F.sum("added").alias("added"))
         sides = fresh.withColumn("seen_before", F.lit(0).cast("bigint")).unionByName(
@@ -156,7 +158,8 @@ def start_scores(
         counts = sides.groupBy(*keys).agg(
             F.sum("seen_before").alias("seen_before"), F.sum(F.col("added") + F.col("seen_before")).alias("seen")
         )
-        return fired_scores(counts, keys, n), counts.select(*keys, "seen"), counts
+        kept = keep(counts)
+        return fired_scores(kept, keys, n), kept.select(*keys, "seen")
 
     return run_steps(stream, step, schema, out, checkpoint, continuous)
 
