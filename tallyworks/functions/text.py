@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The ASCII whitespace that a text strip removes; Spark's own trim removes spaces only.
-WHITESPACE = " \t\n\r\f\v"
+# The whitespace that a text strip removes. Spark's own trim removes spaces only.
+WHITESPACE = (
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Fixed value: runs of letters, with the comma inside the class, so "now," is a word.
 WORD_PATTERN = "[A-Z,a-z]+"
@@ -29,7 +33,9 @@ def encode(text: Column) -> Column:
 
 def fields(line: Column, names: list[str], separator: str = ",") -> list[Column]:
     """One column per position of a delimited line; NULL where the line is too short."""
-    parts = F.split(line, f"\\Q{separator}\\E", -1)
+    # A single character, escaped if need be, splits without a compiled pattern.
+    plain = separator.isalnum() or separator in ",;:"
+    parts = F.split(line, separator if plain else f"\\{separator}", -1)
     return [F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(names)]
 
 

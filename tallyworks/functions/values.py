@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from tallyworks.functions.text import is_digits, scrub_timestamp, strip
 
-DAY_PATTERN = "d-MM-yyyy"
+DAY_PATTERN = "d-M-yyyy"
 
 
 def to_long(text: Column) -> Column:
@@ -20,7 +20,7 @@ def to_double(text: Column) -> Column:
 
 
 def to_day(text: Column) -> Column:
-    """A ``dd-MM-yyyy`` text as a date; a one-digit day is allowed."""
+    """A day-month-year text as a date; day and month may have one digit."""
     return F.try_to_timestamp(strip(text), F.lit(DAY_PATTERN)).cast("date")
 
 

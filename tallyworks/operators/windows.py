@@ -47,6 +47,7 @@ def session_mean(
     scale: int = 2,
     inclusive: bool = False,
     group_rows: int = GROUP_ROWS,
+    look_at: Sequence[str] | None = None,
 ) -> DataFrame:
     """Mean and row count per key and session.
 
@@ -56,8 +57,10 @@ def session_mean(
 
     The built-in session window moves and sorts all rows of a key in one group.
     If a key has more than ``group_rows`` rows, sessions are linked from slots.
+    ``look_at`` names some of the keys to count by instead: if no such part of the
+    key has that many rows, no whole key has.
     """
-    if heavy_keys(df, keys, group_rows) is None:
+    if heavy_keys(df, look_at or keys, group_rows) is None:
         return native_sessions(df, keys, time, gap_us, value, name, scale, inclusive)
     return _linked_sessions(df, keys, time, gap_us, value, name, scale, inclusive)
 

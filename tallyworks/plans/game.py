@@ -61,7 +61,10 @@ def weapon_sessions(
     kills: DataFrame, time: str = "kill_ts", gap_us: int = SESSION_GAP_US, rank_rule: str = "written"
 ) -> DataFrame:
     """Mean points per game, player, weapon and session."""
-    return session_mean(with_points(kills, rank_rule), WEAPON_KEYS, time, gap_us, F.col("points"), "mean_points", 0)
+    scored = with_points(kills, rank_rule)
+    return session_mean(
+        scored, WEAPON_KEYS, time, gap_us, F.col("points"), "mean_points", 0, look_at=["player_id"]
+    )
 
 
 def weapon_session_stream(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -31,8 +31,8 @@ def build_session(master: str | None = "local[*]", app: str = "tallyworks", **se
     return builder.getOrCreate()
 
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names, also made known for checkpoints.
 
     Only a local session may go without the setting; a cluster needs a folder
     that every executor can reach.
@@ -47,4 +47,15 @@ def work_folder(spark: SparkSession, label: str) -> str:
         root = _local_root
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """The name of a fresh folder below the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def computed(df: DataFrame) -> DataFrame:
+    """The rows of a DataFrame, computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

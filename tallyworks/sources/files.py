@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from tallyworks.functions import text, values
 from tallyworks.operators.skew import small_side
+from tallyworks.session import computed
 
 _READERS = {
     T.LongType: values.to_long,
@@ -75,7 +76,9 @@ def scan_numbered_lines(spark: SparkSession, path: str, header: bool = False) ->
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row_id"),
     )
-    blocks = lines.groupBy("file", "block").agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("rows"))
+    blocks = computed(
+        lines.groupBy("file", "block").agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("rows"))
+    )
     skipped = F.when(F.col("block") == 0, 1).otherwise(0) if header else F.lit(0)
     ahead = F.sum(F.col("rows") - skipped).over(
         Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)

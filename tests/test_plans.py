@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.functions.text import is_digits, scrub_timestamp
+from tallyworks.functions.text import fields, is_digits, scrub_timestamp, strip
+from tallyworks.functions.values import exact_sum, to_day, to_double, to_long
 from tallyworks.operators import keyed, rows
 from tallyworks.plans import attendance, bank, game, store
 from tallyworks.sources import files, layouts, sinks, topics
@@ -228,3 +229,29 @@ def test_scrub(spark):
     df = spark.createDataFrame([(" '155\\r\\n' \r\n",), ("15x",), ("",)], "t string")
     got = [tuple(r) for r in df.select(scrub_timestamp(F.col("t")), is_digits(scrub_timestamp(F.col("t")))).collect()]
     assert got == [("155", True), ("15x", False), ("", False)]
+
+
+@pytest.mark.parametrize(
+    "day, want",
+    [("1-01-2019", "2019-01-01"), ("1-1-2019", "2019-01-01"), (" 30-12-2018\r\n", "2018-12-30"), ("31-02-2019", None), ("2019-01-01", None), ("", None)],
+)
+def test_days(spark, day, want):
+    got = spark.createDataFrame([(day,)], "t string").select(to_day(F.col("t")).cast("string")).first()[0]
+    assert got == want
+
+
+def test_numbers_and_fields(spark):
+    df = spark.createDataFrame([("\u00a0 12\t,12.5, x ,,",)], "line string")
+    parts = df.select(*fields(F.col("line"), list("abcdefg")))
+    assert list(parts.first()) == ["\u00a0 12\t", "12.5", " x ", "", "", None, None]
+    got = parts.select(to_long(F.col("a")), to_long(F.col("b")), to_double(F.col("b")), strip(F.col("c")), to_long(F.col("d")))
+    assert list(got.first()) == [12, None, 12.5, "x", None]
+    piped = spark.createDataFrame([("a|b",)], "line string").select(*fields(F.col("line"), ["l", "r"], "|"))
+    assert list(piped.first()) == ["a", "b"]
+
+
+def test_exact_sum(spark):
+    values = [0.1] * 10 + [1e13, -1e13, -0.3]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    assert str(df.agg(exact_sum(F.col("v"))).first()[0]) == "0.70"
+    assert df.where("v > 1e20").agg(exact_sum(F.col("v"))).first()[0] is None
