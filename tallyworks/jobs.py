@@ -18,7 +18,7 @@ from tallyworks.session import build_session
 from tallyworks.sources import files, layouts, sinks, topics
 from tallyworks.streaming import control
 
-MESSAGE = T.StructType().add("seq", "long").add("value", "string")
+MESSAGE = T.StructType().add("seq", "long").add("arrived_at", "timestamp").add("value", "string")
 
 
 def _scan(spark: SparkSession, args, layout: T.StructType, header: bool) -> DataFrame:
@@ -87,7 +87,7 @@ def mean(spark, args):
 
 def replay(spark, args):
     lines = files.scan_numbered_lines(spark, args.input, args.header)
-    for _ in topics.replay(lines, "seq", args.output, args.waves):
+    for _ in topics.replay(lines, "seq", args.output, args.waves, stamp="arrived_at"):
         pass
 
 
@@ -105,33 +105,34 @@ def _run(query, args) -> None:
 
 
 def _topic_rows(spark, args, layout: T.StructType) -> DataFrame:
+    """Typed rows of a topic, with ``seq`` and ``arrived_at`` in front."""
     return files.split_lines(topics.subscribe(spark, args.input, MESSAGE), layout)[0]
 
 
 def store_panes(spark, args):
     sales = _topic_rows(spark, args, layouts.STORE_SALE)
-    _run(store.start_profit_panes(sales, "seq", args.output, args.checkpoint, continuous=args.every), args)
+    query = store.start_profit_panes(sales, "seq", args.output, args.checkpoint, args.n, continuous=args.every)
+    _run(query, args)
 
 
 def store_windows(spark, args):
-    sales = _topic_rows(spark, args, layouts.TIMED_STORE_SALE)
-    query = control.start_sink(
-        store.profit_window_stream(sales), args.output, args.checkpoint, continuous=args.every
-    )
+    layout = layouts.STORE_SALE if args.time == "arrived_at" else layouts.TIMED_STORE_SALE
+    windows = store.profit_window_stream(_topic_rows(spark, args, layout), args.time, delay=args.delay)
+    query = control.start_sink(windows, args.output, args.checkpoint, continuous=args.every)
     _run(query, args)
 
 
 def player_team_scores(spark, args):
     kills = _topic_rows(spark, args, layouts.KILL)
-    _run(game.start_player_team_scores(kills, args.output, args.checkpoint, continuous=args.every), args)
+    query = game.start_player_team_scores(kills, args.output, args.checkpoint, args.n, continuous=args.every)
+    _run(query, args)
 
 
 def weapon_sessions(spark, args):
     kills = _topic_rows(spark, args, layouts.KILL)
     with control.setting(spark, control.LOCAL_SESSION_MERGE, "true"):
-        query = control.start_sink(
-            game.weapon_session_stream(kills), args.output, args.checkpoint, continuous=args.every
-        )
+        sessions = game.weapon_session_stream(kills, args.time, args.gap * 1_000_000, delay=args.delay)
+        query = control.start_sink(sessions, args.output, args.checkpoint, continuous=args.every)
     _run(query, args)
 
 
@@ -170,6 +171,11 @@ NEEDS = {
     "attendance-without": ["input2"],
 }
 
+# The stream jobs with windows, and their column of event time; the other choice is the time of arrival.
+EVENT_TIME = {"store-windows": "sold_at", "weapon-sessions": "kill_ts"}
+# The stream jobs that fire by count, and after how many rows.
+FIRE_AFTER = {"store-panes": store.PANE_ROWS, "player-team-scores": game.FIRE_EVERY}
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tallyworks")
@@ -184,6 +190,13 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--seconds", type=float)
         else:
             job.add_argument("--rejects", help="folder for unreadable rows")
+        if name in EVENT_TIME:
+            job.add_argument("--time", choices=["arrived_at", EVENT_TIME[name]], default=EVENT_TIME[name])
+            job.add_argument("--delay", default="0 seconds", help="how long to wait for late rows")
+        if name in FIRE_AFTER:
+            job.add_argument("--n", type=int, default=FIRE_AFTER[name], help="rows per firing")
+        if name == "weapon-sessions":
+            job.add_argument("--gap", type=int, default=5, help="seconds")
         if name == "top-defaulters":
             job.add_argument("--k", type=int, default=20)
         if name == "replay":

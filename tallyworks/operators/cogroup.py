@@ -59,7 +59,7 @@ def _stack(sides: Mapping[str, DataFrame], key: str) -> DataFrame:
 
 
 def _lists(stacked: DataFrame, key: str, sides: Mapping[str, DataFrame]) -> DataFrame:
-    return stacked.groupBy(key).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in sides])
+    return stacked.groupBy(key).agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in sides])
 
 
 def _hot_parts(sides: Mapping[str, DataFrame], key: str, max_list: int, short: tuple[str, ...]) -> DataFrame | None:
@@ -96,5 +96,5 @@ def _split_lists(stacked: DataFrame, key: str, sides: Mapping[str, DataFrame], m
         F.pmod(F.xxhash64(*sides, "run"), F.col("parts")).alias("part"),
         *[F.when(F.col(n).isNotNull(), F.array_repeat(n, length)).alias(n) for n in sides],
     )
-    merged = [F.array_sort(F.flatten(F.collect_list(n))).alias(n) for n in sides]
+    merged = [F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in sides]
     return placed.groupBy(key, "part").agg(*merged)

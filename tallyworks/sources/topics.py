@@ -36,12 +36,13 @@ def publish(df: DataFrame, path: str, form: str = "parquet") -> None:
     df.write.mode("append").format(form).save(path)
 
 
-def replay(df: DataFrame, seq: str, path: str, waves: int) -> Iterator[int]:
+def replay(df: DataFrame, seq: str, path: str, waves: int, stamp: str | None = None) -> Iterator[int]:
     """Publish a table in arrival order, in waves of consecutive ``seq``.
 
     Yields the number of each wave after it was written, so that the caller can
     let a stream take it in before the next one comes. Inside a wave the order
-    is the ``seq`` column, which every row keeps.
+    is the ``seq`` column, which every row keeps. ``stamp`` names a column for the
+    time at which the wave is published, for windows over arrival time.
     """
     bounds = df.agg(F.min(seq), F.max(seq)).first()
     if bounds[0] is None:
@@ -50,7 +51,8 @@ def replay(df: DataFrame, seq: str, path: str, waves: int) -> Iterator[int]:
     step = -(-(high - low + 1) // waves)
     for wave in range(waves):
         start = low + wave * step
-        publish(df.where((F.col(seq) >= start) & (F.col(seq) < start + step)), path)
+        rows = df.where((F.col(seq) >= start) & (F.col(seq) < start + step))
+        publish(rows if stamp is None else rows.withColumn(stamp, F.current_timestamp()), path)
         yield wave
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyworks import jobs
 from tallyworks.plans import attendance, store
-from tallyworks.sources import files, layouts, sinks
+from tallyworks.sources import files, layouts, sinks, topics
 from tests import fixtures
 
 
@@ -108,3 +108,16 @@ def test_passthrough_job(spark, tmp_path):
     jobs.main(["passthrough", "--input", topic, "--output", out, "--checkpoint", checkpoint, "--every", "1 second", "--seconds", "20"], spark)
     got = spark.read.parquet(out).select("value", F.col("attributes")["even"]).collect()
     assert sorted(map(tuple, got)) == [("Send number: 1", "False"), ("Send number: 2", "True"), ("Send number: 3", "False")]
+
+
+def test_windows_over_arrival_time(spark, tmp_path):
+    """Seven-column sales without a time of their own, in 20 second windows of their arrival."""
+    topic, out, checkpoint = (str(tmp_path / n) for n in ("topic", "out", "cp"))
+    arrivals = [(0, 100, "STR_1,Mumbai,P,Toys,2,10,15"), (1, 119, "STR_1,Mumbai,P,Toys,1,10,11"), (2, 121, "STR_1,Mumbai,P,Toys,1,1,9")]
+    for seq, at, line in [*arrivals, (3, 10_000, "STR_9,Mumbai,P,Toys,1,1,1")]:
+        row = spark.createDataFrame([(seq, at, line)], "seq bigint, at bigint, value string")
+        topics.publish(row.select("seq", F.timestamp_seconds("at").alias("arrived_at"), "value"), topic)
+        jobs.main(["store-windows", "--time", "arrived_at", "--input", topic, "--output", out, "--checkpoint", checkpoint], spark)
+    got = spark.read.parquet(out).select("store_id", F.unix_seconds("window_start"), "profit", "n")
+    assert sorted(map(tuple, got.collect())) == [("STR_1", 100, 11, 2), ("STR_1", 120, 8, 1)]
+    assert "arrived_at" in spark.read.parquet(topic).columns
