@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import quality_rules
+from tallyworks.llm import bpe, quality_rules
 
 QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op8_bpe": bpe.op8_bpe,
 }
 
 ORACLES = {
