@@ -231,7 +231,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = merges(path)
-        for batch in batches:
+        for batch in ragged.slices(batches, ids, ragged.BATCH_BYTES // 8):
             column = batch.column(ids)
             lengths = np.diff(ragged.list_bounds(column))
             found = column.flatten().to_numpy(zero_copy_only=False)

@@ -55,7 +55,8 @@ class WordTokens:
         tail = (flat >= 0x80) & (flat <= 0xBF)
         lead = (flat >= 0xC3) & (flat <= 0xC5)
         before = np.append(np.uint8(0), flat[:-1])
-        sign = tail & (before == 0xC3) & ((flat == 0x97) | (flat == 0xB7))  # the signs of multiplication and division
+        # The signs of multiplication and division are no letters; the dotted capital I has a mark in lower case.
+        sign = tail & (((before == 0xC3) & ((flat == 0x97) | (flat == 0xB7))) | ((before == 0xC4) & (flat == 0xB0)))
         sign |= np.append(sign[1:], False)
         return (((flat >= 0x61) & (flat <= 0x7A)) | CAPITALS[flat] | tail | lead) & ~sign
 
@@ -71,6 +72,8 @@ class WordTokens:
         found = [np.array(one.ids, dtype=np.int64) for one in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
         ids = np.concatenate([np.empty(0, dtype=np.int64), *found])
         lengths = np.diff(np.append(-1, np.flatnonzero(self.ends[ids])))
+        if len(lengths) != len(letters):
+            raise ValueError("the vocabulary does not mark the ends of words")
         others = words.filter(pa.array(~plain)).cast(pa.large_string()).to_pylist()
         rest = [one.ids for one in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         ids = np.concatenate([ids, np.array([i for one in rest for i in one], dtype=np.int64)])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, quality_rules
+from tallyworks.llm import bpe, quality_rules, token_files
 
 QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_token_files": token_files.op4_token_files,
     "op8_bpe": bpe.op8_bpe,
 }
 

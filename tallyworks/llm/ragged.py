@@ -47,12 +47,13 @@ def pieces(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts of one have about the given number of bytes, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], name: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the texts (or lists) of one have about the given number of bytes (or items), or one row."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        _, bounds = text_bytes(batch.column(text))
+        column = batch.column(name)
+        bounds = list_bounds(column) if pa.types.is_list(column.type) else text_bytes(column)[1]
         begin = 0
         while begin < batch.num_rows:
             end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + limit, side="right")) - 1)
