@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, quality_rules, suffix_dedup, token_files
+from tallyworks.llm import bpe, packing, quality_rules, suffix_dedup, token_files
 
 QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_files": token_files.op4_token_files,
+    "op6_packing": packing.op6_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_bpe": bpe.op8_bpe,
 }
