@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, packing, quality_rules, suffix_dedup, token_files
+from tallyworks.llm import bpe, jaccard, packing, quality_rules, suffix_dedup, token_files
 
 QUERIES = {
+    "op2_jaccard_join": jaccard.op2_jaccard_join,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_files": token_files.op4_token_files,
     "op6_packing": packing.op6_packing,
