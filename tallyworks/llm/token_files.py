@@ -22,7 +22,6 @@ from tallyworks.llm import library_tokens, ragged
 from tallyworks.llm.bpe import vocabulary
 from tallyworks.session import work_folder
 
-PAD, TOKEN, LAST = 0, 1, 2
 LENGTH = 2048
 BATCH_SEQUENCES = 256
 DOC_BATCH = 1 << 16
@@ -40,43 +39,37 @@ class SequenceWriter:
     def __init__(self, sink, length: int, kind: np.dtype, batch: int = BATCH_SEQUENCES):
         self.length, self.kind, self.room = length, kind, length * batch
         self.schema = pa.schema(
-            [("tokens", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))],
+            [("tokens", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))],
             metadata={"length": str(length), "batch": str(batch)},
         )
         self.file = pa.ipc.new_file(sink, self.schema)
-        self.ids, self.masks, self.held, self.n_sequences = [], [], 0, 0
+        self.ids, self.held, self.n_sequences = [], 0, 0
 
     def add(self, ids: np.ndarray) -> None:
-        """Appends the ids of one document, the last of which is marked."""
-        mask = np.full(len(ids), TOKEN, dtype=np.uint8)
-        mask[-1:] = LAST
+        """Appends the ids of one document."""
         self.ids.append(ids)
-        self.masks.append(mask)
         self.held += len(ids)
         if self.held >= self.room:
-            self._flush(self.held // self.room * self.room)
-
-    def _flush(self, n: int) -> None:
-        ids, mask = np.concatenate(self.ids), np.concatenate(self.masks)
-        for at in range(0, n, self.room):
-            self._write(ids[at : at + self.room], mask[at : at + self.room])
-        self.ids, self.masks, self.held = [ids[n:].copy()], [mask[n:].copy()], len(ids) - n
-
-    def _write(self, ids: np.ndarray, mask: np.ndarray) -> None:
-        columns = [
-            pa.FixedSizeListArray.from_arrays(pa.array(values), self.length) for values in (ids.astype(self.kind), mask)
-        ]
-        self.file.write_batch(pa.record_batch(columns, schema=self.schema))
+            ids = np.concatenate(self.ids)
+            whole = len(ids) // self.room * self.room
+            self._write(ids[:whole], whole)
+            self.ids, self.held = [ids[whole:].copy()], len(ids) - whole
+
+    def _write(self, ids: np.ndarray, n: int) -> None:
+        """Writes whole sequences, of which the first n places hold ids."""
+        mask = np.arange(len(ids)) < n
+        for at in range(0, len(ids), self.room):
+            parts = (ids[at : at + self.room].astype(self.kind), mask[at : at + self.room])
+            columns = [pa.FixedSizeListArray.from_arrays(pa.array(part), self.length) for part in parts]
+            self.file.write_batch(pa.record_batch(columns, schema=self.schema))
         self.n_sequences += len(ids) // self.length
 
     def close(self) -> None:
         """Writes what is left, padded to whole sequences."""
         if self.held:
-            n = -(-self.held // self.length) * self.length
-            ids, mask = np.zeros(n, dtype=self.kind), np.full(n, PAD, dtype=np.uint8)
-            ids[: self.held], mask[: self.held] = np.concatenate(self.ids), np.concatenate(self.masks)
-            for at in range(0, n, self.room):
-                self._write(ids[at : at + self.room], mask[at : at + self.room])
+            ids = np.zeros(-(-self.held // self.length) * self.length, dtype=self.kind)
+            ids[: self.held] = np.concatenate(self.ids)
+            self._write(ids, self.held)
         self.file.close()
 
 
@@ -94,7 +87,9 @@ class SequenceReader:
     def _views(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         if number != self.at:
             batch = self.file.get_batch(number)
-            self.views = tuple(batch.column(k).flatten().to_numpy(zero_copy_only=True) for k in (0, 1))
+            # The ids are a view; the mask has one bit for each and is unpacked.
+            ids, mask = (batch.column(k).flatten() for k in (0, 1))
+            self.views = ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=False)
             self.at = number
         return self.views
 
@@ -113,7 +108,7 @@ class SequenceReader:
             parts.append((ids[at : at + n], mask[at : at + n]))
             n -= len(parts[-1][0])
             start += len(parts[-1][0])
-        return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, np.int64), np.empty(0, np.uint8))
+        return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, np.int64), np.empty(0, bool))
 
 
 def _shard_of(key: Column, bounds: list) -> Column:
@@ -130,19 +125,28 @@ def _shard_of(key: Column, bounds: list) -> Column:
     return F.when(key.isNull(), 0).otherwise(at(0, len(bounds)))
 
 
-def write_sequences(
-    df: DataFrame, folder: str, key: str, ids: str, kind: np.dtype, length: int = LENGTH, shards: int | None = None
-) -> DataFrame:
-    """Writes little-endian ids in ascending order of an integer key, and returns one row per shard.
+def deal(df: DataFrame, key: str, shards: int | None = None) -> DataFrame:
+    """Deals rows out to shards, which are ranges of an integer key of about equal rows, in ascending order inside each shard.
 
-    Shards are ranges of the key of about equal rows, found from the key column alone. Rows with a null key come first,
-    rows of one key next to each other in the order of their ids. Null ids count as none. An empty table writes no file.
+    Adds the number of the shard. The ranges are found from the key column alone. Rows with a null key come first, and rows
+    of one key stand next to each other in one shard.
     """
-    spark = df.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = [k / shards for k in range(1, shards)]
     found = df.approxQuantile(key, wanted, 0.1 / shards) if wanted else []
-    bounds = sorted({int(bound) for bound in found})
+    shard = _shard_of(F.col(key), sorted({int(bound) for bound in found})).cast("int")
+    others = [F.xxhash64(name) for name in df.columns if name != key]
+    dealt = df.withColumn("shard", shard).repartitionById(shards, F.col("shard"))
+    return dealt.sortWithinPartitions("shard", F.col(key).asc_nulls_first(), *others)
+
+
+def write_sequences(df: DataFrame, folder: str, key: str, ids: str, kind: np.dtype, length: int = LENGTH) -> DataFrame:
+    """Writes the little-endian ids of dealt rows in their order, and returns one row per shard.
+
+    Null ids count as none, and a document may have none. Rows of one key are documents each for itself. Columns other than
+    shard, key and ids are dropped, so that their names cannot clash. An empty table writes no file.
+    """
+    spark = df.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(folder)
@@ -182,8 +186,7 @@ def write_sequences(
         if writer:
             yield finish()
 
-    rows = df.select(_shard_of(F.col(key), bounds).cast("int").alias("shard"), F.col(key).cast("long").alias("key"), F.col(ids).alias("ids"))
-    dealt = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "ids")
+    dealt = df.select("shard", F.col(key).cast("long").alias("key"), F.col(ids).alias("ids"))
     manifest = work_folder(spark, "token-manifest")
     dealt.mapInArrow(run, _MANIFEST).write.parquet(manifest)
     return spark.read.parquet(manifest)
@@ -192,7 +195,7 @@ def write_sequences(
 def read_documents(manifest: DataFrame) -> DataFrame:
     """Each document of the files: key, start (ids of all documents before it), n_tokens and ids_crc32 of what the file holds.
 
-    Raises if a mask does not end where a document ends.
+    Raises if a document lies in part in the padding.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +213,7 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                         sums = []
                         for at, n in zip(starts.tolist(), lengths.tolist()):
                             ids, mask = reader.run(at, n)
-                            if n and not (mask[-1] == LAST and (mask[:-1] == TOKEN).all()):
+                            if not mask.all():
                                 raise ValueError(f"the mask of {path} does not fit its documents")
                             sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
                         start = int(starts[-1])
@@ -228,8 +231,7 @@ def op4_token_files(spark: SparkSession, folder: str, path: str | None = None, e
     """Place, length and checksum of every document, as read from the files."""
     path = path or vocabulary("word_bpe_49k.json")
     documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    kept = work_folder(spark, "tokens")
-    library_tokens.tokenize(documents, path, end).write.parquet(kept)
-    tokens = spark.read.parquet(kept)
+    # The texts move, not their ids, which take more room.
+    tokens = library_tokens.tokenize(deal(documents, "doc_id"), path, end)
     manifest = write_sequences(tokens, work_folder(spark, "sequences"), "doc_id", "ids", library_tokens.id_type(path))
     return read_documents(manifest).withColumnRenamed("key", "doc_id")
