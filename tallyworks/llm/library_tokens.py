@@ -7,7 +7,7 @@ a cut. The ids of a text are then those of its pieces in turn, which are the ids
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -136,23 +136,36 @@ def words(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def tokenize(df: DataFrame, path: str, end: int, text: str = "text", ids: str = "ids") -> DataFrame:
+def tokenize(
+    df: DataFrame,
+    path: str,
+    end: int,
+    text: str = "text",
+    ids: str = "ids",
+    key: str | None = None,
+    key_of: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """The columns of the table without the text, and the ids of each text with the end id, as little-endian bytes.
 
     The bytes hold 16 bits for an id if the vocabulary allows, else 32 bits (see id_type). A null or empty text gives the
     end id alone. Texts of any length are encoded whole, repeated rows alike; an empty table gives no rows.
-    A column of the input with the name of the ids is replaced.
+    A column of the input with the name of the ids is replaced. key_of may give one more column of long, from all ids and the
+    lengths of the texts.
     """
-    kept = [field for field in df.schema.fields if field.name not in (text, ids)]
-    schema = T.StructType([*kept, T.StructField(ids, T.BinaryType())])
+    kept = [field for field in df.schema.fields if field.name not in (text, ids, key)]
+    more = [T.StructField(key, T.LongType())] if key else []
+    schema = T.StructType([*kept, T.StructField(ids, T.BinaryType()), *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = words(path)
-        for batch in ragged.slices(batches, text, 4 * ragged.BATCH_BYTES):
+        for batch in ragged.slices(batches, text):
             found, lengths = tokens.encode_ended(batch.column(text), end)
             data = found.astype(tokens.kind).view(np.uint8)
             column = ragged.pieces(data, ragged.offsets(lengths * tokens.kind.itemsize)).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), column], schema.names)
+            columns = [*(batch.column(field.name) for field in kept), column]
+            if key:
+                columns.append(pa.array(key_of(found, lengths)))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return df.mapInArrow(run, schema)
 

@@ -54,26 +54,12 @@ def lexical_keys(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return keys
 
 
-def with_keys(df: DataFrame, ids: str, kind: np.dtype) -> DataFrame:
-    """Adds the lexical key of each document as __key."""
-    schema = T.StructType([*df.schema.fields, T.StructField("__key", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, ids, ragged.BATCH_BYTES):
-            data, bounds = ragged.text_bytes(batch.column(ids))
-            found = np.frombuffer(data.tobytes(), dtype=kind).astype(np.int64)
-            keys = lexical_keys(found, np.diff(bounds) // kind.itemsize)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys)], schema.names)
-
-    return df.mapInArrow(run, schema)
-
-
 def corpus_statistics(df: DataFrame, ids: str, kind: np.dtype, size: int) -> tuple[int, float, np.ndarray]:
     """Number of documents, mean length, and for each token the number of documents that hold it. Bounded by the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, docs, tokens = np.zeros(size, dtype=np.int64), 0, 0
-        for batch in ragged.slices(batches, ids, ragged.BATCH_BYTES):
+        for batch in ragged.slices(batches, ids, ragged.BATCH_BYTES // 2):
             data, bounds = ragged.text_bytes(batch.column(ids))
             found = np.frombuffer(data.tobytes(), dtype=kind).astype(np.int64)
             lengths = np.diff(bounds) // kind.itemsize
@@ -143,24 +129,32 @@ class Shard:
 
 
 def pack(
-    df: DataFrame, ids: str, kind: np.dtype, size: int, key: str = "doc_id", window: int = WINDOW, shards: int | None = None
+    df: DataFrame,
+    ids: str,
+    kind: np.dtype,
+    size: int,
+    near: str,
+    key: str = "doc_id",
+    window: int = WINDOW,
+    shards: int | None = None,
 ) -> DataFrame:
     """Packs the ids of every row into windows: one row per piece, with the key, start (ids of its document before it), length,
     ids (little-endian, 32 bits each), doc_tokens, sequence_id and offset (place in the sequence).
 
-    The ids are little-endian bytes of the given type. A row without ids has no piece. Repeated rows and rows of one key are
+    The ids are little-endian bytes of the given type, of a vocabulary of the given size. Documents with a like value of near,
+    their lexical key, come to one shard. A row without ids has no piece. Repeated rows and rows of one key are
     packed each for itself; a null key is kept. Other columns are dropped, so that their names cannot clash.
     An empty table gives no rows. The stored input is read twice.
     """
     spark = df.sparkSession
     kept = work_folder(spark, "packing")
-    with_keys(df.select(F.col(key), F.col(ids).alias("ids")), "ids", kind).write.parquet(kept)
+    df.select(F.col(key), F.col(ids).alias("ids"), F.col(near).alias("__near")).write.parquet(kept)
     stored = spark.read.parquet(kept)
     docs, mean, frequencies = corpus_statistics(stored, "ids", kind, size)
     weights = np.log1p((docs - frequencies + 0.5) / (frequencies + 0.5))
     shared = spark.sparkContext.broadcast(weights)  # one number per token of the vocabulary
     count = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stored.repartitionByRange(count, "__key", key, F.xxhash64("ids")).sortWithinPartitions("__key", key, "ids")
+    dealt = stored.repartitionByRange(count, "__near", key, F.xxhash64("ids")).sortWithinPartitions("__near", key, "ids")
     key_type = df.schema[key]
     schema = T.StructType([key_type, *(T.StructField(name, one) for name, one in _PIECES)])
 
@@ -222,8 +216,8 @@ def op6_packing(spark: SparkSession, folder: str, path: str | None = None, end:
 
 def packed_documents(documents: DataFrame, path: str, end: int) -> DataFrame:
     """Tokenizes and packs the texts of documents, and gives each piece with the checksum of its ids."""
-    tokens = library_tokens.tokenize(documents.select("doc_id", "text"), path, end)
+    tokens = library_tokens.tokenize(documents.select("doc_id", "text"), path, end, key="near", key_of=lexical_keys)
     size = library_tokens.words(path).size
-    return pack(tokens, "ids", library_tokens.id_type(path), size).select(
+    return pack(tokens, "ids", library_tokens.id_type(path), size, "near").select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
