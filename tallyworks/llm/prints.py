@@ -34,19 +34,19 @@ def frequent(
     docs: DataFrame,
     hashes_of: Callable[[pa.RecordBatch], np.ndarray],
     tables: list[tuple[int, int]],
-    text: str = "text",
+    text: str | None = "text",
     limit: int = ragged.BATCH_BYTES // 2,
     bounded: tuple[bool, ...] = (True,),
 ) -> tuple[list[bytes], int, int]:
     """For each (count, bits) a table of 2**bits bits that marks the hashes with at least that count; also all hashes, and the
     distinct ones.
 
-    hashes_of gives the hashes of a slice of documents, one for each document that has it. A table that is not bounded leaves
+    hashes_of gives the hashes of a slice of documents (of a batch, without a text), one for each document that has it. A table that is not bounded leaves
     no frequent hash out, however full it gets.
     """
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, text, limit):
+        for batch in ragged.slices(batches, text, limit) if text else batches:
             hashes = np.sort(hashes_of(batch)) >> np.uint64(64 - PRINT_BITS)
             low = (hashes & np.uint64((1 << PRINT_BITS - BUCKET_BITS) - 1)).astype("<u4")
             buckets = (hashes >> np.uint64(PRINT_BITS - BUCKET_BITS)).astype(np.int64)

@@ -6,12 +6,14 @@ left and right of the anchor. Since all windows of a place share few anchors, a
 
 1. First digit: the number of documents with each anchor, from 40-bit prints. Groups of one document are done. The
    others are marked in a bit table of fixed size; a mark too many costs a row in the next pass and changes no result.
-2. Further digits: anchors that are marked go to their group with the bytes around them, combined to one row for
-   equal bytes. In the group, the windows at each offset to the anchor are sorted by the rest of their bytes.
-   Equal groups are the repeated windows; each gets its smallest document.
-3. The places of the windows come back to their documents, where all bytes of windows of an earlier document are cut.
-
-Bytes are compared by hashes of 64 bits, together with the 64-bit hash of the anchor.
+2. Further digits: the places of marked anchors come together with a hash of the bytes around them. Where these are the
+   same for all places of an anchor, all windows around it are equal, and the group is done as well.
+3. For the anchors that are left, the bytes go to their group, one row for equal bytes. In the group, the windows at each
+   offset to the anchor are sorted by the rest of their bytes. Each group of equal windows gets its smallest document.
+4. The windows come back to their documents, where all bytes of windows of an earlier document are cut.
+
+An anchor of HOT or more documents is not held in one task: its groups are found by sums that combine before they move, and
+joins that Spark can split. Bytes are compared by hashes of 64 bits, together with the 64-bit hash of the anchor.
 """
 
 from __future__ import annotations
@@ -24,17 +26,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.llm import ragged
+from tallyworks.llm import prints, ragged
+from tallyworks.llm.components import stored
 
 WINDOW = 50
 DIGIT = 25
 SIDE = WINDOW - DIGIT
 STEPS = SIDE + 1
 SLICE = 2 << 20
-BUCKET_BITS = 8
-PRINT_BITS = 40
-TABLE_BITS = 28
+SHARED_BITS, HOT_BITS, OPEN_BITS = 28, 24, 26
+HOT = 20_000
 COMBINE_ROWS = 100_000
+ALL_WINDOWS = (1 << STEPS) - 1
+NONE = np.iinfo(np.int64).max
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -57,14 +61,6 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def mix(values: np.ndarray) -> np.ndarray:
-    values = values ^ (values >> np.uint64(33))
-    values = values * np.uint64(0xFF51AFD7ED558CCD)
-    values ^= values >> np.uint64(33)
-    values *= np.uint64(0xC4CEB9FE1A85EC53)
-    return values ^ (values >> np.uint64(33))
-
-
 def _sliding(values: np.ndarray, least) -> np.ndarray:
     """The least (or largest) of each STEPS neighbouring values."""
     width = 1
@@ -83,7 +79,7 @@ def anchors(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
     powers, inverse = _power_tables(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[flat] * powers[:n], out=sums[1:])
-    grams = mix((sums[DIGIT:] - sums[:-DIGIT]) * inverse[: n - DIGIT + 1])
+    grams = prints.mix((sums[DIGIT:] - sums[:-DIGIT]) * inverse[: n - DIGIT + 1])
     lowest = _sliding(grams, np.minimum)
     tails = np.minimum(np.diff(bounds), WINDOW - 1)
     ends = ragged.places(bounds[1:] - tails, tails)
@@ -106,43 +102,12 @@ def _as_long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def shared_anchors(docs: DataFrame) -> bytes:
-    """The bit table of the anchors that more than one document holds."""
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ragged.slices(batches, "text", SLICE):
-            _, _, _, hashes, rows = _rows(batch)
-            order = np.lexsort((rows, hashes))
-            hashes, rows = hashes[order], rows[order]
-            new = np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))[: len(hashes)]
-            hashes = hashes[new] >> np.uint64(64 - PRINT_BITS)
-            low = (hashes & np.uint64((1 << PRINT_BITS - BUCKET_BITS) - 1)).astype("<u4")
-            buckets = (hashes >> np.uint64(PRINT_BITS - BUCKET_BITS)).astype(np.int64)
-            cuts = np.searchsorted(buckets, np.arange((1 << BUCKET_BITS) + 1))
-            full = np.flatnonzero(np.diff(cuts))
-            data = [low[cuts[b] : cuts[b + 1]].tobytes() for b in full]
-            yield pa.record_batch([pa.array(full.astype(np.int32)), pa.array(data, pa.binary())], ["bucket", "prints"])
-
-    def mark(key, table):
-        values = np.sort(np.concatenate([np.frombuffer(b, dtype="<u4") for b in table.column("prints").to_pylist()]))
-        again = values[1:][values[1:] == values[:-1]] >> np.uint32(PRINT_BITS - TABLE_BITS)
-        bits = np.zeros(1 << TABLE_BITS - BUCKET_BITS, dtype=np.uint8)
-        bits[again] = 1
-        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    # The table has a fixed number of bits, whatever the number of documents.
-    rows = docs.mapInArrow(prints, "bucket int, prints binary").groupBy("bucket").applyInArrow(mark, "bucket int, bits binary")
-    size = 1 << TABLE_BITS - BUCKET_BITS - 3
-    table = bytearray(size << BUCKET_BITS)
-    for row in rows.toLocalIterator():
-        table[row.bucket * size : (row.bucket + 1) * size] = row.bits
-    return bytes(table)
-
-
-def _marked(table: bytes, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes >> np.uint64(64 - TABLE_BITS)
-    byte = np.frombuffer(table, dtype=np.uint8)[(slot >> np.uint64(3)).astype(np.int64)]
-    return (byte >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1 > 0
+def _document_anchors(batch: pa.RecordBatch) -> np.ndarray:
+    """The hashes of the anchors of each text, each once for a text."""
+    _, _, _, hashes, rows = _rows(batch)
+    order = np.lexsort((rows, hashes))
+    hashes, rows = hashes[order], rows[order]
+    return hashes[np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))[: len(hashes)]]
 
 
 def _around(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -160,7 +125,7 @@ def _context_hash(around: np.ndarray) -> np.ndarray:
     for k in range(SIDE):
         total += _BYTE[around[:, k]] * _LEFT[k] + _BYTE[around[:, SIDE + k]] * _RIGHT[k]
     total += around[:, 2 * SIDE].astype(np.uint64) * np.uint64(_BASE) + around[:, 2 * SIDE + 1].astype(np.uint64) * np.uint64(_BASE_INVERSE)
-    return mix(total)
+    return prints.mix(total)
 
 
 def _merged(hashes, contexts, around, least, most):
@@ -171,14 +136,17 @@ def _merged(hashes, contexts, around, least, most):
     return hashes[new], contexts[new], around[order[new]], np.minimum.reduceat(least, new), np.maximum.reduceat(most, new)
 
 
-def _context_rows(table):
+def _context_rows(tables, hot: bool):
+    """Rows (anchor, context, around, least, most) of the open anchors of texts, combined for equal bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
+        open_table, hot_table = tables.value
 
         def combined() -> pa.RecordBatch:
             hashes, contexts, around, least, most = _merged(*(np.concatenate(part) for part in zip(*held)))
-            flat = pa.array(np.ascontiguousarray(around).reshape(-1))
-            column = pa.FixedSizeBinaryArray.from_buffers(pa.binary(around.shape[1]), len(around), [None, flat.buffers()[1]]).cast(pa.binary())
+            flat = np.ascontiguousarray(around).reshape(-1)
+            column = ragged.pieces(flat, np.arange(len(around) + 1) * around.shape[1]).cast(pa.binary())
             return pa.record_batch(
                 [_as_long(hashes), _as_long(contexts), column, pa.array(least), pa.array(most)],
                 ["anchor", "context", "around", "least", "most"],
@@ -186,8 +154,8 @@ def _context_rows(table):
 
         for batch in ragged.slices(batches, "text", SLICE):
             flat, bounds, at, hashes, rows = _rows(batch)
-            marked = _marked(table.value, hashes)
-            at, hashes, rows = at[marked], hashes[marked], rows[marked]
+            chosen = prints.marked(open_table, hashes) & (prints.marked(hot_table, hashes) == hot)
+            at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
             if not len(at):
                 continue
             around = _around(flat, bounds, at, rows)
@@ -203,88 +171,140 @@ def _context_rows(table):
     return run
 
 
-def _place_rows(table):
+def _place_rows(tables, hot: bool):
+    """Rows (anchor, context, doc_id, place) of the shared anchors of texts; the upper bits of a place tell the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared_table, hot_table = tables.value
         for batch in ragged.slices(batches, "text", SLICE):
             flat, bounds, at, hashes, rows = _rows(batch)
-            marked = _marked(table.value, hashes)
-            at, hashes, rows = at[marked], hashes[marked], rows[marked]
+            chosen = prints.marked(shared_table, hashes) & (prints.marked(hot_table, hashes) == hot)
+            at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
             if not len(at):
                 continue
             contexts = _context_hash(_around(flat, bounds, at, rows))
-            ids, keys = (batch.column(name).to_numpy()[rows] for name in ("doc_id", "row_key"))
-            place = pa.array(at - bounds[rows])
+            ids, keys = (batch.column(name).to_numpy()[rows] for name in ("doc_id", "text_key"))
+            place = keys << 32 | at - bounds[rows]
             yield pa.record_batch(
-                [_as_long(hashes), _as_long(contexts), pa.array(ids), pa.array(keys), place],
-                ["anchor", "context", "doc_id", "row_key", "place"],
+                [_as_long(hashes), _as_long(contexts), pa.array(ids), pa.array(place)], ["anchor", "context", "doc_id", "place"]
             )
 
     return run
 
 
-def _group_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each anchor in its bytes, the first documents of the windows around it: one row per document, with a bit per window."""
-    held = []
-    for batch in batches:
-        if batch.num_rows:
-            data, _ = ragged.text_bytes(batch.column("around"))
-            longs = [batch.column(name).to_numpy() for name in ("anchor", "context", "least", "most")]
-            held.append((longs[0].view(np.uint64), longs[1].view(np.uint64), data.reshape(-1, 2 * SIDE + 2), longs[2], longs[3]))
-    if not held:
+def _columns(batches: Iterator[pa.RecordBatch], names: list[str]) -> list[np.ndarray]:
+    held = [[batch.column(name).to_numpy() for name in names] for batch in batches if batch.num_rows]
+    return [np.concatenate(part) for part in zip(*held)] if held else [np.empty(0, dtype=np.int64) for _ in names]
+
+
+def _group_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of anchors that more than one document holds: all windows where their bytes are the same everywhere, else none yet."""
+    names = ["anchor", "context", "doc_id", "place"]
+    anchor, context, document, place = _columns(batches, names)
+    if not len(anchor):
         return
-    hashes, contexts, around, least, most = _merged(*(np.concatenate(part) for part in zip(*held)))
-    del held
-    groups = np.append(True, hashes[1:] != hashes[:-1])
-    size = np.diff(np.append(np.flatnonzero(groups), len(hashes)))
-    # An anchor of one document is here by a mark too many.
-    alive = (np.repeat(size, size) > 1) | (least < most)
-    hashes, contexts, around, least, most = (part[alive] for part in (hashes, contexts, around, least, most))
+    order = np.argsort(anchor, kind="stable")
+    anchor, context, document, place = anchor[order], context[order], document[order], place[order]
+    starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    sizes = np.diff(np.append(starts, len(anchor)))
+    least = np.repeat(np.minimum.reduceat(document, starts), sizes)
+    several = np.repeat(np.maximum.reduceat(document, starts), sizes) > least
+    same = np.repeat(np.minimum.reduceat(context, starts) == np.maximum.reduceat(context, starts), sizes)
+    keep = several & (~same | (document > least))
+    columns = [part[keep] for part in (anchor, context, document, place, np.where(same, ALL_WINDOWS, 0))]
+    for at in range(0, len(columns[0]), COMBINE_ROWS):
+        yield pa.record_batch([pa.array(part[at : at + COMBINE_ROWS]) for part in columns], [*names, "windows"])
+
+
+def _window_codes(hashes: np.ndarray, around: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each number of bytes left of the anchor: that number, the rows with such a window, and hashes of the windows."""
     n = len(hashes)
-    if not n:
-        return
     left = np.zeros((n, STEPS), dtype=np.uint64)
     right = np.zeros((n, STEPS), dtype=np.uint64)
     for k in range(SIDE):
         left[:, k + 1] = left[:, k] + _BYTE[around[:, k]] * _LEFT[k]
         right[:, k + 1] = right[:, k] + _BYTE[around[:, SIDE + k]] * _RIGHT[k]
-    first = np.full((n, STEPS), np.iinfo(np.int64).max)
-    anchor = mix(hashes)
+    anchor = prints.mix(hashes)
     for k in range(STEPS):
         rows = np.flatnonzero((around[:, 2 * SIDE] >= k) & (around[:, 2 * SIDE + 1] >= SIDE - k))
-        if not len(rows):
-            continue
-        keys = anchor[rows] + left[rows, k] + right[rows, SIDE - k]
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        if len(rows):
+            yield k, rows, prints.mix(anchor[rows] + left[rows, k] + right[rows, SIDE - k] + np.uint64(k))
+
+
+def _contexts(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    data, _ = ragged.text_bytes(batch.column("around"))
+    anchor, context, least, most = (batch.column(name).to_numpy() for name in ("anchor", "context", "least", "most"))
+    return anchor.view(np.uint64), context.view(np.uint64), data.reshape(-1, 2 * SIDE + 2), least, most
+
+
+def _group_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each anchor in its bytes, the first documents of the windows around it: one row per document, with a bit per window."""
+    held = [_contexts(batch) for batch in batches if batch.num_rows]
+    if not held:
+        return
+    hashes, contexts, around, least, most = _merged(*(np.concatenate(part) for part in zip(*held)))
+    first = np.full((len(hashes), STEPS), NONE)
+    for k, rows, codes in _window_codes(hashes, around):
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        new = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
         lowest = np.minimum.reduceat(least[rows[order]], new)
-        first[rows[order], k] = np.repeat(lowest, np.diff(np.append(new, len(keys))))
-    first[first >= most[:, None]] = np.iinfo(np.int64).max
-    row, step = np.nonzero(first < np.iinfo(np.int64).max)
+        first[rows[order], k] = np.repeat(lowest, np.diff(np.append(new, len(codes))))
+    first[first >= most[:, None]] = NONE
+    row, step = np.nonzero(first < NONE)
+    if not len(row):
+        return
     document = first[row, step]
     order = np.lexsort((document, row))
     row, step, document = row[order], step[order], document[order]
-    if not len(row):
-        return
     new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (document[1:] != document[:-1])))
     bits = np.bitwise_or.reduceat(np.int64(1) << step, new)
     row, document = row[new], document[new]
     yield pa.record_batch(
         [_as_long(hashes[row]), _as_long(contexts[row]), pa.array(document), pa.array(bits)],
-        ["anchor", "context", "first", "windows"],
+        ["anchor", "context", "first", "found"],
     )
 
 
+def _spread_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each window of an anchor in its bytes."""
+    for batch in batches:
+        hashes, contexts, around, least, most = _contexts(batch)
+        for k, rows, codes in _window_codes(hashes, around):
+            columns = [hashes[rows].view(np.int64), contexts[rows].view(np.int64), codes.view(np.int64), least[rows], most[rows]]
+            bit = np.full(len(rows), np.int64(1) << k)
+            yield pa.record_batch([*map(pa.array, columns), pa.array(bit)], ["anchor", "context", "code", "least", "most", "bit"])
+
+
+def _hot_places(places: DataFrame) -> DataFrame:
+    """As _group_places, by sums and a join."""
+    groups = places.groupBy("anchor").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), (F.min("context") == F.max("context")).alias("same")
+    )
+    joined = places.join(groups.filter("least < most"), "anchor").filter("NOT same OR doc_id > least")
+    windows = F.when(F.col("same"), F.lit(ALL_WINDOWS)).otherwise(0).cast("long").alias("windows")
+    return joined.select("anchor", "context", "doc_id", "place", windows)
+
+
+def _hot_windows(contexts: DataFrame) -> DataFrame:
+    """As _group_windows, by sums and a join."""
+    spread = contexts.mapInArrow(_spread_windows, "anchor long, context long, code long, least long, most long, bit long")
+    firsts = spread.groupBy("code").agg(F.min("least").alias("first"))
+    joined = spread.join(firsts, "code").filter(F.col("first") < F.col("most"))
+    return joined.groupBy("anchor", "context", "first").agg(F.bit_or("bit").alias("found"))
+
+
 def _cut(places: np.ndarray, windows: np.ndarray, n: int) -> np.ndarray:
     """Which of n bytes lie in one of the windows; bit k of a place means the window that begins k bytes before it."""
     step = np.arange(STEPS)
     row, k = np.nonzero((windows[:, None] >> step) & 1)
     starts = places[row] - k
+    starts = starts[(starts >= 0) & (starts <= n - WINDOW)]
     change = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(starts + WINDOW, minlength=n + 1)[: n + 1]
     return np.cumsum(change)[:n] > 0
 
 
-def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: str = "kept") -> DataFrame:
+def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: str = "kept", hot: int = HOT) -> DataFrame:
     """Cuts from each text all bytes of windows that also begin in a document with a smaller key.
 
     Adds n_bytes, n_removed, n_spans (runs of removed bytes) and the bytes that are left, as binary. Columns of the input with
@@ -295,23 +315,40 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: st
     spark = df.sparkSession
     added = ("n_bytes", "n_removed", "n_spans", kept)
     base = df.drop(*(name for name in added if name != text))
-    row_key = F.xxhash64(F.col(text))
+    text_key = F.shiftrightunsigned(F.xxhash64(F.col(text)), 33)
     docs = base.filter(F.col(key).isNotNull() & (F.octet_length(text) >= WINDOW)).select(
-        F.col(key).cast("long").alias("doc_id"), row_key.alias("row_key"), F.col(text).alias("text")
+        F.col(key).cast("long").alias("doc_id"), text_key.alias("text_key"), F.col(text).alias("text")
+    )
+    (shared, heavy), _, _ = prints.frequent(
+        docs.select("text"), _document_anchors, [(2, SHARED_BITS), (hot, HOT_BITS)], limit=SLICE, bounded=(False, False)
     )
-    table = spark.sparkContext.broadcast(shared_anchors(docs))
+    tables = spark.sparkContext.broadcast((shared, heavy))  # tables of a fixed number of bits
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    contexts = docs.select("doc_id", "text").mapInArrow(
-        _context_rows(table), "anchor long, context long, around binary, least long, most long"
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartitionById(count, F.pmod("anchor", F.lit(count)).cast("int"))
+
+    rows = "anchor long, context long, doc_id long, place long"
+    cold = dealt(docs.mapInArrow(_place_rows(tables, False), rows)).mapInArrow(_group_places, f"{rows}, windows long")
+    places = stored(cold.union(_hot_places(docs.mapInArrow(_place_rows(tables, True), rows))), "anchors")
+    unknown = places.filter("windows = 0")
+    (still_open,), _, _ = prints.frequent(
+        unknown.select("anchor"), lambda batch: batch.column("anchor").to_numpy().view(np.uint64), [(1, OPEN_BITS)], text=None, bounded=(False,)
     )
-    windows = contexts.repartitionById(count, F.pmod("anchor", F.lit(count)).cast("int")).mapInArrow(
-        _group_windows, "anchor long, context long, first long, windows long"
+    tables = spark.sparkContext.broadcast((still_open, heavy))
+    rows = "anchor long, context long, around binary, least long, most long"
+    texts = docs.select("doc_id", "text")
+    windows = dealt(texts.mapInArrow(_context_rows(tables, False), rows)).mapInArrow(
+        _group_windows, "anchor long, context long, first long, found long"
     )
-    places = docs.mapInArrow(_place_rows(table), "anchor long, context long, doc_id long, row_key long, place long")
-    found = places.join(windows, ["anchor", "context"]).filter(F.col("first") < F.col("doc_id"))
-    cuts = found.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("place", "windows")).alias("__cuts"))
-    named = base.withColumns({"__key": F.col(key).cast("long"), "__row_key": row_key})
-    joined = named.join(cuts, (F.col("__key") == cuts["doc_id"]) & (F.col("__row_key") == cuts["row_key"]), "left")
+    windows = windows.union(_hot_windows(texts.mapInArrow(_context_rows(tables, True), rows)))
+    found = unknown.join(windows, ["anchor", "context"]).filter(F.col("first") < F.col("doc_id"))
+    found = found.select("doc_id", "place", F.col("found").alias("windows"))
+    found = places.filter("windows <> 0").select("doc_id", "place", "windows").union(found)
+    pair = F.struct((F.col("place") % F.lit(1 << 32)).alias("place"), "windows")
+    cuts = found.groupBy("doc_id", F.shiftright("place", 32).alias("text_key")).agg(F.collect_list(pair).alias("__cuts"))
+    named = base.withColumns({"__key": F.col(key).cast("long"), "__text_key": text_key})
+    joined = named.join(cuts, (F.col("__key") == cuts["doc_id"]) & (F.col("__text_key") == cuts["text_key"]), "left")
     joined = joined.select(*[named[name] for name in base.columns], cuts["__cuts"])
     fields = [field for field in base.schema.fields if field.name != kept]
     longs = [T.StructField(name, T.LongType()) for name in added[:3]]
