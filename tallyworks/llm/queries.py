@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, jaccard, packing, quality_rules, suffix_dedup, token_files
+from tallyworks.llm import bpe, jaccard, packing, pii, quality_rules, suffix_dedup, token_files
 
 QUERIES = {
     "op2_jaccard_join": jaccard.op2_jaccard_join,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_bpe": bpe.op8_bpe,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLES = {
