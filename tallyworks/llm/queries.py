@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, jaccard, packing, pii, quality_rules, suffix_dedup, token_files
+from tallyworks.llm import bpe, jaccard, packing, pii, quality_rules, rule_ensemble, suffix_dedup, token_files
 
 QUERIES = {
+    "op1_rule_ensemble": rule_ensemble.op1_rule_ensemble,
     "op2_jaccard_join": jaccard.op2_jaccard_join,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_files": token_files.op4_token_files,
