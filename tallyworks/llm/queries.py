@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, jaccard, packing, pii, quality_rules, rule_ensemble, suffix_dedup, token_files
+from tallyworks.llm import bpe, jaccard, packing, pii, projection_forest, quality_rules, rule_ensemble, suffix_dedup, token_files
 
 QUERIES = {
     "op1_rule_ensemble": rule_ensemble.op1_rule_ensemble,
     "op2_jaccard_join": jaccard.op2_jaccard_join,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_token_files": token_files.op4_token_files,
+    "op5_projection_forest": projection_forest.op5_projection_forest,
     "op6_packing": packing.op6_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_bpe": bpe.op8_bpe,
