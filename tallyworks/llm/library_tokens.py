@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from tokenizers import Tokenizer
 from tallyworks.llm import ragged
 
 JOINED = 200
+CACHED = 300_000
 
 
 def _table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -47,6 +49,8 @@ class WordTokens:
         self.ends = np.zeros(self.size, dtype=bool)
         for token, number in vocab.items():
             self.ends[number] = token.endswith("</w>")
+        self.known: dict[bytes, int] = {}
+        self.kept, self.kept_lengths = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content.lower().encode() for token in added]
 
@@ -67,19 +71,33 @@ class WordTokens:
         plain = np.add.reduceat(self._letters(flat) & PLAIN[flat], bounds[:-1]) == sizes
         number = np.empty(len(words), dtype=np.int64)
         number[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(words))
-        letters = words.filter(pa.array(plain)).cast(pa.large_string()).to_pylist()
-        joined = [" ".join(letters[at : at + JOINED]) for at in range(0, len(letters), JOINED)]
-        found = [np.array(one.ids, dtype=np.int64) for one in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.concatenate([np.empty(0, dtype=np.int64), *found])
-        lengths = np.diff(np.append(-1, np.flatnonzero(self.ends[ids])))
-        if len(lengths) != len(letters):
-            raise ValueError("the vocabulary does not mark the ends of words")
+        ids, lengths = self._letter_words(words.filter(pa.array(plain)).to_pylist())
         others = words.filter(pa.array(~plain)).cast(pa.large_string()).to_pylist()
         rest = [one.ids for one in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         ids = np.concatenate([ids, np.array([i for one in rest for i in one], dtype=np.int64)])
         lengths = np.concatenate([lengths, np.array([len(one) for one in rest], dtype=np.int64)])
         return ragged.take(ids, ragged.offsets(lengths), number)
 
+    def _letter_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, flat, and their lengths. The first CACHED words that come up are kept for later slices."""
+        index = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(index < 0)
+        new = [words[at] for at in missing.tolist()]
+        joined = [b" ".join(new[at : at + JOINED]).decode() for at in range(0, len(new), JOINED)]
+        found = [np.array(one.ids, dtype=np.int64) for one in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate([np.empty(0, dtype=np.int64), *found])
+        lengths = np.diff(np.append(-1, np.flatnonzero(self.ends[ids])))
+        if len(lengths) != len(new):
+            raise ValueError("the vocabulary does not mark the ends of words")
+        index[missing] = len(self.known) + np.arange(len(new))
+        result = ragged.take(np.concatenate([self.kept, ids]), ragged.offsets(np.concatenate([self.kept_lengths, lengths])), index)
+        room = min(CACHED - len(self.known), len(new))
+        if room > 0:
+            self.known.update(zip(new[:room], range(len(self.known), len(self.known) + room)))
+            self.kept = np.concatenate([self.kept, ids[: lengths[:room].sum()]])
+            self.kept_lengths = np.concatenate([self.kept_lengths, lengths[:room]])
+        return result
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each text, flat, and their lengths; null counts as empty."""
         flat, bounds = ragged.text_bytes(column)

@@ -40,17 +40,12 @@ _PIECES = [
 
 def lexical_keys(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """For each document the smallest hash of its rarest tokens; tokens that were merged later have higher ids and are rarer."""
-    rows = np.repeat(np.arange(len(lengths)), lengths)
-    terms = np.unique(rows << 32 | ids)
-    row = terms >> 32
-    last = np.searchsorted(row, np.arange(len(lengths)), side="right")
-    rare = np.arange(len(terms)) >= last[row] - KEY_TERMS
-    row, term = row[rare], (terms[rare] & 0xFFFFFFFF).astype(np.uint64)
-    hashes = (term * np.uint64(0x9E3779B97F4A7C15) ^ (term << np.uint64(17))) * np.uint64(0xC4CEB9FE1A85EC53) >> np.uint64(1)
     keys = np.zeros(len(lengths), dtype=np.int64)
-    if len(row):
-        starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        keys[row[starts]] = np.minimum.reduceat(hashes, starts).astype(np.int64)
+    ends = ragged.offsets(lengths)
+    for row in np.flatnonzero(lengths).tolist():
+        term = np.unique(ids[ends[row] : ends[row + 1]])[-KEY_TERMS:].astype(np.uint64)
+        hashes = (term * np.uint64(0x9E3779B97F4A7C15) ^ (term << np.uint64(17))) * np.uint64(0xC4CEB9FE1A85EC53) >> np.uint64(1)
+        keys[row] = int(hashes.min())
     return keys
 
 
@@ -58,13 +53,17 @@ def corpus_statistics(df: DataFrame, ids: str, kind: np.dtype, size: int) -> tup
     """Number of documents, mean length, and for each token the number of documents that hold it. Bounded by the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, docs, tokens = np.zeros(size, dtype=np.int64), 0, 0
+        held, there, docs, tokens = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool), 0, 0
         for batch in ragged.slices(batches, ids, ragged.BATCH_BYTES // 2):
             data, bounds = ragged.text_bytes(batch.column(ids))
             found = np.frombuffer(data.tobytes(), dtype=kind).astype(np.int64)
             lengths = np.diff(bounds) // kind.itemsize
-            terms = np.unique(np.repeat(np.arange(len(lengths)), lengths) << 32 | found) & 0xFFFFFFFF
-            held += np.bincount(terms, minlength=size)[:size]
+            ends = ragged.offsets(lengths)
+            for row in range(len(lengths)):
+                term = found[ends[row] : ends[row + 1]]
+                there[term] = True
+                held += there
+                there[term] = False
             docs, tokens = docs + len(lengths), tokens + len(found)
         token = np.append(np.flatnonzero(held), [-1, -2])
         number = np.append(held[token[:-2]], [docs, tokens])
@@ -86,11 +85,11 @@ class Shard:
         self.ids = [item[2] for item in items]
         self.begin = [item[1] for item in items]
         self.unused = np.ones(len(items), dtype=bool)
-        lengths = np.array([len(ids) for ids in self.ids])
-        rows = np.repeat(np.arange(len(items)), lengths)
+        self.lengths = np.array([len(ids) for ids in self.ids])
+        rows = np.repeat(np.arange(len(items)), self.lengths)
         pairs, times = np.unique(np.concatenate(self.ids).astype(np.int64) << 32 | rows, return_counts=True)
         terms, rows = pairs >> 32, pairs & 0xFFFFFFFF
-        scale = K1 * (1 - B + B * lengths[rows] / max(mean, 1.0))
+        scale = K1 * (1 - B + B * self.lengths[rows] / max(mean, 1.0))
         self.posting_rows, self.posting_scores = rows, weights[terms] * times * (K1 + 1) / (times + scale)
         self.bounds = np.searchsorted(terms, np.arange(len(weights) + 1))
         order = np.argsort(rows, kind="stable")
@@ -112,19 +111,20 @@ class Shard:
                 continue
             self.unused[seed] = False
             filled, room = [(seed, self.begin[seed], self.ids[seed])], window - len(self.ids[seed])
-            longer = -1
-            for row in self.neighbours(seed) if room else ():
-                if len(self.ids[row]) <= room:
-                    filled.append((row, self.begin[row], self.ids[row]))
-                    self.unused[row] = False
-                    room -= len(self.ids[row])
-                    if not room:
-                        break
-                elif longer < 0:
-                    longer = row
-            if room and longer >= 0:
-                filled.append((longer, self.begin[longer], self.ids[longer][:room]))
-                self.ids[longer], self.begin[longer] = self.ids[longer][room:], self.begin[longer] + room
+            order = self.neighbours(seed) if room else np.empty(0, dtype=np.int64)
+            fits = np.flatnonzero(self.lengths[order] <= room)
+            while room and len(fits):
+                row = int(order[fits[0]])
+                filled.append((row, self.begin[row], self.ids[row]))
+                self.unused[row] = False
+                room -= len(self.ids[row])
+                fits = fits[1:][self.lengths[order[fits[1:]]] <= room]
+            rest = order[self.unused[order]] if room else order[:0]
+            if len(rest):
+                row = int(rest[0])
+                filled.append((row, self.begin[row], self.ids[row][:room]))
+                self.ids[row], self.begin[row] = self.ids[row][room:], self.begin[row] + room
+                self.lengths[row] -= room
             yield filled
 
 
