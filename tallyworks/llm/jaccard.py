@@ -158,13 +158,14 @@ def _list_rows(light: int, tables, words: int, threshold: int):
                     entries.append(prints.mix(left + np.uint64(c)).reshape(-1))
                     rows.append(np.repeat(owners, len(chosen)))
                     places.append(np.full(len(owners) * len(chosen), -1))
-            # In one order of all members: the frequent ones last, else by hash.
+            # In one order of all members: those of one document first, the frequent ones last, else by hash.
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.lexsort((hashes, prints.marked(frequent, hashes), owner))
+            level = prints.marked(shared, hashes).astype(np.int8) + prints.marked(frequent, hashes)
+            order = np.lexsort((hashes, level, owner))
             place = np.arange(len(hashes)) - bounds[owner]
             n = sizes[owner]
-            hashes = hashes[order]
-            listed = (place <= n - least_need(n, threshold)) & (n >= heavy_from) & prints.marked(shared, hashes)
+            hashes, level = hashes[order], level[order]
+            listed = (place <= n - least_need(n, threshold)) & (n >= heavy_from) & (level > 0)
             entries.append(hashes[listed])
             rows.append(owner[listed])
             places.append(place[listed])
