@@ -6,14 +6,16 @@ left and right of the anchor. Since all windows of a place share few anchors, a
 
 1. First digit: the number of documents with each anchor, from 40-bit prints. Groups of one document are done. The
    others are marked in a bit table of fixed size; a mark too many costs a row in the next pass and changes no result.
-2. Further digits: the places of marked anchors come together with a hash of the bytes around them. Where these are the
-   same for all places of an anchor, all windows around it are equal, and the group is done as well.
-3. For the anchors that are left, the bytes go to their group, one row for equal bytes. In the group, the windows at each
+2. Second digit: the same for marked anchors with the NEXT bytes to the right, and with those to the left. Every window holds
+   one of the two.
+3. Further digits: the places that are still marked come together with a hash of the bytes around them. Where these are
+   the same for all places of an anchor, all windows around it are equal, and the group is done as well.
+4. For the anchors that are left, the bytes go to their group, one row for equal bytes. In the group, the windows at each
    offset to the anchor are sorted by the rest of their bytes. Each group of equal windows gets its smallest document.
-4. The windows come back to their documents, where all bytes of windows of an earlier document are cut.
+5. The windows come back to their documents, where all bytes of windows of an earlier document are cut.
 
-An anchor of HOT or more documents is not held in one task: its groups are found by sums that combine before they move, and
-joins that Spark can split. Bytes are compared by hashes of 64 bits, together with the 64-bit hash of the anchor.
+An anchor of HOT or more documents is not held in one task: its places are dealt out by document, and its groups are found by
+sums that combine before they move, and joins that Spark can split. Bytes are compared by hashes of 64 bits, together with the 64-bit hash of the anchor.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,10 +37,13 @@ DIGIT = 25
 SIDE = WINDOW - DIGIT
 STEPS = SIDE + 1
 SLICE = 2 << 20
+BLOCK = 1 << 18
+NEXT = SIDE // 2 + 1
 SHARED_BITS, HOT_BITS, OPEN_BITS = 28, 24, 26
 HOT = 20_000
 COMBINE_ROWS = 100_000
 ALL_WINDOWS = (1 << STEPS) - 1
+HOT_ROW = -1
 NONE = np.iinfo(np.int64).max
 
 _BASE = 0x9E3779B97F4A7C15
@@ -94,7 +100,15 @@ def anchors(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes and bounds of the texts, the anchors with their rows and hashes."""
     flat, bounds = ragged.text_bytes(batch.column("text"))
-    at, hashes = anchors(flat, bounds)
+    places, codes, begin = [], [], 0
+    while begin < batch.num_rows:  # blocks that fit into the caches
+        end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + BLOCK, side="right")) - 1)
+        low = bounds[begin]
+        at, hashes = anchors(flat[low : bounds[end]], bounds[begin : end + 1] - low)
+        places.append(at + low)
+        codes.append(hashes)
+        begin = end
+    at, hashes = np.concatenate(places), np.concatenate(codes)
     return flat, bounds, at, hashes, np.searchsorted(bounds, at, side="right") - 1
 
 
@@ -102,12 +116,55 @@ def _as_long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def _once(codes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The codes of each row, each once for a row."""
+    order = np.lexsort((rows, codes))
+    codes, rows = codes[order], rows[order]
+    return codes[np.append(True, (codes[1:] != codes[:-1]) | (rows[1:] != rows[:-1]))[: len(codes)]]
+
+
 def _document_anchors(batch: pa.RecordBatch) -> np.ndarray:
-    """The hashes of the anchors of each text, each once for a text."""
     _, _, _, hashes, rows = _rows(batch)
-    order = np.lexsort((rows, hashes))
-    hashes, rows = hashes[order], rows[order]
-    return hashes[np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))[: len(hashes)]]
+    return _once(hashes, rows)
+
+
+def _second_digits(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray, hashes: np.ndarray, rows: np.ndarray):
+    """Codes of each anchor with the NEXT bytes to its right, and to its left, and where there are as many."""
+    right, left = prints.mix(hashes), prints.mix(hashes ^ np.uint64(_BASE))
+    for k in range(NEXT):
+        right += _BYTE[flat[np.minimum(at + DIGIT + k, len(flat) - 1)]] * _RIGHT[k]
+        left += _BYTE[flat[np.maximum(at - 1 - k, 0)]] * _LEFT[k]
+    return prints.mix(right), at + DIGIT + NEXT <= bounds[rows + 1], prints.mix(left), at - NEXT >= bounds[rows]
+
+
+def _document_digits(tables):
+    def run(batch: pa.RecordBatch) -> np.ndarray:
+        flat, bounds, at, hashes, rows = _rows(batch)
+        chosen = prints.marked(tables.value[0], hashes)
+        at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
+        if not len(at):
+            return hashes
+        right, has_right, left, has_left = _second_digits(flat, bounds, at, hashes, rows)
+        return _once(np.concatenate([right[has_right], left[has_left]]), np.concatenate([rows[has_right], rows[has_left]]))
+
+    return run
+
+
+def _marked_rows(batch: pa.RecordBatch, first: bytes, second: bytes):
+    """As _rows, with the anchors that are marked by both digits."""
+    flat, bounds, at, hashes, rows = _rows(batch)
+    chosen = prints.marked(first, hashes)
+    at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
+    if len(at):
+        right, has_right, left, has_left = _second_digits(flat, bounds, at, hashes, rows)
+        chosen = (prints.marked(second, right) & has_right) | (prints.marked(second, left) & has_left)
+        at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
+    return flat, bounds, at, hashes, rows
+
+
+def _slots(hashes: np.ndarray, ids: np.ndarray, hot: np.ndarray, count: int) -> pa.Array:
+    """The task of each row: by anchor, or by document for a hot anchor."""
+    return pa.array((np.where(hot, prints.mix(ids.astype(np.uint64)), hashes) % np.uint64(count)).astype(np.int32))
 
 
 def _around(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -136,25 +193,26 @@ def _merged(hashes, contexts, around, least, most):
     return hashes[new], contexts[new], around[order[new]], np.minimum.reduceat(least, new), np.maximum.reduceat(most, new)
 
 
-def _context_rows(tables, hot: bool):
-    """Rows (anchor, context, around, least, most) of the open anchors of texts, combined for equal bytes."""
+def _context_rows(tables, count: int):
+    """Rows (slot, hot, anchor, context, around, least, most) of the open anchors of texts, combined for equal bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        open_table, hot_table = tables.value
+        first, second, hot_table, open_table = tables.value
 
         def combined() -> pa.RecordBatch:
             hashes, contexts, around, least, most = _merged(*(np.concatenate(part) for part in zip(*held)))
             flat = np.ascontiguousarray(around).reshape(-1)
             column = ragged.pieces(flat, np.arange(len(around) + 1) * around.shape[1]).cast(pa.binary())
+            hot = prints.marked(hot_table, hashes)
+            columns = [_slots(hashes, least, hot, count), pa.array(hot), _as_long(hashes), _as_long(contexts), column]
             return pa.record_batch(
-                [_as_long(hashes), _as_long(contexts), column, pa.array(least), pa.array(most)],
-                ["anchor", "context", "around", "least", "most"],
+                [*columns, pa.array(least), pa.array(most)], ["slot", "hot", "anchor", "context", "around", "least", "most"]
             )
 
         for batch in ragged.slices(batches, "text", SLICE):
-            flat, bounds, at, hashes, rows = _rows(batch)
-            chosen = prints.marked(open_table, hashes) & (prints.marked(hot_table, hashes) == hot)
+            flat, bounds, at, hashes, rows = _marked_rows(batch, first, second)
+            chosen = prints.marked(open_table, hashes)
             at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
             if not len(at):
                 continue
@@ -171,38 +229,45 @@ def _context_rows(tables, hot: bool):
     return run
 
 
-def _place_rows(tables, hot: bool):
-    """Rows (anchor, context, doc_id, place) of the shared anchors of texts; the upper bits of a place tell the text."""
+def _place_rows(tables, count: int):
+    """Rows (slot, hot, anchor, context, doc_id, place) of the shared anchors; the upper bits of a place tell the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared_table, hot_table = tables.value
+        first, second, hot_table = tables.value
         for batch in ragged.slices(batches, "text", SLICE):
-            flat, bounds, at, hashes, rows = _rows(batch)
-            chosen = prints.marked(shared_table, hashes) & (prints.marked(hot_table, hashes) == hot)
-            at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
+            flat, bounds, at, hashes, rows = _marked_rows(batch, first, second)
             if not len(at):
                 continue
             contexts = _context_hash(_around(flat, bounds, at, rows))
             ids, keys = (batch.column(name).to_numpy()[rows] for name in ("doc_id", "text_key"))
-            place = keys << 32 | at - bounds[rows]
-            yield pa.record_batch(
-                [_as_long(hashes), _as_long(contexts), pa.array(ids), pa.array(place)], ["anchor", "context", "doc_id", "place"]
-            )
+            hot = prints.marked(hot_table, hashes)
+            columns = [_slots(hashes, ids, hot, count), pa.array(hot), _as_long(hashes), _as_long(contexts), pa.array(ids)]
+            place = pa.array(keys << 32 | at - bounds[rows])
+            yield pa.record_batch([*columns, place], ["slot", "hot", "anchor", "context", "doc_id", "place"])
 
     return run
 
 
-def _columns(batches: Iterator[pa.RecordBatch], names: list[str]) -> list[np.ndarray]:
-    held = [[batch.column(name).to_numpy() for name in names] for batch in batches if batch.num_rows]
-    return [np.concatenate(part) for part in zip(*held)] if held else [np.empty(0, dtype=np.int64) for _ in names]
+def _split_hot(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    hot = batch.column("hot")
+    return batch.filter(hot), batch.filter(pc.invert(hot))
 
 
 def _group_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places of anchors that more than one document holds: all windows where their bytes are the same everywhere, else none yet."""
-    names = ["anchor", "context", "doc_id", "place"]
-    anchor, context, document, place = _columns(batches, names)
-    if not len(anchor):
+    """Places of anchors that more than one document holds: all windows where their bytes are the same everywhere, else none yet.
+
+    Rows of hot anchors pass, with a mark.
+    """
+    names, held = ["anchor", "context", "doc_id", "place"], []
+    for batch in batches:
+        hot, cold = _split_hot(batch)
+        if hot.num_rows:
+            yield pa.record_batch([*hot.select(names).columns, pa.array(np.full(hot.num_rows, HOT_ROW))], [*names, "windows"])
+        held.append([cold.column(name).to_numpy() for name in names])
+    if not sum(len(part[0]) for part in held):
         return
+    anchor, context, document, place = (np.concatenate(part) for part in zip(*held))
+    del held
     order = np.argsort(anchor, kind="stable")
     anchor, context, document, place = anchor[order], context[order], document[order], place[order]
     starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
@@ -238,8 +303,19 @@ def _contexts(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
 
 
 def _group_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each anchor in its bytes, the first documents of the windows around it: one row per document, with a bit per window."""
-    held = [_contexts(batch) for batch in batches if batch.num_rows]
+    """For each anchor in its bytes, the first documents of the windows around it: one row per document, with a bit per window.
+
+    Rows of hot anchors pass as they are.
+    """
+    held, names = [], ["anchor", "context", "first", "found", "around", "least", "most"]
+    for batch in batches:
+        hot, cold = _split_hot(batch)
+        if hot.num_rows:
+            empty = pa.nulls(hot.num_rows, pa.int64())
+            passed = [hot.column(name) for name in ("anchor", "context", "around", "least", "most")]
+            yield pa.record_batch([*passed[:2], empty, empty, *passed[2:]], names)
+        if cold.num_rows:
+            held.append(_contexts(cold))
     if not held:
         return
     hashes, contexts, around, least, most = _merged(*(np.concatenate(part) for part in zip(*held)))
@@ -260,9 +336,9 @@ def _group_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (document[1:] != document[:-1])))
     bits = np.bitwise_or.reduceat(np.int64(1) << step, new)
     row, document = row[new], document[new]
+    empty = [pa.nulls(len(row), kind) for kind in (pa.binary(), pa.int64(), pa.int64())]
     yield pa.record_batch(
-        [_as_long(hashes[row]), _as_long(contexts[row]), pa.array(document), pa.array(bits)],
-        ["anchor", "context", "first", "found"],
+        [_as_long(hashes[row]), _as_long(contexts[row]), pa.array(document), pa.array(bits), *empty], names
     )
 
 
@@ -319,29 +395,41 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: st
     docs = base.filter(F.col(key).isNotNull() & (F.octet_length(text) >= WINDOW)).select(
         F.col(key).cast("long").alias("doc_id"), text_key.alias("text_key"), F.col(text).alias("text")
     )
-    (shared, heavy), _, _ = prints.frequent(
-        docs.select("text"), _document_anchors, [(2, SHARED_BITS), (hot, HOT_BITS)], limit=SLICE, bounded=(False, False)
+    texts, context = docs.select("text"), spark.sparkContext
+    (first, heavy), _, _ = prints.frequent(
+        texts, _document_anchors, [(2, SHARED_BITS), (hot, HOT_BITS)], limit=SLICE, bounded=(False, False)
     )
-    tables = spark.sparkContext.broadcast((shared, heavy))  # tables of a fixed number of bits
+    # The tables that go to all tasks have a fixed number of bits.
+    tables = context.broadcast((first,))
+    (second,), _, _ = prints.frequent(texts, _document_digits(tables), [(2, SHARED_BITS)], limit=SLICE, bounded=(False,))
+    tables = context.broadcast((first, second, heavy))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartitionById(count, F.pmod("anchor", F.lit(count)).cast("int"))
-
-    rows = "anchor long, context long, doc_id long, place long"
-    cold = dealt(docs.mapInArrow(_place_rows(tables, False), rows)).mapInArrow(_group_places, f"{rows}, windows long")
-    places = stored(cold.union(_hot_places(docs.mapInArrow(_place_rows(tables, True), rows))), "anchors")
+    rows = docs.mapInArrow(
+        _place_rows(tables, count), "slot int, hot boolean, anchor long, context long, doc_id long, place long"
+    ).repartitionById(count, F.col("slot"))
+    grouped = stored(
+        rows.mapInArrow(_group_places, "anchor long, context long, doc_id long, place long, windows long"), "anchors"
+    )
+    places = grouped.filter(F.col("windows") != HOT_ROW)
+    places = places.union(_hot_places(grouped.filter(F.col("windows") == HOT_ROW).drop("windows")))
     unknown = places.filter("windows = 0")
     (still_open,), _, _ = prints.frequent(
         unknown.select("anchor"), lambda batch: batch.column("anchor").to_numpy().view(np.uint64), [(1, OPEN_BITS)], text=None, bounded=(False,)
     )
-    tables = spark.sparkContext.broadcast((still_open, heavy))
-    rows = "anchor long, context long, around binary, least long, most long"
-    texts = docs.select("doc_id", "text")
-    windows = dealt(texts.mapInArrow(_context_rows(tables, False), rows)).mapInArrow(
-        _group_windows, "anchor long, context long, first long, found long"
+    tables = context.broadcast((first, second, heavy, still_open))
+    rows = docs.select("doc_id", "text").mapInArrow(
+        _context_rows(tables, count), "slot int, hot boolean, anchor long, context long, around binary, least long, most long"
+    ).repartitionById(count, F.col("slot"))
+    windows = stored(
+        rows.mapInArrow(
+            _group_windows, "anchor long, context long, first long, found long, around binary, least long, most long"
+        ),
+        "windows",
+    )
+    names = ["anchor", "context", "first", "found"]
+    windows = windows.filter("around IS NULL").select(*names).union(
+        _hot_windows(windows.filter("around IS NOT NULL").drop("first", "found")).select(*names)
     )
-    windows = windows.union(_hot_windows(texts.mapInArrow(_context_rows(tables, True), rows)))
     found = unknown.join(windows, ["anchor", "context"]).filter(F.col("first") < F.col("doc_id"))
     found = found.select("doc_id", "place", F.col("found").alias("windows"))
     found = places.filter("windows <> 0").select("doc_id", "place", "windows").union(found)
