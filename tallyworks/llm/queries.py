@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tallyworks.llm import bpe, jaccard, packing, pii, projection_forest, quality_rules, rule_ensemble, suffix_dedup, token_files
+import corpus_pipeline
+from tallyworks.llm import (
+    bpe,
+    jaccard,
+    packing,
+    pii,
+    preferences,
+    projection_forest,
+    quality_rules,
+    rule_ensemble,
+    suffix_dedup,
+    token_files,
+)
 
 QUERIES = {
     "op1_rule_ensemble": rule_ensemble.op1_rule_ensemble,
@@ -13,9 +25,14 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_bpe": bpe.op8_bpe,
+    "op9_preferences": preferences.op9_preferences,
     "op10_pii": pii.op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op3_quality_rules": quality_rules.oracle(),
+    "op9_preferences": preferences.oracle(),
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -380,13 +380,15 @@ def _cut(places: np.ndarray, windows: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: str = "kept", hot: int = HOT) -> DataFrame:
+def cut_repeats(
+    df: DataFrame, key: str = "doc_id", text: str = "text", kept: str = "kept", hot: int = HOT, characters: bool = False
+) -> DataFrame:
     """Cuts from each text all bytes of windows that also begin in a document with a smaller key.
 
     Adds n_bytes, n_removed, n_spans (runs of removed bytes) and the bytes that are left, as binary. Columns of the input with
     these names are replaced. Texts are taken as UTF-8 bytes; a null text is empty, and one shorter than a window stays.
     Rows with one key are not earlier than each other. A row without a key neither loses bytes nor makes others lose any.
-    An empty table gives no rows.
+    An empty table gives no rows. With characters, a character is cut only if all its bytes are, and what is left is text.
     """
     spark = df.sparkSession
     added = ("n_bytes", "n_removed", "n_spans", kept)
@@ -440,7 +442,8 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: st
     joined = joined.select(*[named[name] for name in base.columns], cuts["__cuts"])
     fields = [field for field in base.schema.fields if field.name != kept]
     longs = [T.StructField(name, T.LongType()) for name in added[:3]]
-    schema = T.StructType([*fields, *longs, T.StructField(kept, T.BinaryType())])
+    schema = T.StructType([*fields, *longs, T.StructField(kept, T.StringType() if characters else T.BinaryType())])
+    kind = pa.string() if characters else pa.binary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in ragged.slices(batches, text, SLICE):
@@ -458,11 +461,14 @@ def cut_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", kept: st
                     left.append(data.tobytes())
                     continue
                 gone = _cut(place[ends[row] : ends[row + 1]], window[ends[row] : ends[row + 1]], len(data))
+                if characters:
+                    first = np.flatnonzero((data & 0xC0) != 0x80)
+                    gone = np.repeat(np.logical_and.reduceat(gone, first), np.diff(np.append(first, len(data))))
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 left.append(data[~gone].tobytes())
             columns = [batch.column(field.name) for field in fields]
-            columns += [pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary())]
+            columns += [pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary()).cast(kind)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return joined.mapInArrow(cut, schema)
