@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import jaccard, packing, pii, quality_rules, suffix_dedup
 from tallyworks.llm.bpe import vocabulary
+from tallyworks.llm.components import stored
 from tallyworks.session import work_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,7 +23,7 @@ def _with_text(df: DataFrame, text: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the quality rules keep."""
-    return quality_rules.judge(docs).filter("kept").select(*COLUMNS)
+    return stored(quality_rules.judge(docs).select(*COLUMNS, "kept"), "judged").filter("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

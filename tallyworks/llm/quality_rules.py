@@ -50,7 +50,8 @@ def judge(df: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, rule
 
     A null or empty text, or one of blanks, has no words: all counts are 0 and it fails the base.
     Rows are judged one by one, so that ties and repeated rows all get the same verdict and an empty table gives none.
-    Columns of the input that have the name of an added column are replaced.
+    Columns of the input that have the name of an added column are replaced. Write the rows before a filter on what is added:
+    Catalyst would push it below the counts and compute each of them many times over.
     """
     counts = statistics.basic() | {"n_lines": statistics.n_lines(), "n_stop_words": statistics.n_stop_words()}
     kept = [name for name in df.columns if name not in {*counts, "base_failed", "failed", "kept"}]
