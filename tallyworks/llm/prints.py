@@ -1,7 +1,7 @@
 """Counts of hashes over all documents, kept as bit tables of fixed size.
 
 Each slice of documents sends the low bits of its hashes in a few blocks, by the high bits. A task that has all blocks of one
-range counts them. What the driver gets is a bit table, whose size does not depend on the number of documents.
+range counts them. What the driver gets is a bit table of bounded size.
 Two hashes may share a bit, so a bit says that a hash may be frequent, and its absence that it is not.
 """
 
@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyworks.llm import ragged
 
@@ -21,6 +22,16 @@ PRINT_BITS = 40
 FULL = 8
 
 
+#: The bits of a table are about this power of two fewer than the bytes of the texts, within bounds.
+BYTES_POWER, LEAST_BITS, MOST_BITS = 4, 20, 28
+
+
+def table_bits(docs: DataFrame, text: str = "text") -> int:
+    """The size of a table for the hashes of texts, as a power of two; it stops growing at MOST_BITS."""
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 1
+    return int(np.clip(int(total).bit_length() - BYTES_POWER, LEAST_BITS, MOST_BITS))
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spreads every bit of unsigned 64-bit values over all bits."""
     values = values ^ (values >> np.uint64(33))

@@ -5,7 +5,7 @@ DIGIT-byte strings in the window, the one with the smallest hash. The digits of
 left and right of the anchor. Since all windows of a place share few anchors, a pass moves one row for some fourteen suffixes.
 
 1. First digit: the number of documents with each anchor, from 40-bit prints. Groups of one document are done. The
-   others are marked in a bit table of fixed size; a mark too many costs a row in the next pass and changes no result.
+   others are marked in a bit table of bounded size; a mark too many costs a row in the next pass and changes no result.
 2. Second digit: the same for marked anchors with the NEXT bytes to the right, and with those to the left. Every window holds
    one of the two.
 3. Further digits: the places that are still marked come together with a hash of the bytes around them. Where these are
@@ -39,7 +39,6 @@ STEPS = SIDE + 1
 SLICE = 2 << 20
 BLOCK = 1 << 18
 NEXT = SIDE // 2 + 1
-SHARED_BITS, HOT_BITS, OPEN_BITS = 28, 24, 26
 HOT = 20_000
 COMBINE_ROWS = 100_000
 ALL_WINDOWS = (1 << STEPS) - 1
@@ -137,10 +136,10 @@ def _second_digits(flat: np.ndarray, bounds: np.ndarray, at: np.ndarray, hashes:
     return prints.mix(right), at + DIGIT + NEXT <= bounds[rows + 1], prints.mix(left), at - NEXT >= bounds[rows]
 
 
-def _document_digits(tables):
+def _document_digits(first):
     def run(batch: pa.RecordBatch) -> np.ndarray:
         flat, bounds, at, hashes, rows = _rows(batch)
-        chosen = prints.marked(tables.value[0], hashes)
+        chosen = prints.marked(first.value, hashes)
         at, hashes, rows = at[chosen], hashes[chosen], rows[chosen]
         if not len(at):
             return hashes
@@ -198,7 +197,7 @@ def _context_rows(tables, count: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        first, second, hot_table, open_table = tables.value
+        first, second, hot_table, open_table = (table.value for table in tables)
 
         def combined() -> pa.RecordBatch:
             hashes, contexts, around, least, most = _merged(*(np.concatenate(part) for part in zip(*held)))
@@ -233,7 +232,7 @@ def _place_rows(tables, count: int):
     """Rows (slot, hot, anchor, context, doc_id, place) of the shared anchors; the upper bits of a place tell the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second, hot_table = tables.value
+        first, second, hot_table = (table.value for table in tables)
         for batch in ragged.slices(batches, "text", SLICE):
             flat, bounds, at, hashes, rows = _marked_rows(batch, first, second)
             if not len(at):
@@ -398,13 +397,14 @@ def cut_repeats(
         F.col(key).cast("long").alias("doc_id"), text_key.alias("text_key"), F.col(text).alias("text")
     )
     texts, context = docs.select("text"), spark.sparkContext
-    (first, heavy), _, _ = prints.frequent(
-        texts, _document_anchors, [(2, SHARED_BITS), (hot, HOT_BITS)], limit=SLICE, bounded=(False, False)
+    bits = prints.table_bits(texts)
+    # The tables that go to all tasks have a bounded number of bits.
+    found, _, _ = prints.frequent(
+        texts, _document_anchors, [(2, bits), (hot, bits - 4)], limit=SLICE, bounded=(False, False)
     )
-    # The tables that go to all tasks have a fixed number of bits.
-    tables = context.broadcast((first,))
-    (second,), _, _ = prints.frequent(texts, _document_digits(tables), [(2, SHARED_BITS)], limit=SLICE, bounded=(False,))
-    tables = context.broadcast((first, second, heavy))
+    first, heavy = map(context.broadcast, found)
+    found, _, _ = prints.frequent(texts, _document_digits(first), [(2, bits)], limit=SLICE, bounded=(False,))
+    tables = (first, context.broadcast(found[0]), heavy)
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.mapInArrow(
         _place_rows(tables, count), "slot int, hot boolean, anchor long, context long, doc_id long, place long"
@@ -415,10 +415,10 @@ def cut_repeats(
     places = grouped.filter(F.col("windows") != HOT_ROW)
     places = places.union(_hot_places(grouped.filter(F.col("windows") == HOT_ROW).drop("windows")))
     unknown = places.filter("windows = 0")
-    (still_open,), _, _ = prints.frequent(
-        unknown.select("anchor"), lambda batch: batch.column("anchor").to_numpy().view(np.uint64), [(1, OPEN_BITS)], text=None, bounded=(False,)
+    found, _, _ = prints.frequent(
+        unknown.select("anchor"), lambda batch: batch.column("anchor").to_numpy().view(np.uint64), [(1, bits - 2)], text=None, bounded=(False,)
     )
-    tables = context.broadcast((first, second, heavy, still_open))
+    tables = (*tables, context.broadcast(found[0]))
     rows = docs.select("doc_id", "text").mapInArrow(
         _context_rows(tables, count), "slot int, hot boolean, anchor long, context long, around binary, least long, most long"
     ).repartitionById(count, F.col("slot"))
