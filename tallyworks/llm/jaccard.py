@@ -31,7 +31,6 @@ from tallyworks.llm.components import components, stored
 
 THRESHOLD = 85
 WORDS = 4
-SHARED_BITS, FREQUENT_BITS = 28, 26
 FREQUENT = 32
 LARGEST_LIGHT = 26
 SLICE = 2 << 20
@@ -144,7 +143,7 @@ def _list_rows(light: int, tables, words: int, threshold: int):
     heavy_from = -(-threshold * (light + 1) // 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, frequent = tables.value
+        shared, frequent = (table.value for table in tables)
         for batch in ragged.slices(batches, "text", SLICE):
             hashes, bounds = shingle_sets(batch.column("text"), words)
             sizes = np.diff(bounds)
@@ -241,14 +240,16 @@ def link_documents(
     def hashes_of(batch: pa.RecordBatch) -> np.ndarray:
         return shingle_sets(batch.column("text"), words)[0]
 
+    texts = documents.select("text")
+    bits = prints.table_bits(texts)
     found, n, n_distinct = prints.frequent(
-        documents.select("text"), hashes_of, [(2, SHARED_BITS), (FREQUENT, FREQUENT_BITS)], limit=SLICE, bounded=(False, True)
+        texts, hashes_of, [(2, bits), (FREQUENT, bits - 2)], limit=SLICE, bounded=(False, True)
     )
     # Sizes above the largest light one count as one, so that the driver gets a few numbers only.
     sizes = member.filter("first IS NOT NULL").select(F.least("n_shingles", F.lit(2 * LARGEST_LIGHT)).alias("n"))
     histogram = {row.n: row["count"] for row in sizes.groupBy("n").count().collect()}
     light = light_boundary(histogram, n / max(n_distinct, 1), threshold)
-    tables = spark.sparkContext.broadcast(found)  # tables of a fixed number of bits
+    tables = [spark.sparkContext.broadcast(table) for table in found]  # of a bounded number of bits
     rows = documents.mapInArrow(_list_rows(light, tables, words, threshold), "entry long, doc_id long, n int, place int")
     firsts = member.filter("first IS NOT NULL AND doc_id = first").select("doc_id").distinct()
     lists = rows.groupBy("entry", "doc_id", "n").agg(F.min("place").alias("place")).join(firsts, "doc_id", "left_semi")
@@ -257,23 +258,16 @@ def link_documents(
     doubled = member.filter("first IS NOT NULL AND first <> doc_id").join(firsts, "doc_id", "left_semi")
     links = stored(_pairs(doubled, F.col("doc_id"), F.col("first")), "links")
 
-    def in_components(entries: DataFrame) -> DataFrame:
-        named = components(links, "a", "b").withColumnRenamed("node", "doc_id")
-        return entries.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-
-    now = lists.withColumn("component", F.col("doc_id"))
-    for pick in (F.min_by, F.max_by):
-        ends = now.groupBy("entry").agg(
-            pick(F.struct("doc_id", "n", "place", "component"), F.xxhash64("doc_id")).alias("one"),
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-        )
-        mixed = stored(now.join(ends.filter("least < most").select("entry", "one"), "entry"), "mixed-lists")
-        one = mixed.select("entry", F.struct("doc_id", "n", "place").alias("m"), F.col("one").alias("o"), F.col("component").alias("c"))
-        one = one.filter(F.col("c") != F.col("o.component")).filter(_may_link("m", "o", threshold))
-        pairs = stored(_pairs(one, F.col("m.doc_id"), F.col("o.doc_id")), "pairs")
-        links = stored(links.union(_linked(pairs, documents, words, threshold)).distinct(), "links")
-        now = stored(in_components(mixed.select("entry", "doc_id", "n", "place")), "lists")
+    # One member of each list, the same in lists of the same documents, meets all the others.
+    one = lists.groupBy("entry").agg(
+        F.min_by(F.struct("doc_id", "n", "place"), F.xxhash64("doc_id")).alias("o"), F.count("*").alias("members")
+    )
+    mixed = lists.join(one.filter("members > 1").select("entry", "o"), "entry")
+    mixed = mixed.select("entry", F.struct("doc_id", "n", "place").alias("m"), "o").filter(_may_link("m", "o", threshold))
+    pairs = stored(_pairs(mixed, F.col("m.doc_id"), F.col("o.doc_id")), "pairs")
+    links = stored(links.union(_linked(pairs, documents, words, threshold)).distinct(), "links")
+    named = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+    now = stored(lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "lists")
     # What is left: entries of one list in different components, each with each of the others.
     ends = now.groupBy("entry").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = now.join(ends.filter("least < most").select("entry"), "entry")
@@ -282,7 +276,7 @@ def link_documents(
         (F.col("m.entry") == F.col("o.entry")) & (F.col("m.doc_id") < F.col("o.doc_id"))
         & (F.col("m.component") != F.col("o.component")) & _may_link("m", "o", threshold),
     )
-    pairs = stored(_pairs(rest, F.col("m.doc_id"), F.col("o.doc_id")), "pairs")
+    pairs = stored(_pairs(rest, F.col("m.doc_id"), F.col("o.doc_id")).join(pairs, ["a", "b"], "left_anti"), "pairs")
     links = links.union(_linked(pairs, documents, words, threshold)).distinct()
     named = components(stored(links, "links"), "a", "b").withColumnRenamed("node", "first")
     return member.join(named, "first", "left").select(
