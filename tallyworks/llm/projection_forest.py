@@ -27,7 +27,7 @@ TREES = 8
 LEAF_ROWS = 256
 VISITED = 0.2
 BLOCK = 4096
-BUCKET_ROWS = 8192
+GROUP_ROWS = 1_000_000
 EXACT_PAIRS = 1 << 15
 
 
@@ -206,8 +206,9 @@ def nearest(
     # Of each leaf, into how many parts its rows and its queries are cut.
     parts = np.maximum(-(-held // block), 1), np.maximum(-(-seen // block), 1) * (seen > 0)
     layout = spark.sparkContext.broadcast(parts)
-    # Many leaves share a group, so that the best of a query are merged before they move.
-    buckets = max(1, -(-size.n * trees // BUCKET_ROWS))
+    # Many leaves share a group, so that the best of a query are merged before they move; groups grow as their number does.
+    placed = size.n * trees
+    buckets = int(max(np.ceil(1.5 * np.sqrt(placed / block)), placed // GROUP_ROWS, 1))
 
     def blocks(leaf: np.ndarray, ids: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
         """For each row the blocks that it belongs to: its own part of its side, with all parts of the other side."""
