@@ -19,10 +19,6 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
-def strip_right(text: Column) -> Column:
-    return F.rtrim(text, F.lit(WHITESPACE))
-
-
 def decode(payload: Column) -> Column:
     return F.decode(payload, "UTF-8")
 

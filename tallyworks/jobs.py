@@ -3,7 +3,8 @@
 Batch jobs read delimited text and write text lines. Stream jobs read a topic
 that ``replay`` filled from a text file, and append to an output folder; they
 take in what is there and end, or with ``--every`` run until stopped or, with
-``--seconds``, for that long.
+``--seconds``, for that long. A job demands only the columns that it uses; rows in
+which one of these is bad go to the folder of ``--rejects``.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from tallyworks.streaming import control
 MESSAGE = T.StructType().add("seq", "long").add("arrived_at", "timestamp").add("value", "string")
 
 
-def _scan(spark: SparkSession, args, layout: T.StructType, header: bool) -> DataFrame:
-    found, rejects = files.scan_delimited(spark, args.input, layout, header)
+def _scan(spark: SparkSession, args, layout: T.StructType, header: bool, option: str = "input") -> DataFrame:
+    """The rows of an input; its rejects go to a folder of their own below that of the rejects."""
+    found, rejects = files.scan_delimited(spark, getattr(args, option), layout, header)
     if args.rejects:
-        sinks.write_table(rejects, args.rejects, "json")
+        sinks.write_table(rejects, f"{args.rejects}/{option}", "json")
     return found
 
 
@@ -43,35 +45,40 @@ def top_defaulters(spark, args):
 
 
 def loan_defaulters(spark, args):
-    loans = _scan(spark, args, layouts.LOAN, True)
+    # Both outputs are made from one parsed copy.
+    loans = _scan(spark, args, layouts.LOAN, True).persist()
     _lines(bank.medical_loan_defaulters(loans), bank.loan_line(), args.output)
     personal = bank.personal_loan_defaulters(loans).withColumn("late_payments", bank.missed_payments())
     _lines(personal, bank.loan_line(), args.output2)
+    loans.unpersist()
 
 
 def both_defaulters(spark, args):
-    loans, _ = files.scan_delimited(spark, args.input2, layouts.LOAN, True)
+    loans = _scan(spark, args, layouts.LOAN, True, "input2")
     sinks.write_table(bank.both_defaulters(_scan(spark, args, layouts.CARD, True), loans), args.output, "json")
 
 
 def attendance_count(spark, args):
-    counted = attendance.attendance_count(_scan(spark, args, layouts.ATTENDANCE, False))
+    counted = attendance.attendance_count(_scan(spark, args, layouts.needing(layouts.ATTENDANCE, "name", "dept"), False))
     _lines(counted, attendance.pair_line("name", "n"), args.output)
 
 
 def names_and_places(spark, args):
-    places, _ = files.scan_delimited(spark, args.input2, layouts.LOCATION)
-    found = attendance.names_and_places(_scan(spark, args, layouts.ATTENDANCE, False), places)
+    places = _scan(spark, args, layouts.needing(layouts.LOCATION, "employee_id", "city"), False, "input2")
+    staff = _scan(spark, args, layouts.needing(layouts.ATTENDANCE, "employee_id", "name"), False)
+    found = attendance.names_and_places(staff, places)
     sinks.write_table(found, args.output, "json")
 
 
 def routed_names(spark, args):
-    sinks.write_tagged(attendance.routed_names(_scan(spark, args, layouts.ATTENDANCE, False)), args.output, form="text")
+    staff = _scan(spark, args, layouts.needing(layouts.ATTENDANCE, "name"), False)
+    sinks.write_tagged(attendance.routed_names(staff), args.output, form="text")
 
 
 def attendance_without(spark, args):
     ids = files.scan_ids(spark, args.input2, "employee_id")
-    kept = attendance.attendance_without(_scan(spark, args, layouts.ATTENDANCE, False), ids)
+    staff = _scan(spark, args, layouts.needing(layouts.ATTENDANCE, "employee_id", "name", "dept"), False)
+    kept = attendance.attendance_without(staff, ids)
     _lines(kept, F.concat_ws(", ", "employee_id", "name", "n"), args.output)
 
 
@@ -93,7 +100,9 @@ def replay(spark, args):
 
 def replay_numbers(spark, args):
     lines = files.scan_numbered_lines(spark, args.input, True)
-    numbers, _ = files.split_lines(lines, layouts.NUMBER)
+    numbers, rejects = files.split_lines(lines, layouts.NUMBER)
+    if args.rejects:
+        sinks.write_table(rejects, f"{args.rejects}/input", "json")
     topics.publish(numbers.select("seq", *topics.envelope(F.col("n"))), args.output)
 
 
@@ -105,8 +114,17 @@ def _run(query, args) -> None:
 
 
 def _topic_rows(spark, args, layout: T.StructType) -> DataFrame:
-    """Typed rows of a topic, with ``seq`` and ``arrived_at`` in front."""
-    return files.split_lines(topics.subscribe(spark, args.input, MESSAGE), layout)[0]
+    """Typed rows of a topic, with ``seq`` and ``arrived_at`` in front.
+
+    The rejects are a stream of their own over the same topic, which takes in what is
+    there before the job starts, and with ``--every`` goes on beside it.
+    """
+    found, rejects = files.split_lines(topics.subscribe(spark, args.input, MESSAGE), layout)
+    if args.rejects:
+        query = control.start_sink(rejects, f"{args.rejects}/input", f"{args.checkpoint}-rejects", continuous=args.every)
+        if args.every is None:
+            control.run_out(query)
+    return found
 
 
 def store_panes(spark, args):
@@ -123,7 +141,7 @@ def store_windows(spark, args):
 
 
 def player_team_scores(spark, args):
-    kills = _topic_rows(spark, args, layouts.KILL)
+    kills = _topic_rows(spark, args, layouts.needing(layouts.KILL, "player_id", "team_id", "kill_ts"))
     query = game.start_player_team_scores(kills, args.output, args.checkpoint, args.n, continuous=args.every)
     _run(query, args)
 
@@ -171,6 +189,9 @@ NEEDS = {
     "attendance-without": ["input2"],
 }
 
+# The jobs that read no typed columns, so that no row can be bad.
+UNTYPED = ("word-count", "replay", "passthrough")
+
 # The stream jobs with windows, and their column of event time; the other choice is the time of arrival.
 EVENT_TIME = {"store-windows": "sold_at", "weapon-sessions": "kill_ts"}
 # The stream jobs that fire by count, and after how many rows.
@@ -188,7 +209,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--checkpoint", required=True)
             job.add_argument("--every", help="trigger interval, such as '10 seconds'")
             job.add_argument("--seconds", type=float)
-        else:
+        if name not in UNTYPED:
             job.add_argument("--rejects", help="folder for unreadable rows")
         if name in EVENT_TIME:
             job.add_argument("--time", choices=["arrived_at", EVENT_TIME[name]], default=EVENT_TIME[name])

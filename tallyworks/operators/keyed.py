@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyworks.functions.values import exact_sum
+from tallyworks.functions.values import exact_sum, finite_sum, inexact
 
 
 def sum_of(value: Column, scale: int | None = None) -> Column:
@@ -25,11 +25,16 @@ def keyed_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFram
 
 
 def mean_of(value: Column, scale: int | None = None) -> Column:
-    """Mean as an aggregate expression; NaN when there is no value. A scale makes its sum exact."""
+    """Mean as an aggregate expression; NaN when there is no value.
+
+    A scale makes its sum exact, unless a value is NaN, infinite or beyond a
+    decimal: then it is the plain mean, in which such a value shows.
+    """
     if scale is None:
         mean = F.avg(value)
     else:
-        mean = F.try_divide(exact_sum(value, scale).cast("double"), F.count(value))
+        exact = F.try_divide(finite_sum(value, scale).cast("double"), F.count(value))
+        mean = F.when(F.count_if(inexact(value, scale)) > 0, F.avg(value)).otherwise(exact)
     return F.coalesce(mean, F.lit(float("nan")))
 
 

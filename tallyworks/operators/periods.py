@@ -3,29 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, functions as F
 
-# The periods of a key fit into the bits of one long.
-MAX_PERIODS = 62
+# So many periods of a key are the bits of one long.
+WORD_PERIODS = 62
 
 
 def missed_periods(df: DataFrame, keys: Sequence[str], period: str, periods: int = 12) -> DataFrame:
     """How many of the periods 1..periods have no row, and the longest run of such periods.
 
-    The seen periods of a key are the bits of one number, so the aggregate keeps
-    eight bytes per key, ignores repeated periods and combines before the shuffle.
-    Gaps before the first and after the last row count. A NULL or foreign period
-    is ignored, but its key still appears.
+    The seen periods of a key are the bits of a few numbers, so the aggregate keeps
+    eight bytes per key and 62 periods, ignores repeated periods and combines
+    before the shuffle. Gaps before the first and after the last row count. A NULL
+    or foreign period is ignored, but its key still appears.
     """
-    if not 1 <= periods <= MAX_PERIODS:
-        raise ValueError(f"periods must be 1..{MAX_PERIODS}, not {periods}")
-    position = F.col(period).cast("int")
-    bit = F.when(position.between(1, periods), F.expr(f"shiftleft(1L, cast({period} AS int) - 1)"))
-    seen = df.groupBy(*keys).agg(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("seen"))
-    gaps = F.split(F.lpad(F.bin("seen"), periods, "0"), "1")
-    return seen.select(
+    if periods < 1:
+        raise ValueError(f"periods must be at least 1, not {periods}")
+    position = F.col(period).cast("bigint")
+    parts, counts, texts = [], [], []
+    for k, low in enumerate(range(0, periods, WORD_PERIODS)):
+        size = min(WORD_PERIODS, periods - low)
+        inside = F.expr(f"shiftleft(1L, cast({period} - {low} AS int) - 1)")
+        bit = F.when(position.between(low + 1, low + size), inside)
+        parts.append(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias(f"seen{k}"))
+        counts.append(F.bit_count(f"seen{k}"))
+        texts.append(F.reverse(F.lpad(F.bin(f"seen{k}"), size, "0")))
+    gaps = F.split(F.concat(*texts), "1")
+    return df.groupBy(*keys).agg(*parts).select(
         *keys,
-        (F.lit(periods) - F.bit_count("seen")).cast("bigint").alias("missed"),
+        (F.lit(periods) - reduce(add, counts)).cast("bigint").alias("missed"),
         F.array_max(F.transform(gaps, F.length)).cast("bigint").alias("longest_gap"),
     )

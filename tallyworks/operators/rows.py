@@ -9,15 +9,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks.functions.text import WORD_PATTERN, words
 from tallyworks.operators.keyed import above, keyed_count
-from tallyworks.operators.skew import BROADCAST_ROWS, small_side
 
 
-def exclude(df: DataFrame, ids: DataFrame, key: str, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def exclude(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the id list.
 
-    A short list goes to every executor; a long one is joined by shuffle.
+    Spark sends a list to every executor only if its bytes, as planned or as measured
+    by adaptive execution, are below ``spark.sql.autoBroadcastJoinThreshold``; a
+    longer one is joined by shuffle.
     """
-    return df.join(small_side(ids.select(key), max_broadcast_rows), key, "left_anti")
+    return df.join(ids.select(key), key, "left_anti")
 
 
 def route(df: DataFrame, rules: Mapping[str, Column], tag: str = "tag") -> DataFrame:

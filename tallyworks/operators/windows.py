@@ -44,7 +44,7 @@ def session_mean(
     gap_us: int,
     value: Column,
     name: str = "mean",
-    scale: int = 2,
+    scale: int | None = None,
     inclusive: bool = False,
     group_rows: int = GROUP_ROWS,
     look_at: Sequence[str] | None = None,
@@ -53,7 +53,9 @@ def session_mean(
 
     A session ends where the next event comes ``gap_us`` or more after the last
     one; with ``inclusive`` an event exactly one gap later still belongs to it.
-    ``session_end`` is the last event plus the gap.
+    ``session_end`` is the last event plus the gap. Values are added as they are;
+    with a scale they are rounded to it first, and the mean is the same for every
+    partitioning.
 
     The built-in session window moves and sorts all rows of a key in one group.
     If a key has more than ``group_rows`` rows, sessions are linked from slots.
@@ -72,7 +74,7 @@ def native_sessions(
     gap_us: int,
     value: Column,
     name: str,
-    scale: int,
+    scale: int | None,
     inclusive: bool,
 ) -> DataFrame:
     """Sessions by the built-in window, bounded or streaming.
@@ -84,7 +86,7 @@ def native_sessions(
     shorter = 0 if inclusive else 1
     session = F.session_window(time, interval(gap_us - shorter)).alias("session")
     merged = df.groupBy(*keys, session).agg(
-        F.sum(units(value, scale)).alias("total"), F.count(value).alias("counted"), F.count(F.lit(1)).alias("n")
+        _added(value, scale).alias("total"), F.count(value).alias("counted"), F.count(F.lit(1)).alias("n")
     )
     return merged.select(
         *keys,
@@ -102,7 +104,7 @@ def _linked_sessions(
     gap_us: int,
     value: Column,
     name: str,
-    scale: int,
+    scale: int | None,
     inclusive: bool,
 ) -> DataFrame:
     """Sessions out of gap-wide slots of time.
@@ -114,7 +116,7 @@ def _linked_sessions(
     slots = df.groupBy(*keys, F.window(time, interval(gap_us)).alias("slot")).agg(
         F.min(time).alias("first_seen"),
         F.max(time).alias("last_seen"),
-        F.sum(units(value, scale)).alias("slot_total"),
+        _added(value, scale).alias("slot_total"),
         F.count(value).alias("slot_values"),
         F.count(F.lit(1)).alias("slot_rows"),
     )
@@ -136,6 +138,10 @@ def _linked_sessions(
     )
 
 
-def _mean(scale: int) -> Column:
-    mean = F.try_divide(from_units(F.col("total"), scale), F.col("counted"))
-    return F.coalesce(mean, F.lit(float("nan")))
+def _added(value: Column, scale: int | None) -> Column:
+    return F.sum(value.cast("double") if scale is None else units(value, scale))
+
+
+def _mean(scale: int | None) -> Column:
+    total = F.col("total") if scale is None else from_units(F.col("total"), scale)
+    return F.coalesce(F.try_divide(total, F.col("counted")), F.lit(float("nan")))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks.functions import scoring
-from tallyworks.functions.text import full_name, joined, strip
+from tallyworks.functions.text import full_name, joined
 from tallyworks.functions.values import late_flag
-from tallyworks.operators.cogroup import MAX_LIST, cogroup
+from tallyworks.operators.cogroup import cogroup
 from tallyworks.operators.keyed import above, at_least, keyed_sum
 from tallyworks.operators.periods import missed_periods
 from tallyworks.operators.rows import top_by_points, union_all
@@ -31,19 +31,21 @@ def card_totals(cards: DataFrame, keys: list[str], count_overpaid: bool = False)
     return above(keyed_sum(cards, keys, points, "points"), "points", 0)
 
 
-def card_defaulters(
-    cards: DataFrame, keep_clear: bool = True, count_overpaid: bool = False, max_list: int = MAX_LIST
-) -> DataFrame:
-    """Points and names per customer.
+def card_defaulters(cards: DataFrame, keep_clear: bool = True, count_overpaid: bool = False) -> DataFrame:
+    """Points and distinct names of each customer, both as lists, in one aggregate.
 
-    Customers without points stay in with an empty list unless ``keep_clear`` is off.
+    Customers without points stay in with an empty list of points unless ``keep_clear`` is off.
     """
-    points = card_totals(cards, ["customer_id"], count_overpaid)
-    names = with_name(cards).select("customer_id", "full_name").distinct()
-    both = cogroup({"points": points, "names": names}, "customer_id", max_list, short=("points",))
-    if keep_clear:
-        return both
-    return both.join(points.select("customer_id"), "customer_id", "left_semi")
+    points = scoring.card_points(
+        F.col("max_limit"), F.col("spent"), F.col("payment_cleared"), count_overpaid=count_overpaid
+    )
+    grouped = with_name(cards).groupBy("customer_id").agg(
+        F.coalesce(F.sum(points), F.lit(0)).cast("bigint").alias("points"),
+        F.sort_array(F.collect_set("full_name")).alias("names"),
+    )
+    found = grouped if keep_clear else above(grouped, "points", 0)
+    listed = F.filter(F.array("points"), lambda total: total > 0)
+    return found.withColumn("points", listed)
 
 
 def card_line() -> Column:
@@ -56,7 +58,8 @@ def top_defaulters(cards: DataFrame, k: int) -> DataFrame:
 
 
 def of_category(loans: DataFrame, category: str) -> DataFrame:
-    return loans.where(strip(F.col("loan_category")) == category)
+    """Loans of one category. Scans have stripped the text, so that the filter is on the bare column and reaches the source."""
+    return loans.where(F.col("loan_category") == category)
 
 
 def late_totals(payments: DataFrame, keys: list[str], due: str, paid: str, least: int = LATE_PAYMENTS) -> DataFrame:
@@ -117,4 +120,6 @@ def both_defaulters(cards: DataFrame, loans: DataFrame) -> DataFrame:
     personal = personal_loan_defaulters(loans).select(
         "customer_id", F.format_string("%s, %d missed", F.col("full_name"), missed_payments()).alias("finding")
     )
-    return cogroup({"card_defaulter": card, "loan_defaulter": union_all([personal, medical])}, "customer_id")
+    sides = {"card_defaulter": card, "loan_defaulter": union_all([personal, medical])}
+    # A customer has one finding per name and kind.
+    return cogroup(sides, "customer_id", short=("card_defaulter", "loan_defaulter"))

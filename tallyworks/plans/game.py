@@ -78,12 +78,6 @@ def weapon_session_stream(
     return session_stream(scored, WEAPON_KEYS, time, gap_us, F.col("points"), "mean_points", 0, delay=delay)
 
 
-def battle_line() -> Column:
-    """The longer wording of a weapon result."""
-    parts = F.concat_ws(",", "game_id", "player_id"), F.col("used_weapon"), F.col("mean_points").cast("string")
-    return F.concat(F.concat_ws(", ", *parts), F.lit(" average battle points "))
-
-
 def weapon_line() -> Column:
     key = F.concat_ws(",", *WEAPON_KEYS)
     return F.concat(key, F.lit(": "), F.col("mean_points").cast("string"))

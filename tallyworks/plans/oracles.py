@@ -23,11 +23,11 @@ _LATE = """
 
 _GAPS = """
     SELECT customer_id,
-           CAST(30 - COUNT(*) AS BIGINT) AS missed,
-           CAST(GREATEST(MAX(day - before - 1), 30 - MAX(day)) AS BIGINT) AS longest_gap
+           CAST(31 - COUNT(*) AS BIGINT) AS missed,
+           CAST(GREATEST(MAX(day - before - 1), 31 - MAX(day)) AS BIGINT) AS longest_gap
     FROM (SELECT customer_id, day, COALESCE(LAG(day) OVER (PARTITION BY customer_id ORDER BY day), 0) AS before
           FROM (SELECT DISTINCT user_id AS customer_id, EXTRACT(day FROM ts) AS day
-                FROM events WHERE event_type = 'purchase' AND EXTRACT(day FROM ts) <= 30))
+                FROM events WHERE event_type = 'purchase'))
     GROUP BY customer_id
 """
 
@@ -151,15 +151,30 @@ ORACLES = {
     """,
     "distinct_pairs": "SELECT DISTINCT user_id, event_type FROM events",
     "cogroup_full_outer": """
-        SELECT COALESCE(c.custkey, o.custkey) AS custkey, CAST(0 AS BIGINT) AS part,
-               COALESCE(names, '') AS names, COALESCE(orders, '') AS orders
+        SELECT COALESCE(c.custkey, e.custkey) AS custkey, CAST(0 AS BIGINT) AS part,
+               COALESCE(names, '') AS names, COALESCE(events, '') AS events
         FROM (SELECT c_custkey AS custkey, string_agg(c_name, ',' ORDER BY c_name) AS names
               FROM customer GROUP BY c_custkey) c
-        FULL JOIN (SELECT o_custkey AS custkey,
-                          string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS orders
-                   FROM orders WHERE o_totalprice > 400000 GROUP BY o_custkey) o
+        FULL JOIN (SELECT user_id AS custkey, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS events
+                   FROM events GROUP BY user_id) e
+        ON c.custkey = e.custkey
+    """,
+    "names_and_places": """
+        SELECT COALESCE(c.custkey, o.custkey) AS custkey, COALESCE(cities, '') AS cities, COALESCE(names, '') AS names
+        FROM (SELECT c_custkey AS custkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS cities
+              FROM customer GROUP BY c_custkey) c
+        FULL JOIN (SELECT o_custkey AS custkey, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS names
+                   FROM orders GROUP BY o_custkey) o
         ON c.custkey = o.custkey
     """,
+    "card_defaulters": f"""
+        SELECT customer_id, concat_ws(', ', customer_id, COALESCE(CAST(points AS VARCHAR), ''), 'Supplier ' || customer_id) AS line
+        FROM (SELECT DISTINCT l_suppkey AS customer_id FROM lineitem) LEFT JOIN ({_CARD_POINTS}) USING (customer_id)
+    """,
+    "text_round_trip": """
+        SELECT o_orderkey, ROUND(o_totalprice, 2) AS price, CAST(epoch(o_orderdate) AS BIGINT) AS seconds
+        FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 5)
+    """,
     "cogroup_named": """
         SELECT COALESCE(p.user_id, e.user_id) AS user_id, CAST(0 AS BIGINT) AS part,
                COALESCE(purchases, '') AS purchases, COALESCE(errors, '') AS errors

@@ -16,14 +16,14 @@ from tallyworks.operators.cogroup import cogroup
 from tallyworks.operators.periods import missed_periods
 from tallyworks.plans import attendance, bank, game
 from tallyworks.session import work_folder
-from tallyworks.sources import topics
+from tallyworks.sources import files, layouts, sinks, topics
 from tallyworks.streaming import control
 from tallyworks.streaming import panes as stream_panes
 from tallyworks.streaming import windows as stream_windows
 
 GAP_US = 6 * 3600 * 1_000_000
 WAVES = 2
-DAYS = 30
+DAYS = 31
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -49,7 +49,7 @@ def sum_per_key(spark: SparkSession, folder: str) -> DataFrame:
 
 def membership_profit(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = table(spark, folder, "lineitem")
-    chosen = lineitem.where(text.strip(F.col("l_returnflag")).isin("A", "R") & F.col("l_extendedprice").isNotNull())
+    chosen = lineitem.where(F.col("l_returnflag").isin("A", "R") & F.col("l_extendedprice").isNotNull())
     profit = F.col("l_extendedprice") * (1 - F.col("l_discount")) - F.col("l_quantity")
     sums = keyed.keyed_sum(chosen, ["l_suppkey"], profit, "profit", scale=4)
     return sums.withColumn("profit", F.col("profit").cast("double"))
@@ -124,11 +124,18 @@ def _list_texts(grouped: DataFrame, *names: str) -> DataFrame:
 
 
 def cogroup_full_outer(spark: SparkSession, folder: str) -> DataFrame:
-    """Customer names and the keys of large orders per customer; many customers have none."""
+    """Customer names and the events of the user with the same number; most customers have none."""
     names = table(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"), "c_name")
-    large = table(spark, folder, "orders").where("o_totalprice > 400000")
-    orders = large.select(F.col("o_custkey").alias("custkey"), "o_orderkey")
-    return _list_texts(cogroup({"names": names, "orders": orders}, "custkey"), "names", "orders")
+    events = table(spark, folder, "events").select(F.col("user_id").alias("custkey"), "event_id")
+    return _list_texts(cogroup({"names": names, "events": events}, "custkey"), "names", "events")
+
+
+def names_and_places(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct priorities of the orders of a customer, and the segment: the employee, names and cities."""
+    orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("employee_id"), F.col("o_orderpriority").alias("name"))
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("employee_id"), F.col("c_mktsegment").alias("city"))
+    found = _list_texts(attendance.names_and_places(orders, customers), "cities", "names")
+    return found.select(F.col("employee_id").alias("custkey"), "cities", "names")
 
 
 def cogroup_named(spark: SparkSession, folder: str) -> DataFrame:
@@ -189,6 +196,28 @@ def card_points(spark: SparkSession, folder: str) -> DataFrame:
     return bank.card_totals(_cards(spark, folder), ["customer_id"])
 
 
+def card_defaulters(spark: SparkSession, folder: str) -> DataFrame:
+    """The text line of every supplier, those without points included."""
+    cards = _cards(spark, folder).withColumns({"first_name": F.lit("Supplier"), "last_name": F.col("customer_id").cast("string")})
+    return bank.card_defaulters(cards).select("customer_id", bank.card_line().alias("line"))
+
+
+def text_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders written as text lines, the numbers of the customers as a list of ids, and both scanned again."""
+    base = work_folder(spark, "text")
+    orders = table(spark, folder, "orders")
+    line = F.concat_ws(
+        ",", "o_orderkey", F.format_string("%.2f", "o_totalprice"), F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
+    )
+    sinks.write_lines(orders, line, f"{base}/orders")
+    sinks.write_lines(table(spark, folder, "customer").where("c_nationkey < 5"), F.col("c_custkey"), f"{base}/ids")
+    layout = layouts.layout(("o_orderkey", layouts.LONG, True), ("price", layouts.DOUBLE, True), ("at", layouts.TIME, True))
+    found, _ = files.scan_delimited(spark, f"{base}/orders", layout)
+    ids = files.scan_ids(spark, f"{base}/ids").select(F.col("id").cast("bigint").alias("o_orderkey"))
+    kept = rows.exclude(found, ids, "o_orderkey")
+    return kept.select("o_orderkey", "price", F.unix_seconds("at").alias("seconds"))
+
+
 def sorted_points(spark: SparkSession, folder: str) -> DataFrame:
     return rows.by_points(card_points(spark, folder), "points", "customer_id")
 
@@ -215,7 +244,7 @@ def _purchase_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def missed_period_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """Days 1..30 without a purchase, per user."""
+    """Days 1..31 without a purchase, per user."""
     return missed_periods(_purchase_days(spark, folder), ["customer_id"], "day", DAYS)
 
 
@@ -277,7 +306,7 @@ def tumbling_sum(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def session_mean(spark: SparkSession, folder: str) -> DataFrame:
-    return windows.session_mean(table(spark, folder, "events"), ["user_id"], "ts", GAP_US, F.col("value"))
+    return windows.session_mean(table(spark, folder, "events"), ["user_id"], "ts", GAP_US, F.col("value"), scale=2)
 
 
 def _double_total(df: DataFrame) -> DataFrame:
@@ -358,7 +387,7 @@ def stream_session(spark: SparkSession, folder: str) -> DataFrame:
         spark,
         _zoned_events(spark, folder),
         "session",
-        lambda s: stream_windows.session_stream(s, ["user_id"], "ts", GAP_US, F.col("value")),
+        lambda s: stream_windows.session_stream(s, ["user_id"], "ts", GAP_US, F.col("value"), scale=2),
     )
     return _unzoned(means, "session_start", "session_end")
 

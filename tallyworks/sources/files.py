@@ -19,8 +19,8 @@ _READERS = {
 
 
 def typed(column: str, kind: T.DataType) -> Column:
-    """The text column as the wanted type; NULL where it does not fit."""
-    reader = _READERS.get(type(kind), text.strip)
+    """The text column as the wanted type; NULL where it does not fit, and for an empty text."""
+    reader = _READERS.get(type(kind), lambda value: F.nullif(text.strip(value), F.lit("")))
     return reader(F.col(column)).alias(column)
 
 

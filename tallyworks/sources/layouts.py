@@ -11,6 +11,11 @@ def layout(*columns: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, not required) for name, kind, required in columns])
 
 
+def needing(base: T.StructType, *required: str) -> T.StructType:
+    """The same columns, of which only the named ones are required."""
+    return T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in base.fields])
+
+
 ATTENDANCE = layout(
     ("employee_id", TEXT, True),
     ("name", TEXT, True),

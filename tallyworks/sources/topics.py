@@ -42,16 +42,19 @@ def replay(df: DataFrame, seq: str, path: str, waves: int, stamp: str | None = N
     Yields the number of each wave after it was written, so that the caller can
     let a stream take it in before the next one comes. Inside a wave the order
     is the ``seq`` column, which every row keeps. ``stamp`` names a column for the
-    time at which the wave is published, for windows over arrival time.
+    time at which the wave is published, for windows over arrival time. Rows without
+    a number come in the first wave.
     """
-    bounds = df.agg(F.min(seq), F.max(seq)).first()
-    if bounds[0] is None:
+    low, high, rows = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
+    if not rows:
         return
-    low, high = bounds
+    if low is None:
+        low = high = 0
     step = -(-(high - low + 1) // waves)
     for wave in range(waves):
         start = low + wave * step
-        rows = df.where((F.col(seq) >= start) & (F.col(seq) < start + step))
+        inside = (F.col(seq) >= start) & (F.col(seq) < start + step)
+        rows = df.where(inside | F.col(seq).isNull() if wave == 0 else inside)
         publish(rows if stamp is None else rows.withColumn(stamp, F.current_timestamp()), path)
         yield wave
 

@@ -2,23 +2,24 @@
 
 import os
 
-# (employee id, name, department, days present); two people are called Kyle.
+# (employee id, name, department, days present), to test the rules: two people share a name, one comes on fewer days, names of
+# two to nine letters on both sides of the length limits, and one name with the marker.
 STAFF = [
-    ("101AA", "Marco", "Accounts", 31),
-    ("102AB", "Rebekah", "Accounts", 31),
-    ("103AC", "Itoe", "Accounts", 31),
-    ("104AD", "Edouard", "Accounts", 31),
-    ("105AE", "Kyle", "Accounts", 31),
-    ("106AF", "Kyle", "Accounts", 31),
-    ("107AG", "Kumiko", "Accounts", 31),
-    ("108AH", "Gaston", "Accounts", 31),
-    ("109AI", "Ayumi", "Accounts", 30),
-    ("201BA", "Olga", "HR", 31),
-    ("202BB", "Jo", "HR", 31),
-    ("301CA", "Kirk", "Finance", 31),
+    ("E1", "Tomas", "Accounts", 5),
+    ("E2", "Bettina", "Accounts", 5),
+    ("E3", "Luis", "Accounts", 5),
+    ("E4", "Henrike", "Accounts", 5),
+    ("E5", "Sam", "Accounts", 5),
+    ("E6", "Sam", "Accounts", 5),
+    ("E7", "Noemi", "Accounts", 5),
+    ("E8", "Ulrike", "Accounts", 5),
+    ("E9", "Arvid", "Accounts", 3),
+    ("F1", "Vera", "HR", 4),
+    ("F2", "Bo", "HR", 4),
+    ("G1", "Dirk", "Finance", 2),
 ]
 
-CITIES = {"101AA": "New York", "102AB": "Denver", "999ZZ": "Boston"}
+CITIES = {"E1": "Lund", "E2": "Graz", "X9": "Turku"}
 
 
 def write(folder, name, lines):
@@ -35,26 +36,26 @@ def attendance(folder):
 
 
 def location(folder):
-    lines = [f"{i},555-01{i[:3]},{city}" for i, city in CITIES.items()]
+    lines = [f"{i},555-01{i},{city}" for i, city in CITIES.items()]
     return write(folder, "location.txt", lines + lines[:1])
 
 
 CARD_LINES = [
     "customer_id, first_name, last_name, relationship_id, card_type, max_limit, spent, cash, cleared, payment_date",
-    # 490 of 500 spent, 101 cleared: short payment, 1 point
-    "C1,Miyako,Burns,R_1,Issuers,500,490,38,101,30-01-2018",
+    # half of the limit spent, under 70 % of it cleared: short payment, 1 point
+    "C1,Nils,Berg,R_1,Gold,800,400,10,279,15-03-2021",
     # whole limit spent, 300 cleared: both rules, 3 points
-    "C1,Miyako,Burns,R_1,Issuers,500,500,0,300,28-02-2018",
+    "C1,Nils,Berg,R_1,Gold,800,800,0,500,15-04-2021",
     # exactly 70 % cleared, limit not reached: no point
-    "C2,Ann,Lee,R_2,Issuers,200,100,0,70,30-01-2018",
+    "C2,Ann,Lee,R_2,Gold,200,100,0,70,30-01-2018",
     # whole limit, cleared in full: no point
-    "C2,Ann,Lee,R_2,Issuers,200,200,0,200,28-02-2018",
+    "C2,Ann,Lee,R_2,Gold,200,200,0,200,28-02-2018",
     # whole limit, 80 % cleared: 1 point
-    "C3,Bo,Kim,R_3,Issuers,100,100,0,80,30-01-2018",
+    "C3,Bo,Kim,R_3,Gold,100,100,0,80,30-01-2018",
     # whole limit, overpaid: a point only if overpayment counts
-    "C4,Cy,Fox,R_4,Issuers,100,100,0,120,30-01-2018",
+    "C4,Cy,Fox,R_4,Gold,100,100,0,120,30-01-2018",
     # unreadable amount and too short a row: rejects
-    "C5,Di,Ray,R_5,Issuers,100,lots,0,120,30-01-2018",
+    "C5,Di,Ray,R_5,Gold,100,lots,0,120,30-01-2018",
     "C6,Ed,Poe",
 ]
 
@@ -88,11 +89,10 @@ PERSONAL = {
 }
 
 
-def kill_line(seconds=20, rank=6, prey_rank=1, place="MP_100", prey_place="MP_113", at="1553578221", who="PL_1", team="TM_01"):
-    return (
-        f"GM_1,{who},Allison,{team},Blasters,BN60,{rank},{place},PL_16,Odette,TM_03,Masters,Bomb,"
-        f"{prey_rank},{prey_place},{seconds},{at}"
-    )
+def kill_line(seconds=15, rank=9, prey_rank=4, place="P_1", prey_place="P_2", at="1700000001", who="W1", team="T9"):
+    """A kill that is worth 4 points for the time, 2 for the ranks and 3 for the places, unless told otherwise."""
+    prey = f"V2,Second,T8,Others,Sling,{prey_rank},{prey_place}"
+    return f"G7,{who},First,{team},Ones,Spear,{rank},{place},{prey},{seconds},{at}"
 
 
 def sales_lines():

@@ -37,15 +37,15 @@ def test_batch_jobs(spark, tmp_path):
     cards = fixtures.write(tmp_path, "cards.csv", fixtures.CARD_LINES)
     loans = fixtures.write(tmp_path, "loans.csv", fixtures.loan_lines())
     staff, places = fixtures.attendance(tmp_path), fixtures.location(tmp_path)
-    ids = fixtures.write(tmp_path, "ids.txt", ["101AA"])
+    ids = fixtures.write(tmp_path, "ids.txt", ["E1"])
     numbers = fixtures.write(tmp_path, "numbers.csv", ["n", "10", "20"])
     words = fixtures.write(tmp_path, "words.txt", ["king king king king king king lear"])
     run = lambda *a: jobs.main(list(a), spark)
     out = lambda name: str(tmp_path / "out" / name)
 
     run("card-defaulters", "--input", cards, "--output", out("card"), "--rejects", out("bad"))
-    assert text_of(spark, out("card"))[0] == "C1, 4, Miyako Burns"
-    assert spark.read.json(out("bad")).count() == 2
+    assert text_of(spark, out("card"))[0] == "C1, 4, Nils Berg"
+    assert spark.read.json(out("bad/input")).count() == 2
     run("top-defaulters", "--input", cards, "--output", out("top"), "--k", "1")
     assert text_of(spark, out("top")) == ["C1, 4"]
     run("loan-defaulters", "--input", loans, "--output", out("medical"), "--output2", out("personal"))
@@ -54,11 +54,11 @@ def test_batch_jobs(spark, tmp_path):
     run("both-defaulters", "--input", cards, "--input2", loans, "--output", out("both"))
     assert spark.read.json(out("both")).count() == 8
     run("attendance-count", "--input", staff, "--output", out("count"))
-    assert "('Kyle', 62)" in text_of(spark, out("count"))
+    assert "('Sam', 10)" in text_of(spark, out("count"))
     run("names-and-places", "--input", staff, "--input2", places, "--output", out("places"))
     assert spark.read.json(out("places")).count() == 13
     run("routed-names", "--input", staff, "--output", out("tags"))
-    assert text_of(spark, out("tags") + "/tag=marked") == ["Ayumi"]
+    assert text_of(spark, out("tags") + "/tag=marked") == ["Arvid"]
     run("attendance-without", "--input", staff, "--input2", ids, "--output", out("without"))
     assert len(text_of(spark, out("without"))) == 8
     run("word-count", "--input", words, "--output", out("words"))
@@ -87,18 +87,23 @@ def test_stream_jobs(spark, tmp_path):
 
 
 def test_score_and_session_jobs(spark, tmp_path):
-    lines = [fixtures.kill_line(at=str(1553578220 + s)) for s in (0, 3, 60, 63)]
+    lines = [fixtures.kill_line(at=str(1700000000 + s)) for s in (0, 3, 60, 63)]
+    # No player: a reject of both jobs. No weapon rank: a kill for the scores, a reject of the sessions.
+    lines += [fixtures.kill_line(who=""), fixtures.kill_line(who="W2", team="T7", rank="high"), fixtures.kill_line(who="W2", team="T7", rank="")]
     kills = fixtures.write(tmp_path, "kills.csv", lines)
     topic = str(tmp_path / "topic")
     jobs.main(["replay", "--input", kills, "--output", topic], spark)
     for job in ("player-team-scores", "weapon-sessions"):
         out, checkpoint = str(tmp_path / job), str(tmp_path / f"{job}-cp")
-        jobs.main([job, "--input", topic, "--output", out, "--checkpoint", checkpoint], spark)
+        bad = str(tmp_path / f"{job}-bad")
+        jobs.main([job, "--input", topic, "--output", out, "--checkpoint", checkpoint, "--rejects", bad], spark)
+    rejects = {job: spark.read.parquet(str(tmp_path / f"{job}-bad") + "/input") for job in ("player-team-scores", "weapon-sessions")}
+    assert {job: df.count() for job, df in rejects.items()} == {"player-team-scores": 2, "weapon-sessions": 3}
     scores = spark.read.parquet(str(tmp_path / "player-team-scores")).select("kind", "id", "score")
-    assert sorted(map(tuple, scores.collect())) == [("player", "PL_1", 2), ("player", "PL_1", 4), ("team", "TM_01", 2), ("team", "TM_01", 4)]
+    assert sorted(map(tuple, scores.collect())) == [("player", "W1", 2), ("player", "W1", 4), ("player", "W2", 2), ("team", "T7", 2), ("team", "T9", 2), ("team", "T9", 4)]
     # The second session is still open: nothing later has come.
     first = spark.read.parquet(str(tmp_path / "weapon-sessions")).select(F.unix_seconds("session_start"), "n")
-    assert [tuple(r) for r in first.collect()] == [(1553578220, 2)]
+    assert [tuple(r) for r in first.collect()] == [(1700000000, 2)]
 
 
 def test_passthrough_job(spark, tmp_path):

@@ -32,6 +32,11 @@ def test_query_equals_sql(spark, con, name):
     assert got[1] == want[1]
 
 
+def test_sorted_points_are_in_order(spark):
+    found = [(-row["points"], row["customer_id"]) for row in entry.queries()["sorted_points"](spark, FOLDER).collect()]
+    assert found == sorted(found)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["o_custkey", "n"]
 
@@ -52,5 +57,5 @@ def test_split_panes_equal_sql(spark, con, name):
 
 def test_linked_sessions_equal_sql(spark, con):
     events = tables.table(spark, FOLDER, "events")
-    got = windows.session_mean(events, ["user_id"], "ts", tables.GAP_US, F.col("value"), group_rows=30)
+    got = windows.session_mean(events, ["user_id"], "ts", tables.GAP_US, F.col("value"), group_rows=30, scale=2)
     assert spark_rows(got) == sql_rows(con, entry.oracle_sql()["session_mean"])

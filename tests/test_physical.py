@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tallyworks.operators import panes, rows
-from tallyworks.operators.cogroup import cogroup
 
 FOLDER = "/root/testdata/sf0.01"
 BATCH = [name for name in entry.queries() if not name.startswith("stream_")]
@@ -62,6 +61,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(entry.queries()["missed_periods"](spark, FOLDER))
     assert "EqualTo(event_type,purchase)" in text
     assert "props" not in text
+    text = plan(entry.queries()["membership_profit"](spark, FOLDER))
+    assert "In(l_returnflag, [A,R])" in text
 
 
 def test_partial_aggregation(spark):
@@ -73,13 +74,13 @@ def test_top_keeps_k_rows_per_task(spark):
     assert "TakeOrderedAndProject" in plan(entry.queries()["top_defaulters"](spark, FOLDER))
 
 
-def test_exclusion_broadcasts_only_a_small_list(spark):
+def test_exclusion_broadcasts_only_a_list_of_few_bytes(spark):
     df, ids = spark.range(1000).withColumnRenamed("id", "key"), spark.range(0, 500).withColumnRenamed("id", "key")
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(rows.exclude(df, ids, "key", 500))
-        assert "BroadcastHashJoin" not in plan(rows.exclude(df, ids, "key", 499))
+        for threshold, sent in (("4001", True), ("3999", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert ("BroadcastHashJoin" in plan(rows.exclude(df, ids, "key"))) == sent
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
@@ -92,14 +93,12 @@ def test_hot_keys_are_marked_by_broadcast_and_sorted_by_slot(spark):
         text = plan(panes.accumulating_panes(df, ["key"], "seq", F.col("v"), 5, slot_rows=100))
         assert "BroadcastHashJoin" in text
         assert re.search(r"Exchange hashpartitioning\(pane_key#\d+, slot#\d+L", text)
-        sides = {"a": df.select("key", "seq"), "b": df.select("key", "v")}
-        assert "SortMergeJoin" not in plan(cogroup(sides, "key", max_list=100))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-def test_skewed_join_partition_is_split(spark):
-    """A third of the lines belong to one order: the join splits its partition."""
+def test_skewed_join_partition_is_split(spark, tmp_path):
+    """A third of the lines belong to one order: the join of the query splits its partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "32",
@@ -111,14 +110,17 @@ def test_skewed_join_partition_is_split(spark):
         spark.conf.set(k, v)
     try:
         lines = spark.range(0, 300_000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("o_orderkey"),
-            (F.xxhash64("id") % 100).alias("shipped"),
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("l_orderkey"),
+            F.timestamp_seconds(F.abs(F.xxhash64("id")) % 1_000_000 + 1_000_000).alias("l_shipdate"),
+        )
+        orders = spark.range(5000).select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 10).alias("o_custkey"), F.timestamp_seconds(F.lit(0)).alias("o_orderdate")
         )
-        orders = spark.range(5000).select(F.col("id").alias("o_orderkey"), F.lit(50).alias("ordered"))
-        late = F.sum((F.col("shipped") > -1000).cast("int"))
-        joined = lines.join(orders, "o_orderkey").groupBy("ordered").agg(late)
-        assert joined.collect()[0][1] == 300_000
-        assert "skew=true" in plan(joined)
+        lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+        orders.write.parquet(str(tmp_path / "orders.parquet"))
+        late = entry.queries()["late_defaulters"](spark, str(tmp_path))
+        assert sum(row["late_payments"] for row in late.collect()) == 300_000
+        assert "skew=true" in plan(late)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

@@ -107,7 +107,7 @@ def test_cogroup(spark, max_list):
         "names": spark.createDataFrame(left, "id string, v string"),
         "numbers": spark.createDataFrame(right, "id string, n bigint"),
     }
-    got = cogroup(sides, "id", max_list=max_list).collect()
+    got = sorted(cogroup(sides, "id", max_list=max_list).collect(), key=lambda row: row["part"])
     want = defaultdict(lambda: ([], []))
     for key, value in left:
         want[key][0].extend([] if value is None else [value])
@@ -120,10 +120,9 @@ def test_cogroup(spark, max_list):
         seen[row["id"]][1].extend(row["numbers"])
         parts[row["id"]] += 1
         assert list(row["names"]) == sorted(row["names"])
-        assert len(row["names"]) <= 2 * max_list
-    assert {k: (sorted(a), sorted(b)) for k, (a, b) in seen.items()} == {
-        k: (sorted(a), sorted(b)) for k, (a, b) in want.items()
-    }
+        assert len(row["names"]) <= max_list
+    # The parts of a key, one after the other, are its sorted lists.
+    assert dict(seen) == {k: (sorted(a), sorted(b)) for k, (a, b) in want.items()}
     assert len({(r["id"], r["part"]) for r in got}) == len(got)
     assert parts["a"] == parts["l"] == parts["r"] == parts["empty"] == 1
     for key in ("hot", "copies", None):
@@ -173,12 +172,19 @@ def test_missed_periods(spark):
         want.add((key, 12 - len(months), longest))
     assert {tuple(r) for r in got} == want
     with pytest.raises(ValueError):
-        missed_periods(spark.range(1), ["id"], "id", 63)
+        missed_periods(spark.range(1), ["id"], "id", 0)
+    days = [("a", d) for d in (1, 62, 63, 130)] + [("b", None), ("c", 200), ("c", 124), ("c", 125)]
+    got = missed_periods(spark.createDataFrame(days, "key string, day int"), ["key"], "day", 200).collect()
+    assert {tuple(r) for r in got} == {("a", 196, 70), ("b", 200, 200), ("c", 197, 123)}
 
 
 def test_exclude_beyond_broadcast(spark):
     df = spark.range(1000).withColumnRenamed("id", "key")
     ids = spark.range(0, 1000, 3).withColumnRenamed("id", "key")
-    for limit in (10, 100_000):
-        kept = rows.exclude(df, ids, "key", limit)
-        assert kept.count() == 666
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert rows.exclude(df, ids, "key").count() == 666
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
