@@ -13,6 +13,7 @@ import argparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tallyworks.functions import text
 from tallyworks.operators import keyed, rows
 from tallyworks.plans import attendance, bank, game, store
 from tallyworks.session import build_session
@@ -133,11 +134,16 @@ def store_panes(spark, args):
     _run(query, args)
 
 
+def _messages(df: DataFrame, line: Column, args) -> DataFrame:
+    """The results as columns, or with ``--messages`` as encoded text lines in ``value``."""
+    return df.select(text.encode(line).alias("value")) if args.messages else df
+
+
 def store_windows(spark, args):
     layout = layouts.STORE_SALE if args.time == "arrived_at" else layouts.TIMED_STORE_SALE
     windows = store.profit_window_stream(_topic_rows(spark, args, layout), args.time, delay=args.delay)
-    query = control.start_sink(windows, args.output, args.checkpoint, continuous=args.every)
-    _run(query, args)
+    results = _messages(windows, store.window_line(), args)
+    _run(control.start_sink(results, args.output, args.checkpoint, continuous=args.every), args)
 
 
 def player_team_scores(spark, args):
@@ -150,7 +156,8 @@ def weapon_sessions(spark, args):
     kills = _topic_rows(spark, args, layouts.KILL)
     with control.setting(spark, control.LOCAL_SESSION_MERGE, "true"):
         sessions = game.weapon_session_stream(kills, args.time, args.gap * 1_000_000, delay=args.delay)
-        query = control.start_sink(sessions, args.output, args.checkpoint, continuous=args.every)
+        results = _messages(sessions, game.weapon_line(), args)
+        query = control.start_sink(results, args.output, args.checkpoint, continuous=args.every)
     _run(query, args)
 
 
@@ -213,6 +220,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--rejects", help="folder for unreadable rows")
         if name in EVENT_TIME:
             job.add_argument("--time", choices=["arrived_at", EVENT_TIME[name]], default=EVENT_TIME[name])
+            job.add_argument("--messages", action="store_true", help="publish text lines instead of columns")
             job.add_argument("--delay", default="0 seconds", help="how long to wait for late rows")
         if name in FIRE_AFTER:
             job.add_argument("--n", type=int, default=FIRE_AFTER[name], help="rows per firing")

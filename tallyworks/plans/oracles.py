@@ -231,6 +231,10 @@ ORACLES = {
     "weapon_sessions": _sessions(
         _KILLS, "game_id, player_id, used_weapon", "INTERVAL 48 HOURS", "points", "mean_points"
     ),
+    "stream_weapon_messages": f"""
+        SELECT game_id || ',' || player_id || ',' || used_weapon || ': ' || CAST(mean_points AS VARCHAR) AS line
+        FROM ({_sessions(_KILLS, "game_id, player_id, used_weapon", "INTERVAL 48 HOURS", "points", "mean_points")})
+    """,
     "tumbling_sum": _TUMBLING,
     "session_mean": _SESSION,
     "pane_discarding": _DISCARDING,

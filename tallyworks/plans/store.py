@@ -44,5 +44,9 @@ def profit_window_stream(
     return tumbling_stream(profits(sales), ["store_id"], time, width, F.col("profit"), "profit", delay=delay)
 
 
+def window_line() -> Column:
+    return F.concat(F.lit("('"), F.col("store_id"), F.lit("', "), F.col("profit").cast("string"), F.lit(")"))
+
+
 def pane_line() -> Column:
     return F.concat(F.lit("('"), F.col("store_id"), F.lit("', "), F.col("total").cast("string"), F.lit(")"))

@@ -392,6 +392,19 @@ def stream_session(spark: SparkSession, folder: str) -> DataFrame:
     return _unzoned(means, "session_start", "session_end")
 
 
+def stream_weapon_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The weapon sessions of a stream, published as encoded text lines and decoded again."""
+    columns = [*game.WEAPON_KEYS, "rank_of_weapon", "prey_weapon_rank", "killer_location", "prey_location"]
+    events = _kills(spark, folder).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "engagement_seconds", *columns)
+    kills = events.withColumn("user_id", F.col("player_id"))
+
+    def messages(stream: DataFrame) -> DataFrame:
+        sessions = game.weapon_session_stream(stream, "ts", 8 * GAP_US)
+        return sessions.select(text.encode(game.weapon_line()).alias("value"))
+
+    return _windowed(spark, kills, "weapons", messages).select(text.decode(F.col("value")).alias("line"))
+
+
 def _pane_results(spark: SparkSession, folder: str, label: str, starter, n: int) -> DataFrame:
     base = work_folder(spark, label)
     events = table(spark, folder, "events").select("event_id", "user_id", "value")

@@ -106,6 +106,16 @@ def test_score_and_session_jobs(spark, tmp_path):
     assert [tuple(r) for r in first.collect()] == [(1700000000, 2)]
 
 
+def test_messages_of_windows(spark, tmp_path):
+    lines = [f"{line},{1700000000 + 30 * i}" for i, line in enumerate(fixtures.sales_lines()[1:4])]
+    sales = fixtures.write(tmp_path, "sales.csv", lines)
+    topic, out, checkpoint = (str(tmp_path / n) for n in ("topic", "out", "cp"))
+    jobs.main(["replay", "--input", sales, "--output", topic], spark)
+    jobs.main(["store-windows", "--input", topic, "--output", out, "--checkpoint", checkpoint, "--messages"], spark)
+    found = [bytes(row["value"]).decode() for row in spark.read.parquet(out).collect()]
+    assert found and all(line.startswith("('STR_") and line.endswith(")") for line in found)
+
+
 def test_passthrough_job(spark, tmp_path):
     numbers = fixtures.write(tmp_path, "counts.csv", ["\ufeffCounts", "1", "2", "3"])
     topic, out, checkpoint = (str(tmp_path / n) for n in ("topic", "out", "cp"))
