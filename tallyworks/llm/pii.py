@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.llm import ragged
+from tallyworks.llm.samples import by_hash
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 2000
@@ -244,7 +245,7 @@ def _may_hold(column: pa.Array) -> np.ndarray:
 
 
 def train(df: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Field:
-    """The field, fitted on at most so many documents with a digit or an at sign: those with the smallest text hashes.
+    """The field, fitted on at most so many texts with a digit or an at sign: those with small hashes.
 
     Of each, at most SAMPLE_WORDS words are used, so that the sample is bounded. The documents of the sample are the same
     however the rows lie.
@@ -263,8 +264,7 @@ def train(df: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Field
             yield pa.record_batch([pa.array(features, pa.list_(pa.float64())), pa.array(labels, pa.int32())], ["x", "y"])
 
     texts = df.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    chosen = texts.withColumn("h", F.xxhash64("text")).select("text", "h").orderBy("h", "text").limit(sample).select("text")
-    table = chosen.mapInArrow(rows, "x array<double>, y int").toArrow()
+    table = by_hash(texts, ["text"], sample).mapInArrow(rows, "x array<double>, y int").toArrow()
     features = np.array(table.column("x").to_pylist()).reshape(-1, FORM_SIZE + 3 * LABELS)
     return fit(features, table.column("y").to_numpy().astype(np.int64))
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import ragged
 from tallyworks.llm.components import stored
+from tallyworks.llm.samples import by_hash
 
 SAMPLE = 20_000
 TREES = 8
@@ -175,7 +176,7 @@ def nearest(
     schema = "query_id long, vec_id long, score double"
     if not size.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
+    sample = by_hash(rows, ["id"], SAMPLE).select("v").toArrow()
     points = sample.column("v").combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)
     depth = int(np.clip(np.floor(np.log2(max(size.n / leaf_rows, 1))), 0, np.log2(max(len(points) / 8, 1))))
     forest = Forest(points, trees, depth, size.norm)

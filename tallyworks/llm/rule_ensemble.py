@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import statistics
 from tallyworks.llm.components import stored
+from tallyworks.llm.samples import by_hash
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 12, 3, 17
@@ -126,12 +127,12 @@ def fit(sample: DataFrame, label: str) -> Ensemble:
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", rows: int = TRAIN_ROWS) -> Ensemble:
     """The ensemble fitted on labelled documents that are not held out.
 
-    Of these at most the given number are used, those with the smallest hashes of their key. Labels other than 0 and 1, null
+    Of these at most the given number are used, those with small hashes of key and label. Labels other than 0 and 1, null
     keys and labels without a document count for nothing; a key with several labels counts with each.
     """
     chosen = labels.select(key, F.col(label).cast("int").alias("label"))
     chosen = chosen.filter(F.col("label").isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
-    chosen = chosen.orderBy(F.xxhash64(key), key, "label").limit(rows)
+    chosen = by_hash(chosen, [key, "label"], rows)
     # The sample has a fixed number of rows, so that it may go to all tasks and end in one file.
     sample = documents.select(key, "text").join(F.broadcast(stored(chosen, "labels")), key)
     sample = stored(with_features(sample), "sample")
