@@ -34,7 +34,7 @@ EDGES = [
     (7, "the quick brown fox jumps over the lazy dog and runs away from the big bad wolf again"),
     (8, LONG),
     (9, LONG + " one more word at the end"),
-    (10, "Ünïcode – ß 中文 a<|endoftext|>b a.b@c.de 1.2.3.4 4387 5130 3523 7269 +1 (456) 555-2186 or (456) 555-2186"),
+    (10, "Ünïcode – ß 中文 a<|endoftext|>b a.b@c.de 1.2.3.4 and 4387 5130 3523 7269 and +1 (456) 555-2186 or (456) 555-2186"),
     (11, "= " * 500 + "=" * 500),
 ]
 # Repeated rows, and columns whose names clash with those that operators use inside.
