@@ -59,10 +59,14 @@ def replay(df: DataFrame, seq: str, path: str, waves: int, stamp: str | None = N
         yield wave
 
 
+# Fixed value: the wording of a message.
+SEND_NUMBER = "Send number: "
+
+
 def envelope(number: Column) -> list[Column]:
     """A message for a number: the payload and the attribute ``even``."""
     even = F.when(number % 2 == 0, "True").otherwise("False")
     return [
-        F.concat(F.lit("Send number: "), number.cast("string")).alias("value"),
+        F.concat(F.lit(SEND_NUMBER), number.cast("string")).alias("value"),
         F.create_map(F.lit("even"), even).alias("attributes"),
     ]
