@@ -10,8 +10,9 @@ need(a, b) of them. Equal sets are one class, and only the first document of a c
   last. Members that no other document holds are left out.
 * The boundary is the one with the lowest cost, from the numbers of sets of each size and the mean length of a list.
 
-No list gives all its pairs. First, each member is compared with one other of its list. Only members of a list that are not
-in one component by then are compared with each other. What is compared is decided on the whole sets.
+No list gives all its pairs. In a few rounds, each member is compared with one other of its list. Only members of a list that
+are not in one component by then are compared with each other. Size, place and a sketch of the sets rule out pairs that
+cannot link; what is left is decided on the whole sets.
 Members are 64-bit hashes of shingles.
 """
 
@@ -34,6 +35,9 @@ WORDS = 4
 FREQUENT = 32
 LARGEST_LIGHT = 26
 SLICE = 2 << 20
+ROUNDS = 3
+SKETCH_BITS = 256
+SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
 
 _RANDOM = np.random.default_rng(85)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -139,7 +143,11 @@ def light_boundary(sizes: dict[int, int], list_length: float, threshold: int = T
 
 
 def _list_rows(light: int, tables, words: int, threshold: int):
-    """Of each text the rows (entry, doc_id, n, place) of its subsets and of the lists that it is in."""
+    """Of each text the rows (entry, doc_id, n, place, sketch) of its subsets and of the lists that it is in.
+
+    A bit of the sketch tells whether an odd number of members falls on it, so that two sets differ in at least as many
+    members as their sketches differ in bits.
+    """
     heavy_from = -(-threshold * (light + 1) // 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +167,9 @@ def _list_rows(light: int, tables, words: int, threshold: int):
                     places.append(np.full(len(owners) * len(chosen), -1))
             # In one order of all members: those of one document first, the frequent ones last, else by hash.
             owner = np.repeat(np.arange(len(sizes)), sizes)
+            slot = owner * SKETCH_BITS + (prints.mix(hashes) >> np.uint64(40)).astype(np.int64) % SKETCH_BITS
+            odd = np.bincount(slot, minlength=len(sizes) * SKETCH_BITS).reshape(len(sizes), SKETCH_BITS) & 1
+            sketch = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
             level = prints.marked(shared, hashes).astype(np.int8) + prints.marked(frequent, hashes)
             order = np.lexsort((hashes, level, owner))
             place = np.arange(len(hashes)) - bounds[owner]
@@ -175,19 +186,22 @@ def _list_rows(light: int, tables, words: int, threshold: int):
                     pa.array(batch.column("doc_id").to_numpy()[row]),
                     pa.array(sizes[row].astype(np.int32)),
                     pa.array(np.concatenate(places).astype(np.int32)),
+                    *(pa.array(sketch[row, k]) for k in range(len(SKETCH))),
                 ],
-                ["entry", "doc_id", "n", "place"],
+                ["entry", "doc_id", "n", "place", *SKETCH],
             )
 
     return run
 
 
 def _may_link(a: str, b: str, threshold: int):
-    """Whether two entries of a list pass the filters of size and place."""
+    """Whether two entries of a list pass the filters of size, place and sketch."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     common = F.ceil(F.lit(threshold) * (n + m) / F.lit(100 + threshold))
     rest = F.least(n - F.col(f"{a}.place"), m - F.col(f"{b}.place"))
     sizes = (F.lit(100) * F.least(n, m) >= F.lit(threshold) * F.greatest(n, m)) & (F.col(f"{a}.doc_id") != F.col(f"{b}.doc_id"))
+    apart = sum((F.bit_count(F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))) for name in SKETCH), F.lit(0))
+    sizes = sizes & (apart <= n + m - 2 * common)
     return sizes & ((F.col(f"{a}.place") < 0) | (F.col(f"{b}.place") < 0) | (rest >= common))
 
 
@@ -250,24 +264,32 @@ def link_documents(
     histogram = {row.n: row["count"] for row in sizes.groupBy("n").count().collect()}
     light = light_boundary(histogram, n / max(n_distinct, 1), threshold)
     tables = [spark.sparkContext.broadcast(table) for table in found]  # of a bounded number of bits
-    rows = documents.mapInArrow(_list_rows(light, tables, words, threshold), "entry long, doc_id long, n int, place int")
+    rows = documents.mapInArrow(_list_rows(light, tables, words, threshold), ", ".join(["entry long, doc_id long, n int, place int", *(f"{name} long" for name in SKETCH)]))
     firsts = member.filter("first IS NOT NULL AND doc_id = first").select("doc_id").distinct()
-    lists = rows.groupBy("entry", "doc_id", "n").agg(F.min("place").alias("place")).join(firsts, "doc_id", "left_semi")
+    lists = rows.groupBy("entry", "doc_id", "n", *SKETCH).agg(F.min("place").alias("place")).join(firsts, "doc_id", "left_semi")
     lists = stored(lists, "lists")
 
     doubled = member.filter("first IS NOT NULL AND first <> doc_id").join(firsts, "doc_id", "left_semi")
     links = stored(_pairs(doubled, F.col("doc_id"), F.col("first")), "links")
 
-    # One member of each list, the same in lists of the same documents, meets all the others.
-    one = lists.groupBy("entry").agg(
-        F.min_by(F.struct("doc_id", "n", "place"), F.xxhash64("doc_id")).alias("o"), F.count("*").alias("members")
-    )
-    mixed = lists.join(one.filter("members > 1").select("entry", "o"), "entry")
-    mixed = mixed.select("entry", F.struct("doc_id", "n", "place").alias("m"), "o").filter(_may_link("m", "o", threshold))
-    pairs = stored(_pairs(mixed, F.col("m.doc_id"), F.col("o.doc_id")), "pairs")
-    links = stored(links.union(_linked(pairs, documents, words, threshold)).distinct(), "links")
-    named = components(links, "a", "b").withColumnRenamed("node", "doc_id")
-    now = stored(lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "lists")
+    # In each round, one member of each list meets those in other components, the same one in lists of the same documents.
+    member_of = F.struct("doc_id", "n", "place", *SKETCH)
+    now, compared = lists.withColumn("component", F.col("doc_id")), None
+    for number in range(ROUNDS):
+        one = now.groupBy("entry").agg(
+            F.min_by(F.struct(member_of.alias("o"), F.col("component").alias("c")), F.xxhash64("doc_id", F.lit(number))).alias("one"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+        )
+        met = now.join(one.filter("least < most").select("entry", "one"), "entry").filter(F.col("component") != F.col("one.c"))
+        met = met.select(member_of.alias("m"), F.col("one.o").alias("o")).filter(_may_link("m", "o", threshold))
+        pairs = _pairs(met, F.col("m.doc_id"), F.col("o.doc_id"))
+        pairs = stored(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        compared = pairs if compared is None else compared.union(pairs)
+        links = stored(links.union(_linked(pairs, documents, words, threshold)).distinct(), "links")
+        named = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+        now = lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        now = stored(now, "lists")
     # What is left: entries of one list in different components, each with each of the others.
     ends = now.groupBy("entry").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = now.join(ends.filter("least < most").select("entry"), "entry")
@@ -276,7 +298,7 @@ def link_documents(
         (F.col("m.entry") == F.col("o.entry")) & (F.col("m.doc_id") < F.col("o.doc_id"))
         & (F.col("m.component") != F.col("o.component")) & _may_link("m", "o", threshold),
     )
-    pairs = stored(_pairs(rest, F.col("m.doc_id"), F.col("o.doc_id")).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    pairs = stored(_pairs(rest, F.col("m.doc_id"), F.col("o.doc_id")).join(compared, ["a", "b"], "left_anti"), "pairs")
     links = links.union(_linked(pairs, documents, words, threshold)).distinct()
     named = components(stored(links, "links"), "a", "b").withColumnRenamed("node", "first")
     return member.join(named, "first", "left").select(
