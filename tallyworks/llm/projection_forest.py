@@ -28,7 +28,7 @@ TREES = 8
 LEAF_ROWS = 256
 VISITED = 0.2
 BLOCK = 4096
-GROUP_ROWS = 1_000_000
+GROUPS, GROUP_ROWS = 24, 500_000
 EXACT_PAIRS = 1 << 15
 
 
@@ -207,9 +207,8 @@ def nearest(
     # Of each leaf, into how many parts its rows and its queries are cut.
     parts = np.maximum(-(-held // block), 1), np.maximum(-(-seen // block), 1) * (seen > 0)
     layout = spark.sparkContext.broadcast(parts)
-    # Many leaves share a group, so that the best of a query are merged before they move; groups grow as their number does.
-    placed = size.n * trees
-    buckets = int(max(np.ceil(1.5 * np.sqrt(placed / block)), placed // GROUP_ROWS, 1))
+    # Many leaves share a group, so that the best of a query are merged before they move.
+    buckets = int(max(GROUPS, size.n * trees // GROUP_ROWS))
 
     def blocks(leaf: np.ndarray, ids: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
         """For each row the blocks that it belongs to: its own part of its side, with all parts of the other side."""
@@ -254,9 +253,9 @@ def nearest(
             table = table.combine_chunks()
             names = table.column("block").to_numpy()
             ids = table.column("id").to_numpy()
-            vectors = np.array(table.column("v").combine_chunks().flatten()).reshape(len(ids), -1)
             order = np.argsort(names, kind="stable")
-            sides.append((names[order], ids[order], vectors[order]))
+            vectors = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)[order]
+            sides.append((names[order], ids[order], vectors))
         (names, ids, vectors), (asked_names, asked_ids, asked_vectors) = sides
         found = []
         for name in np.unique(asked_names):
