@@ -13,6 +13,8 @@ from tallyworks.session import work_folder
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
+#: Near copies share this percentage of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _with_text(df: DataFrame, text: str) -> DataFrame:
@@ -28,7 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of linked documents, once; documents without an id stay."""
-    linked = jaccard.link_documents(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    found = jaccard.link_documents(docs, words=NEAR_WORDS, threshold=NEAR_PERCENT)
+    linked = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     rest = [name for name in COLUMNS if name != "doc_id"]
     kept = docs.join(linked, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
     kept = kept.select("doc_id", *[F.col(f"row.{name}").alias(name) for name in rest])

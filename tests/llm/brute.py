@@ -17,9 +17,9 @@ def shingles(text, words=4):
     return frozenset(tuple(found[i : i + words]) for i in range(len(found) - words + 1))
 
 
-def linked(docs, threshold=85):
+def linked(docs, threshold=85, words=4):
     """docs: {id: text}. {id: (size of the set, component)}."""
-    sets = {k: shingles(t) for k, t in docs.items()}
+    sets = {k: shingles(t, words) for k, t in docs.items()}
     root = {k: k for k in sets}
 
     def find(k):

@@ -296,3 +296,20 @@ def test_pipeline(spark, docs):
     clean = stages["personal_data"](spark, survivors, FOLDER)
     assert clean.columns == list(corpus_pipeline.COLUMNS)
     assert not [row for row in clean.collect() if brute.personal(row.text or "")]
+
+
+def test_pipeline_near_duplicates(spark):
+    """The stage takes shingles of five words and 80 percent; some copies here link only so."""
+    texts = []
+    for size in (8, 20, 30, 60, 90, 150):
+        base = [f"w{size}_{i}" for i in range(size)]
+        for changes in (0, 1, 2, 3, 5, 8, 10, 15):
+            texts.append(" ".join(base[: size - changes] + [f"c{size}_{changes}_{i}" for i in range(changes)]))
+    table = dict(enumerate(texts))
+    rows = [(k, text, "en", "web", len(text)) for k, text in table.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    first = {k for k, (_, component) in brute.linked(table, 80, words=5).items() if k == component}
+    assert first != {k for k, (_, component) in brute.linked(table).items() if k == component}
+    kept = corpus_pipeline.near_duplicates(spark, df, FOLDER)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(first)
