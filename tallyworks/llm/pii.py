@@ -296,7 +296,10 @@ def find_entities(df: DataFrame, field: Field, text: str = "text", entities: str
 
 
 def mask(df: DataFrame, text: str = "text", entities: str = "entities") -> DataFrame:
-    """Replaces each entity in the text by its kind in square brackets, and drops the entities. Of overlapping ones the first counts."""
+    """Replaces each entity in the text by its kind in square brackets, and drops the entities.
+
+    Of overlapping entities, a later one begins where those before it end, and one that lies within them adds no mark.
+    """
     fields = [one for one in df.schema.fields if one.name != entities]
     schema = T.StructType(fields)
 
@@ -307,7 +310,7 @@ def mask(df: DataFrame, text: str = "text", entities: str = "entities") -> DataF
             for row in np.flatnonzero(np.diff(ragged.list_bounds(lists))).tolist():
                 parts, at = [], 0
                 for one in lists[row].as_py():
-                    if one["start"] >= at:
+                    if one["end"] > at:
                         parts += [values[row][at : one["start"]], f"[{KINDS[one['kind']].upper()}]"]
                         at = one["end"]
                 values[row] = "".join([*parts, values[row][at:]])

@@ -1,5 +1,7 @@
 """Every operator against a plain version, over a table of the test data and over a table of edge cases."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -313,3 +315,25 @@ def test_pipeline_near_duplicates(spark):
     kept = corpus_pipeline.near_duplicates(spark, df, FOLDER)
     assert kept.columns == list(corpus_pipeline.COLUMNS)
     assert sorted(row.doc_id for row in kept.collect()) == sorted(first)
+
+
+def test_mask_of_overlapping_entities(spark):
+    """No character of an entity stays, also where a later one begins within it and goes on beyond it."""
+    table = {
+        1: "from 10.0.92.216 4912 6568 3469 8670 ok",
+        2: "pay 4387513035237269@shop.example.org now",
+        3: "a 4387 5130 3523 7269 b c.d@e.fg",
+        4: "10.0.92.216 4912 6568 3469 8670@shop.example.org",
+    }
+    nobody = pii.fit(np.empty((0, pii.FORM_SIZE + 3 * pii.LABELS)), np.empty(0, dtype=int))
+    df = spark.createDataFrame(list(table.items()), "doc_id long, text string")
+    masked = {row.doc_id: row.text for row in pii.mask(pii.find_entities(df, nobody)).collect()}
+    assert masked[1] == "from [IP][CARD] ok"
+    assert masked[2] == "pay [EMAIL] now"
+    assert masked[3] == "a [CARD] b [EMAIL]"
+    for k, text in table.items():
+        hidden = np.zeros(len(text), dtype=bool)
+        for start, _, end in brute.personal(text):
+            hidden[start:end] = True
+        plain = "".join("\0" if gone else letter for letter, gone in zip(text, hidden))
+        assert re.sub(r"(\[[A-Z]+\])+", "\0", masked[k]) == re.sub("\0+", "\0", plain)
