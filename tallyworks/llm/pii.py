@@ -1,9 +1,9 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 The patterns give the base spans. The field labels words with a digit or an at sign: chain edges join neighbouring words,
-skip edges join each word to the one before it in the text that repeats it or ends in the same seven digits. Words in base
-spans are observed; loopy message passing carries their labels to the other mentions, such as a number without its prefix. The
-potentials are fitted by pseudo-likelihood on a sample of documents, labelled by the patterns: each word is predicted from
+skip edges join each word to the one before it in the text that repeats it or ends in the same seven digits, where the digits
+of words that follow each other count as one number. Words in base spans are observed; loopy message passing carries their
+labels to the other mentions, such as a number without its prefix. The potentials are fitted by pseudo-likelihood on a sample of documents, labelled by the patterns: each word is predicted from
 its form and the labels of its neighbours in the chain and over skips.
 """
 
@@ -106,7 +106,8 @@ FORM_SIZE = len(_form("1", "1", False, False))
 
 def words_of(text: str, base: list[tuple[int, int, int]]) -> Words:
     spans, forms, chain, skips, seen = [], [], [], [], []
-    last: dict[str, int] = {}
+    last: dict[str, list[int]] = {}
+    joined, owners = "", []
     matches = list(WORD.finditer(text))
     at = 0
     reach = 0
@@ -120,14 +121,19 @@ def words_of(text: str, base: list[tuple[int, int, int]]) -> Words:
         forms.append(_form(word, digits, near, follows))
         if near:
             chain.append((index - 1, index))
-        keys = {word.lower().strip(".,;:!?()[]<>\"'")}
-        if len(digits) >= TAIL:
-            keys.add(digits[-TAIL:])
-        for key in keys:
+        # The last digits up to this word, and the word that each of them is in.
+        plain = "@" not in word and not any(letter.isalpha() for letter in word)
+        joined, owners = (joined[-TAIL:], owners[-TAIL:]) if near and plain else ("", [])
+        joined, owners = joined + digits, owners + [index] * len(digits)
+        keys = {word.lower().strip(".,;:!?()[]<>\"'"): [index] * TAIL}
+        if len(joined) >= TAIL:
+            keys[joined[-TAIL:]] = owners[-TAIL:]
+        for key, places in keys.items():
             if len(key) >= 4:
-                if key in last and last[key] != index:
-                    skips.append((last[key], index))
-                last[key] = index
+                skips += [(a, b) for a, b in zip(last.get(key, []), places) if a != b]
+                last[key] = places
+        if not plain:
+            joined, owners = "", []
         while at < len(base) and base[at][2] <= start:
             at += 1
         label, reach = -1, at
@@ -212,7 +218,11 @@ def fit(features: np.ndarray, labels: np.ndarray) -> Field:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> list[tuple[int, int, int]]:
-    """Runs of neighbouring words outside base spans that the field surely gives one kind."""
+    """Runs of neighbouring words outside base spans that the field surely gives one kind.
+
+    The field carries labels from base spans to other mentions, so a text without a base span has none: by forms alone, long
+    runs of words with digits would pass for personal data.
+    """
     words = words_of(text, base)
     if not (words.seen < 0).any() or not (words.seen > 0).any():
         return []
@@ -272,7 +282,8 @@ def train(df: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Field
 def find_entities(df: DataFrame, field: Field, text: str = "text", entities: str = "entities") -> DataFrame:
     """Adds the personal data of each text: an array of (start, kind, end, base) in order, in code points, end exclusive.
 
-    kind is the place in KINDS; base tells pattern matches from what the field adds. A null or empty text has none. Texts of
+    kind is the place in KINDS; base tells pattern matches from what the field adds, which is nothing in a text without a
+    pattern match. A null or empty text has none. Texts of
     any length are searched whole. Rows stand alone, so that repeated rows have the same entities and an empty table gives no
     rows. A column of the input with the name of the entities is replaced.
     """

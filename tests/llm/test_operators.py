@@ -337,3 +337,13 @@ def test_mask_of_overlapping_entities(spark):
             hidden[start:end] = True
         plain = "".join("\0" if gone else letter for letter, gone in zip(text, hidden))
         assert re.sub(r"(\[[A-Z]+\])+", "\0", masked[k]) == re.sub("\0+", "\0", plain)
+
+
+def test_skip_edges_join_numbers_in_short_words():
+    """The digits of words that follow each other count as one number; a text without a base span gets no label."""
+    text = "+49 30 123 45 67 or 030 123 45 67, also 1234567"
+    words = pii.words_of(text, pii.base_spans(text))
+    assert {(2, 6), (3, 7), (4, 8), (6, 9), (7, 9), (8, 9)} <= set(map(tuple, words.skips.tolist()))
+    field = pii.Field(np.zeros((pii.FORM_SIZE, pii.LABELS)), 9 * np.eye(pii.LABELS), 9 * np.eye(pii.LABELS))
+    assert (text.index("030"), 3, text.index(", also")) in pii.added_spans(text, pii.base_spans(text), field)
+    assert pii.base_spans("call 030 123 45 67") == pii.added_spans("call 030 123 45 67", [], field) == []
