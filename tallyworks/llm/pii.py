@@ -217,6 +217,11 @@ def fit(features: np.ndarray, labels: np.ndarray) -> Field:
     return Field(weights[:FORM_SIZE], (before + after.T) / 2, (skip + skip.T) / 2)
 
 
+def even_steps(n: int, most: int) -> np.ndarray:
+    """At most so many of n places, spread evenly from the first to the last."""
+    return np.arange(n) if n <= most else np.arange(most) * (n - 1) // (most - 1)
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> list[tuple[int, int, int]]:
     """Runs of neighbouring words outside base spans that the field surely gives one kind.
 
@@ -257,8 +262,8 @@ def _may_hold(column: pa.Array) -> np.ndarray:
 def train(df: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Field:
     """The field, fitted on at most so many texts with a digit or an at sign: those with small hashes.
 
-    Of each, at most SAMPLE_WORDS words are used, so that the sample is bounded. The documents of the sample are the same
-    however the rows lie.
+    Of each, at most SAMPLE_WORDS words are used, at even steps over the text, so that the sample is bounded. The documents of
+    the sample are the same however the rows lie.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,9 +273,9 @@ def train(df: DataFrame, text: str = "text", sample: int = SAMPLE_DOCS) -> Field
                 base = base_spans(value)
                 words = words_of(value, base)
                 given = np.maximum(words.seen, 0)
-                row = np.hstack([words.forms, _neighbours(words, given)])[:SAMPLE_WORDS]
-                features.extend(row.tolist())
-                labels.extend(given[:SAMPLE_WORDS].tolist())
+                chosen = even_steps(len(given), SAMPLE_WORDS)
+                features.extend(np.hstack([words.forms, _neighbours(words, given)])[chosen].tolist())
+                labels.extend(given[chosen].tolist())
             yield pa.record_batch([pa.array(features, pa.list_(pa.float64())), pa.array(labels, pa.int32())], ["x", "y"])
 
     texts = df.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))

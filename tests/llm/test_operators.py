@@ -347,3 +347,14 @@ def test_skip_edges_join_numbers_in_short_words():
     field = pii.Field(np.zeros((pii.FORM_SIZE, pii.LABELS)), 9 * np.eye(pii.LABELS), 9 * np.eye(pii.LABELS))
     assert (text.index("030"), 3, text.index(", also")) in pii.added_spans(text, pii.base_spans(text), field)
     assert pii.base_spans("call 030 123 45 67") == pii.added_spans("call 030 123 45 67", [], field) == []
+
+
+def test_field_is_fitted_on_late_words(spark):
+    """Addresses that all stand after the first words of a long text shape the potentials too."""
+    text = " ".join([*(f"no{i}" for i in range(300)), *(f"name{i}@example.org" for i in range(300))])
+    field = pii.train(spark.createDataFrame([(text,)], "text string"))
+    words = pii.words_of("name5@example.com", [])
+    assert field.posterior(words).argmax(axis=1).tolist() == [1]
+    assert pii.even_steps(3, 200).tolist() == [0, 1, 2]
+    steps = pii.even_steps(1000, 200)
+    assert len(set(steps.tolist())) == 200 and steps[0] == 0 and steps[-1] == 999
