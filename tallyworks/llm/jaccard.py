@@ -240,6 +240,8 @@ def link_documents(
 ) -> DataFrame:
     """Of every row: key, n_shingles and component_id, the smallest key that it reaches over links, itself included.
 
+    The components are whole, but not all links are found on the way: documents that are in one component by then are not
+    compared. So there is no list of links, and no number of links of a document.
     A row with a null or empty text, or one of blanks, has an empty set and links with nothing. Rows with equal sets link.
     Rows of one key count as one document, which has the links of all of them. A row without a key has no component.
     Other columns are dropped, so that their names cannot clash. An empty table gives no rows.
