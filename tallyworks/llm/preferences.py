@@ -55,7 +55,11 @@ def format_pairs(df: DataFrame, chosen: str = "chosen", rejected: str = "rejecte
 
 
 def op9_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations 2k and 2k + 1 as chosen and rejected answer of pair k: the prompt and both completions."""
+    """Conversations 2k and 2k + 1 as chosen and rejected answer of pair k: the prompt and both completions.
+
+    A conversation whose partner is missing is in no pair and gives no row. The two are not answers to one prompt, so that
+    most pairs, or all, have no turn in common and an empty prompt.
+    """
     turns = turns_of(spark.read.parquet(f"{folder}/conversations.parquet"))
     pair = F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")
     side = F.pmod("conv_id", F.lit(2))

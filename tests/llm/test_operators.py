@@ -14,6 +14,7 @@ from tallyworks.llm import (
     library_tokens,
     packing,
     pii,
+    preferences,
     projection_forest,
     quality_rules,
     rule_ensemble,
@@ -358,3 +359,22 @@ def test_field_is_fitted_on_late_words(spark):
     assert pii.even_steps(3, 200).tolist() == [0, 1, 2]
     steps = pii.even_steps(1000, 200)
     assert len(set(steps.tolist())) == 200 and steps[0] == 0 and steps[-1] == 999
+
+
+def test_preferences_with_a_common_prefix(spark):
+    """The longest common prefix of turns is rendered once; only what an assistant says is trained."""
+    ask, one, two, more = ("user", "Hi"), ("assistant", "Hello"), ("assistant", "No"), ("user", "Why")
+    rows = [(1, [ask, one], [ask, two]), (2, [ask, one, more, one], [ask, one, more, two]), (3, [ask], [ask, one]), (4, [one], [two]), (5, [ask], [ask])]
+    turns = "array<struct<role:string,text:string>>"
+    df = spark.createDataFrame(rows, f"id long, chosen {turns}, rejected {turns}")
+    found = {row.id: row for row in preferences.format_pairs(df).collect()}
+    write = lambda some: "".join(f"<|{role}|>\n{text}<|end|>\n" for role, text in some)
+    for k, chosen, rejected in rows:
+        n = 0
+        while n < min(len(chosen), len(rejected)) and chosen[n] == rejected[n]:
+            n += 1
+        assert (found[k].n_common, found[k].prompt) == (n, write(chosen[:n]))
+        for side, said in ((found[k].chosen_completion, chosen[n:]), (found[k].rejected_completion, rejected[n:])):
+            assert side.text == write(said)
+            runs = [run for role, text in said for run in ((len(f"<|{role}|>\n"), False), (len(text) + len("<|end|>\n"), role == "assistant"))]
+            assert [tuple(run) for run in side.mask] == runs
