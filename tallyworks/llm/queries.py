@@ -5,6 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 from tallyworks.llm import (
     bpe,
+    conversation_repair,
+    hashed_dedup,
     jaccard,
     packing,
     pii,
@@ -13,6 +15,7 @@ from tallyworks.llm import (
     quality_rules,
     rule_ensemble,
     suffix_dedup,
+    token_alignment,
     token_files,
 )
 
@@ -27,12 +30,17 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_preferences": preferences.op9_preferences,
     "op10_pii": pii.op10_pii,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_hashed_dedup": hashed_dedup.op13_hashed_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op3_quality_rules": quality_rules.oracle(),
     "op9_preferences": preferences.oracle(),
+    "op12_conversation_repair": conversation_repair.oracle(),
+    "op13_hashed_dedup": hashed_dedup.oracle(),
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
