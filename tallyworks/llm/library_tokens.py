@@ -21,6 +21,8 @@ from tallyworks.llm import ragged
 
 JOINED = 200
 CACHED = 300_000
+#: Encoding holds some eighty times the bytes of a slice.
+SLICE = 1 << 20
 
 
 def _table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -176,7 +178,8 @@ def tokenize(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = words(path)
-        for batch in ragged.slices(batches, text):
+        ragged.give_back()
+        for batch in ragged.slices(batches, text, SLICE):
             found, lengths = tokens.encode_ended(batch.column(text), end)
             data = found.astype(tokens.kind).view(np.uint8)
             column = ragged.pieces(data, ragged.offsets(lengths * tokens.kind.itemsize)).cast(pa.binary())

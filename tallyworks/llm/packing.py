@@ -41,11 +41,13 @@ _PIECES = [
 def lexical_keys(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """For each document the smallest hash of its rarest tokens; tokens that were merged later have higher ids and are rarer."""
     keys = np.zeros(len(lengths), dtype=np.int64)
-    ends = ragged.offsets(lengths)
-    for row in np.flatnonzero(lengths).tolist():
-        term = np.unique(ids[ends[row] : ends[row + 1]])[-KEY_TERMS:].astype(np.uint64)
+    ends = ragged.offsets(lengths).tolist()
+    rows = np.flatnonzero(lengths)
+    if len(rows):
+        rarest = [np.unique(ids[ends[row] : ends[row + 1]])[-KEY_TERMS:] for row in rows.tolist()]
+        term = np.concatenate(rarest).astype(np.uint64)
         hashes = (term * np.uint64(0x9E3779B97F4A7C15) ^ (term << np.uint64(17))) * np.uint64(0xC4CEB9FE1A85EC53) >> np.uint64(1)
-        keys[row] = int(hashes.min())
+        keys[rows] = np.minimum.reduceat(hashes, ragged.offsets(np.array([len(one) for one in rarest]))[:-1])
     return keys
 
 
@@ -54,6 +56,7 @@ def corpus_statistics(df: DataFrame, ids: str, kind: np.dtype, size: int) -> tup
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, there, docs, tokens = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=bool), 0, 0
+        ragged.give_back()
         for batch in ragged.slices(batches, ids, ragged.BATCH_BYTES // 2):
             data, bounds = ragged.text_bytes(batch.column(ids))
             found = np.frombuffer(data.tobytes(), dtype=kind).astype(np.int64)
@@ -86,42 +89,57 @@ class Shard:
         self.begin = [item[1] for item in items]
         self.unused = np.ones(len(items), dtype=bool)
         self.lengths = np.array([len(ids) for ids in self.ids])
-        rows = np.repeat(np.arange(len(items)), self.lengths)
-        pairs, times = np.unique(np.concatenate(self.ids).astype(np.int64) << 32 | rows, return_counts=True)
-        terms, rows = pairs >> 32, pairs & 0xFFFFFFFF
+        bits = len(items).bit_length()
+        narrow = np.uint32 if len(weights) << bits <= 1 << 32 else np.uint64
+        rows = np.repeat(np.arange(len(items), dtype=narrow), self.lengths)
+        pairs, times = np.unique(np.concatenate(self.ids).astype(narrow) << narrow(bits) | rows, return_counts=True)
+        terms, rows = (pairs >> narrow(bits)).astype(np.int64), (pairs & narrow((1 << bits) - 1)).astype(np.int64)
         scale = K1 * (1 - B + B * self.lengths[rows] / max(mean, 1.0))
         self.posting_rows, self.posting_scores = rows, weights[terms] * times * (K1 + 1) / (times + scale)
         self.bounds = np.searchsorted(terms, np.arange(len(weights) + 1))
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.uint16) if bits <= 16 else rows, kind="stable")
         self.terms, self.term_bounds = terms[order], np.searchsorted(rows[order], np.arange(len(items) + 1))
-
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents, best score first; ties and documents without a common term follow in shard order."""
+        self.indexed = len(items)
+
+    def _drop_used(self) -> None:
+        """Takes documents that are used up out of the index, once they are half of it."""
+        left = int(self.unused.sum())
+        if 2 * left <= self.indexed:
+            kept = self.unused[self.posting_rows]
+            self.posting_rows, self.posting_scores = self.posting_rows[kept], self.posting_scores[kept]
+            self.bounds = ragged.offsets(kept.astype(np.int64))[self.bounds]
+            self.indexed = left
+
+    def scores(self, seed: int) -> np.ndarray:
+        """The score of every document for a seed, below zero for used ones; without a common term it is zero."""
+        self._drop_used()
         asked = self.terms[self.term_bounds[seed] : self.term_bounds[seed + 1]]
-        rows, _ = ragged.take(self.posting_rows, self.bounds, asked)
-        scores, _ = ragged.take(self.posting_scores, self.bounds, asked)
-        scores = np.bincount(rows, weights=scores, minlength=len(self.items))
-        left = np.flatnonzero(self.unused)
-        return left[np.argsort(-scores[left], kind="stable")]
+        runs = list(zip(self.bounds[asked].tolist(), self.bounds[asked + 1].tolist()))
+        rows = np.concatenate([self.posting_rows[low:high] for low, high in runs])
+        parts = np.concatenate([self.posting_scores[low:high] for low, high in runs])
+        return np.where(self.unused, np.bincount(rows, weights=parts, minlength=len(self.items)), -1.0)
 
     def windows(self, window: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
-        """Lists of (item, start in its document, ids), each list of at most the length of a window."""
+        """Lists of (item, start in its document, ids), each list of at most the length of a window.
+
+        The best unused neighbour that fits comes next, of equal ones the first; when none fits, the best is cut.
+        """
         for seed in range(len(self.items)):
             if not self.unused[seed]:
                 continue
             self.unused[seed] = False
             filled, room = [(seed, self.begin[seed], self.ids[seed])], window - len(self.ids[seed])
-            order = self.neighbours(seed) if room else np.empty(0, dtype=np.int64)
-            fits = np.flatnonzero(self.lengths[order] <= room)
-            while room and len(fits):
-                row = int(order[fits[0]])
+            scores = self.scores(seed) if room else None
+            while room:
+                fits = np.where(self.lengths <= room, scores, -1.0)
+                row = int(fits.argmax())
+                if fits[row] < 0:
+                    break
                 filled.append((row, self.begin[row], self.ids[row]))
-                self.unused[row] = False
+                self.unused[row], scores[row] = False, -1.0
                 room -= len(self.ids[row])
-                fits = fits[1:][self.lengths[order[fits[1:]]] <= room]
-            rest = order[self.unused[order]] if room else order[:0]
-            if len(rest):
-                row = int(rest[0])
+            row = int(scores.argmax()) if room else seed
+            if room and scores[row] >= 0:
                 filled.append((row, self.begin[row], self.ids[row][:room]))
                 self.ids[row], self.begin[row] = self.ids[row][room:], self.begin[row] + room
                 self.lengths[row] -= room
@@ -159,6 +177,7 @@ def pack(
     schema = T.StructType([key_type, *(T.StructField(name, one) for name, one in _PIECES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ragged.give_back()
         sequence = TaskContext.get().partitionId() << 32
         items, tokens, out = [], 0, []
 

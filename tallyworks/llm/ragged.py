@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,14 @@ import pyarrow as pa
 BATCH_BYTES = 4 << 20
 
 
+def give_back() -> None:
+    """Returns to the system what the allocators of a worker hold from earlier stages; workers are reused."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def offsets(lengths: np.ndarray) -> np.ndarray:
     found = np.zeros(len(lengths) + 1, dtype=np.int64)
     np.cumsum(lengths, out=found[1:])

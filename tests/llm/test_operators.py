@@ -281,24 +281,62 @@ def test_personal_data(spark, docs, edges, nothing):
     assert not pii.fit(np.empty((0, pii.FORM_SIZE + 3 * pii.LABELS)), np.empty(0, dtype=int)).form.any()
 
 
-def test_pipeline(spark, docs):
-    """The stages against plain versions of each on the rows that the stage before kept."""
+def test_pipeline(spark, docs, words):
+    """The stages against plain versions of each on the rows that the stage before kept, and the pieces against the texts."""
     table = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = {row.doc_id for row in quality_rules.judge(table).select("doc_id", "kept").collect() if row.kept}
     left = {k: text for k, text in docs.items() if k in kept}
-    left = {k: left[k] for k, (_, component) in brute.linked(left).items() if k == component}
+    groups = brute.linked(left, corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_WORDS)
+    left = {k: left[k] for k, (_, component) in groups.items() if k == component}
     cut = brute.cut(left)
-    rows = corpus_pipeline.run(spark, FOLDER).collect()
-    assert {row.doc_id for row in rows} == set(cut)
     stages = dict(corpus_pipeline.STAGES)
     survivors = table.filter(F.col("doc_id").isin(list(left)))
-    shorter = {row.doc_id: row.text for row in stages["repeated_passages"](spark, survivors, FOLDER).collect()}
-    for k, (_, removed, _, data) in cut.items():
+    shorter = stages["repeated_passages"](spark, survivors, FOLDER)
+    texts = {row.doc_id: row.text for row in shorter.collect()}
+    for k, (_, _, _, data) in cut.items():
         # Where a cut falls into a character, the whole of it stays.
-        assert shorter[k] == data.decode(errors="ignore") if removed == 0 else len(shorter[k].encode()) >= len(data)
-    clean = stages["personal_data"](spark, survivors, FOLDER)
+        assert texts[k].encode().decode() == texts[k] and whole_characters(left[k].encode(), data, texts[k].encode())
+    clean = stages["personal_data"](spark, shorter, FOLDER)
     assert clean.columns == list(corpus_pipeline.COLUMNS)
-    assert not [row for row in clean.collect() if brute.personal(row.text or "")]
+    clean = {row.doc_id: row.text for row in clean.collect()}
+    assert not [text for text in clean.values() if brute.personal(text or "")]
+    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert {row.doc_id for row in rows} == set(cut)
+    seen = {k: [] for k in cut}
+    for row in rows:
+        seen[row.doc_id].append(row)
+    for k, text in clean.items():
+        ids = words.encode(text or "", add_special_tokens=False).ids + [2]
+        parts = sorted(seen[k], key=lambda row: row.start)
+        assert [row.start for row in parts] == [0, *np.cumsum([row.length for row in parts])[:-1]]
+        for row in parts:
+            assert row.doc_tokens == len(ids) and row.ids_crc32 == brute.crc(ids[row.start : row.start + row.length])
+
+
+def whole_characters(text, kept, found):
+    """Whether found is the text without the bytes that are not kept, but for bytes of characters cut within."""
+    if found == kept:
+        return True
+    at = 0
+    for byte in found:
+        at += at < len(kept) and kept[at] == byte
+    return at == len(kept) and len(found) - len(kept) <= 6 * (1 + len(text) // 50)
+
+
+def test_pipeline_of_odd_rows(spark):
+    """Nulls, empty texts, repeated rows, a long text and an empty table go through all stages but for what the rules reject."""
+    good = " ".join(f"The word number {i} of the plain text is here, and it has that." for i in range(30))
+    rows = [(1, None), (2, ""), (3, good), (3, good), (None, good), (4, good + " More words come after."), (5, " \n\t"), (6, LONG)]
+    rows = [(k, text, None, None, None) for k, text in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, df, FOLDER).columns == list(corpus_pipeline.COLUMNS), name
+        assert stage(spark, df.limit(0), FOLDER).count() == 0, name
+    near = corpus_pipeline.near_duplicates(spark, df, FOLDER).collect()
+    assert sorted((row.doc_id is None, row.doc_id or 0) for row in near) == [(False, k) for k in (1, 2, 3, 5, 6)] + [(True, 0)]
+    assert len(corpus_pipeline.personal_data(spark, df, FOLDER).collect()) == len(rows)
+    packed = corpus_pipeline.packed(spark, df, FOLDER)
+    assert packed.filter("start = 0").count() == len(rows) and corpus_pipeline.packed(spark, df.limit(0), FOLDER).count() == 0
 
 
 def test_pipeline_near_duplicates(spark):
