@@ -45,7 +45,7 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
-_powers: tuple[np.ndarray, np.ndarray] | None = None
+_STRIDE = 1 << 10
 
 
 def need(a, b, threshold: int = THRESHOLD):
@@ -59,11 +59,15 @@ def least_need(n, threshold: int = THRESHOLD):
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers
-    if _powers is None or len(_powers[0]) < n:
-        size = max(n, SLICE + 1)
-        _powers = tuple(np.cumprod(np.append(np.uint64(1), np.full(size - 1, base, dtype=np.uint64))) for base in (_BASE, _BASE_INVERSE))
-    return _powers
+    """Powers of the base and of its inverse modulo 2**64, n of each; made for a slice, so that no worker keeps them."""
+    strides = -(-n // _STRIDE)
+
+    def powers(base: int) -> np.ndarray:
+        near = np.cumprod(np.append(np.uint64(1), np.full(_STRIDE - 1, base, dtype=np.uint64)))
+        far = np.cumprod(np.append(np.uint64(1), np.full(strides - 1, pow(base, _STRIDE, 1 << 64), dtype=np.uint64)))
+        return (far[:, None] * near).ravel()[:n]
+
+    return powers(_BASE), powers(_BASE_INVERSE)
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +121,7 @@ def set_prints(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFr
             )
 
     return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, code1 long, code2 long"
+        ragged.lean(run), "doc_id long, n_shingles long, code1 long, code2 long"
     )
 
 
@@ -229,10 +233,10 @@ def _linked(pairs: DataFrame, documents: DataFrame, words: int, threshold: int)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    found = stored(documents.join(wanted, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, members binary"), "sets")
+    found = stored(documents.join(wanted, "doc_id", "left_semi").mapInArrow(ragged.lean(sets), "doc_id long, members binary"), "sets")
     left = found.select(F.col("doc_id").alias("a"), F.col("members").alias("left"))
     right = found.select(F.col("doc_id").alias("b"), F.col("members").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(ragged.lean(compare), "a long, b long").distinct()
 
 
 def link_documents(
@@ -266,7 +270,7 @@ def link_documents(
     histogram = {row.n: row["count"] for row in sizes.groupBy("n").count().collect()}
     light = light_boundary(histogram, n / max(n_distinct, 1), threshold)
     tables = [spark.sparkContext.broadcast(table) for table in found]  # of a bounded number of bits
-    rows = documents.mapInArrow(_list_rows(light, tables, words, threshold), ", ".join(["entry long, doc_id long, n int, place int", *(f"{name} long" for name in SKETCH)]))
+    rows = documents.mapInArrow(ragged.lean(_list_rows(light, tables, words, threshold)), ", ".join(["entry long, doc_id long, n int, place int", *(f"{name} long" for name in SKETCH)]))
     firsts = member.filter("first IS NOT NULL AND doc_id = first").select("doc_id").distinct()
     lists = rows.groupBy("entry", "doc_id", "n", *SKETCH).agg(F.min("place").alias("place")).join(firsts, "doc_id", "left_semi")
     lists = stored(lists, "lists")

@@ -51,11 +51,15 @@ class WordTokens:
         self.ends = np.zeros(self.size, dtype=bool)
         for token, number in vocab.items():
             self.ends[number] = token.endswith("</w>")
-        self.known: dict[bytes, int] = {}
-        self.kept, self.kept_lengths = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.forget()
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content.lower().encode() for token in added]
 
+    def forget(self) -> None:
+        """Drops the words that are kept."""
+        self.known: dict[bytes, int] = {}
+        self.kept, self.kept_lengths = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
     def _letters(self, flat: np.ndarray) -> np.ndarray:
         """Which bytes belong to a plain letter."""
         tail = (flat >= 0x80) & (flat <= 0xBF)
@@ -187,8 +191,9 @@ def tokenize(
             if key:
                 columns.append(pa.array(key_of(found, lengths)))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
+        tokens.forget()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(ragged.lean(run), schema)
 
 
 def id_type(path: str) -> np.dtype:

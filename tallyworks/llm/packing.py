@@ -72,7 +72,7 @@ def corpus_statistics(df: DataFrame, ids: str, kind: np.dtype, size: int) -> tup
         number = np.append(held[token[:-2]], [docs, tokens])
         yield pa.record_batch([pa.array(token), pa.array(number)], ["token", "n"])
 
-    rows = df.select(ids).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
+    rows = df.select(ids).mapInArrow(ragged.lean(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     token, number = rows.column("token").to_numpy(), rows.column("n").to_numpy()
     frequencies = np.zeros(size, dtype=np.int64)
     frequencies[token[token >= 0]] = number[token >= 0]
@@ -224,7 +224,7 @@ def pack(
         if out:
             yield emit()
 
-    return dealt.select(key, "ids").mapInArrow(run, schema)
+    return dealt.select(key, "ids").mapInArrow(ragged.lean(run), schema)
 
 
 def op6_packing(spark: SparkSession, folder: str, path: str | None = None, end: int = 2) -> DataFrame:

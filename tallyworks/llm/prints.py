@@ -81,7 +81,7 @@ def frequent(
         columns = [pa.array([value], kind) for value, kind in ((key[0].as_py(), pa.int32()), (len(values), pa.int64()), (len(starts), pa.int64()))]
         return pa.table([*columns, pa.array([found], pa.list_(pa.binary()))], ["bucket", "n", "n_distinct", "marks"])
 
-    rows = docs.mapInArrow(prints, "bucket int, prints binary").groupBy("bucket")
+    rows = docs.mapInArrow(ragged.lean(prints), "bucket int, prints binary").groupBy("bucket")
     made = [bytearray((1 << bits) // 8) for _, bits in tables]
     n = n_distinct = 0
     for row in rows.applyInArrow(mark, "bucket int, n long, n_distinct long, marks array<binary>").toLocalIterator():

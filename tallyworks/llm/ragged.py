@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,18 @@ def give_back() -> None:
         trim(0)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function over batches whose worker gives its memory back when a task ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def offsets(lengths: np.ndarray) -> np.ndarray:
     found = np.zeros(len(lengths) + 1, dtype=np.int64)
     np.cumsum(lengths, out=found[1:])

@@ -58,7 +58,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least n of each."""
     global _powers
     if _powers is None or len(_powers[0]) < n:
-        size = max(n, SLICE + 1)
+        size = max(n, BLOCK + 1)
         with np.errstate(over="ignore"):
             _powers = tuple(
                 np.cumprod(np.append(np.uint64(1), np.full(size - 1, base, dtype=np.uint64))) for base in (_BASE, _BASE_INVERSE)
@@ -363,7 +363,7 @@ def _hot_places(places: DataFrame) -> DataFrame:
 
 def _hot_windows(contexts: DataFrame) -> DataFrame:
     """As _group_windows, by sums and a join."""
-    spread = contexts.mapInArrow(_spread_windows, "anchor long, context long, code long, least long, most long, bit long")
+    spread = contexts.mapInArrow(ragged.lean(_spread_windows), "anchor long, context long, code long, least long, most long, bit long")
     firsts = spread.groupBy("code").agg(F.min("least").alias("first"))
     joined = spread.join(firsts, "code").filter(F.col("first") < F.col("most"))
     return joined.groupBy("anchor", "context", "first").agg(F.bit_or("bit").alias("found"))
@@ -407,10 +407,10 @@ def cut_repeats(
     tables = (first, context.broadcast(found[0]), heavy)
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.mapInArrow(
-        _place_rows(tables, count), "slot int, hot boolean, anchor long, context long, doc_id long, place long"
+        ragged.lean(_place_rows(tables, count)), "slot int, hot boolean, anchor long, context long, doc_id long, place long"
     ).repartitionById(count, F.col("slot"))
     grouped = stored(
-        rows.mapInArrow(_group_places, "anchor long, context long, doc_id long, place long, windows long"), "anchors"
+        rows.mapInArrow(ragged.lean(_group_places), "anchor long, context long, doc_id long, place long, windows long"), "anchors"
     )
     places = grouped.filter(F.col("windows") != HOT_ROW)
     places = places.union(_hot_places(grouped.filter(F.col("windows") == HOT_ROW).drop("windows")))
@@ -420,11 +420,11 @@ def cut_repeats(
     )
     tables = (*tables, context.broadcast(found[0]))
     rows = docs.select("doc_id", "text").mapInArrow(
-        _context_rows(tables, count), "slot int, hot boolean, anchor long, context long, around binary, least long, most long"
+        ragged.lean(_context_rows(tables, count)), "slot int, hot boolean, anchor long, context long, around binary, least long, most long"
     ).repartitionById(count, F.col("slot"))
     windows = stored(
         rows.mapInArrow(
-            _group_windows, "anchor long, context long, first long, found long, around binary, least long, most long"
+            ragged.lean(_group_windows), "anchor long, context long, first long, found long, around binary, least long, most long"
         ),
         "windows",
     )
@@ -471,7 +471,7 @@ def cut_repeats(
             columns += [pa.array(sizes), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(left, pa.binary()).cast(kind)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(ragged.lean(cut), schema)
 
 
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
