@@ -130,7 +130,8 @@ def _topic_rows(spark, args, layout: T.StructType) -> DataFrame:
 
 def store_panes(spark, args):
     sales = _topic_rows(spark, args, layouts.STORE_SALE)
-    query = store.start_profit_panes(sales, "seq", args.output, args.checkpoint, args.n, continuous=args.every)
+    line = store.pane_line() if args.messages else None
+    query = store.start_profit_panes(sales, "seq", args.output, args.checkpoint, args.n, args.every, line)
     _run(query, args)
 
 
@@ -148,12 +149,15 @@ def store_windows(spark, args):
 
 def player_team_scores(spark, args):
     kills = _topic_rows(spark, args, layouts.needing(layouts.KILL, "player_id", "team_id", "kill_ts"))
-    query = game.start_player_team_scores(kills, args.output, args.checkpoint, args.n, continuous=args.every)
+    line = game.score_line() if args.messages else None
+    query = game.start_player_team_scores(kills, args.output, args.checkpoint, args.n, args.every, line)
     _run(query, args)
 
 
 def weapon_sessions(spark, args):
-    kills = _topic_rows(spark, args, layouts.KILL)
+    # The time of the kill is only needed for windows over it.
+    timed = ["kill_ts"] if args.time == "kill_ts" else []
+    kills = _topic_rows(spark, args, layouts.needing(layouts.KILL, *game.WEAPON_KEYS, *game.POINT_COLUMNS, *timed))
     with control.setting(spark, control.LOCAL_SESSION_MERGE, "true"):
         sessions = game.weapon_session_stream(kills, args.time, args.gap * 1_000_000, delay=args.delay)
         results = _messages(sessions, game.weapon_line(), args)
@@ -220,8 +224,9 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--rejects", help="folder for unreadable rows")
         if name in EVENT_TIME:
             job.add_argument("--time", choices=["arrived_at", EVENT_TIME[name]], default=EVENT_TIME[name])
-            job.add_argument("--messages", action="store_true", help="publish text lines instead of columns")
             job.add_argument("--delay", default="0 seconds", help="how long to wait for late rows")
+        if name in EVENT_TIME or name in FIRE_AFTER:
+            job.add_argument("--messages", action="store_true", help="publish text lines instead of columns")
         if name in FIRE_AFTER:
             job.add_argument("--n", type=int, default=FIRE_AFTER[name], help="rows per firing")
         if name == "weapon-sessions":

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyworks.operators.skew import GROUP_ROWS, heavy_keys
+from tallyworks.session import computed
 
-# A key with more rows than this is cut into slots of this width.
+# A key with more rows than this is cut into slots of about so many.
 SLOT_ROWS = GROUP_ROWS
 # Scores of one key that are written by one task.
 BLOCK_PANES = 1_000_000
@@ -28,13 +29,13 @@ def number_arrivals(
 ) -> DataFrame:
     """Add ``position``, the place of a row in its key's arrival order, from 1 on.
 
-    ``seq`` is the arrival number: a unique integer, roughly without gaps. With
+    ``seq`` is the arrival number: unique, with any gaps. With
     a value also ``amount``, the value, and ``running``, its running total.
     ``before`` has one row per key with ``seen`` and ``total`` of earlier input,
     on which both build.
 
-    Keys with more than ``slot_rows`` rows are cut at multiples of ``slot_rows``
-    of ``seq``, so no group that is sorted has more rows than that; the rows and
+    Keys with more than ``slot_rows`` rows are cut into slots by rank: ranges of
+    ``seq`` with about that many rows each, however ``seq`` is spread. The rows and
     totals of earlier slots come from an aggregate with map-side combine. Without
     such keys this is one window over the key.
     """
@@ -73,16 +74,13 @@ def _slotted(
 
     All rows of a key that is not hot are in the slot ``WHOLE_KEY``.
     """
-    hot = heavy.select(F.struct(*keys).alias(PANE_KEY), "key_rows")
-    slot = F.expr(f"(`{seq}` - pmod(`{seq}`, {slot_rows})) div {slot_rows}")
-    slotted = rows.join(hot, PANE_KEY, "left").withColumn(
-        "slot", F.when(F.col("key_rows").isNotNull(), slot).otherwise(F.lit(WHOLE_KEY))
-    )
-    sizes = (
-        slotted.where(F.col("slot") != WHOLE_KEY)
-        .groupBy(PANE_KEY, "slot")
-        .agg(F.count(F.lit(1)).alias("size"), F.sum("amount").alias("subtotal"))
-    )
+    hot = heavy.select(F.struct(*keys).alias(PANE_KEY))
+    slots = heavy.agg(F.sum("key_rows")).first()[0] // slot_rows + 1
+    ranges = rows.join(hot, PANE_KEY, "left_semi").repartitionByRange(slots, PANE_KEY, seq)
+    # Ranges come from a sample, so they are fixed before they are read twice.
+    cut = computed(ranges.withColumn("slot", F.spark_partition_id().cast("bigint")))
+    slotted = cut.unionByName(rows.join(hot, PANE_KEY, "left_anti").withColumn("slot", F.lit(WHOLE_KEY)))
+    sizes = cut.groupBy(PANE_KEY, "slot").agg(F.count(F.lit(1)).alias("size"), F.sum("amount").alias("subtotal"))
     earlier = Window.partitionBy(PANE_KEY).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         PANE_KEY,
@@ -99,7 +97,7 @@ def _slotted(
             (F.col("total") + F.coalesce("total_before", F.lit(0))).alias("total"),
         )
         offsets = offsets.unionByName(before.withColumn("slot", F.lit(WHOLE_KEY)))
-    return slotted.drop("key_rows"), offsets
+    return slotted, offsets
 
 
 def pane_sums(numbered: DataFrame, keys: Sequence[str], n: int) -> DataFrame:

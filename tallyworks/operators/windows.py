@@ -11,6 +11,10 @@ from tallyworks.operators.keyed import sum_of
 from tallyworks.operators.skew import GROUP_ROWS, heavy_keys
 
 
+# Slots of one key that are linked in one group.
+RANGE_SLOTS = 4096
+
+
 def interval(microseconds: int) -> str:
     return f"{microseconds} microseconds"
 
@@ -106,35 +110,55 @@ def _linked_sessions(
     name: str,
     scale: int | None,
     inclusive: bool,
+    range_slots: int = RANGE_SLOTS,
 ) -> DataFrame:
-    """Sessions out of gap-wide slots of time.
+    """Sessions out of gap-wide slots of time, linked in two rounds.
 
     Events of one key in the same slot always share a session. They are summed
     up per slot first, with map-side combine, so a key moves at most one row per
-    slot, however many events it has. Slots are then linked.
+    slot, however many events it has. Slots are linked inside ranges of
+    ``range_slots`` slots of time, so that a key is spread over as many groups as
+    it has ranges. Only the first and the last session of a range can go on in
+    another one; these are linked in the second round.
     """
     slots = df.groupBy(*keys, F.window(time, interval(gap_us)).alias("slot")).agg(
         F.min(time).alias("first_seen"),
         F.max(time).alias("last_seen"),
-        _added(value, scale).alias("slot_total"),
-        F.count(value).alias("slot_values"),
-        F.count(F.lit(1)).alias("slot_rows"),
+        _added(value, scale).alias("total"),
+        F.count(value).alias("counted"),
+        F.count(F.lit(1)).alias("n"),
     )
-    order = Window.partitionBy(*keys).orderBy("first_seen")
+    begin = F.unix_micros(F.col("slot.start").cast("timestamp"))
+    ranged = slots.withColumn("time_range", F.floor(begin / F.lit(gap_us * range_slots)))
+    inside = _linked(ranged, [*keys, "time_range"], gap_us, inclusive)
+    last = F.max("session_no").over(Window.partitionBy(*keys, "time_range"))
+    inside = inside.withColumn("border", (F.col("session_no") == 1) | (F.col("session_no") == last))
+    columns = [*keys, "first_seen", "last_seen", "total", "counted", "n"]
+    borders = _linked(inside.where("border"), keys, gap_us, inclusive)
+    merged = inside.where("NOT border").select(*columns).unionByName(borders.select(*columns))
+    return merged.select(
+        *keys,
+        F.col("first_seen").alias("session_start"),
+        (F.col("last_seen") + seconds(gap_us)).alias("session_end"),
+        _mean(scale).alias(name),
+        "n",
+    )
+
+
+def _linked(parts: DataFrame, group: Sequence[str], gap_us: int, inclusive: bool) -> DataFrame:
+    """The parts of sessions of a group merged where less than a gap lies between them, numbered from 1."""
+    order = Window.partitionBy(*group).orderBy("first_seen")
     idle = F.col("first_seen") - F.lag("last_seen").over(order)
     breaks = idle > seconds(gap_us) if inclusive else idle >= seconds(gap_us)
-    marked = slots.withColumn("starts", F.coalesce(breaks.cast("int"), F.lit(1)))
+    marked = parts.withColumn("starts", F.coalesce(breaks.cast("int"), F.lit(1)))
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = marked.withColumn("session_no", F.sum("starts").over(so_far))
-    merged = numbered.groupBy(*keys, "session_no").agg(
-        F.min("first_seen").alias("session_start"),
+    return numbered.groupBy(*group, "session_no").agg(
+        F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
-        F.sum("slot_total").alias("total"),
-        F.sum("slot_values").alias("counted"),
-        F.sum("slot_rows").alias("n"),
-    )
-    return merged.select(
-        *keys, "session_start", (F.col("last_seen") + seconds(gap_us)).alias("session_end"), _mean(scale).alias(name), "n"
+        F.sum("total").alias("total"),
+        F.sum("counted").alias("counted"),
+        F.sum("n").alias("n"),
     )
 
 

@@ -15,6 +15,8 @@ from tallyworks.streaming.windows import NO_DELAY, session_stream
 FIRE_EVERY = 2
 SESSION_GAP_US = 5_000_000
 WEAPON_KEYS = ["game_id", "player_id", "used_weapon"]
+# The columns that points of a kill are made from.
+POINT_COLUMNS = ["engagement_seconds", "rank_of_weapon", "prey_weapon_rank", "killer_location", "prey_location"]
 
 
 def player_and_team(kills: DataFrame, player: str = "player_id", team: str = "team_id") -> DataFrame:
@@ -36,9 +38,14 @@ def player_team_scores(kills: DataFrame, n: int = FIRE_EVERY) -> DataFrame:
 
 
 def start_player_team_scores(
-    kills: DataFrame, out: str, checkpoint: str, n: int = FIRE_EVERY, continuous: str | None = None
+    kills: DataFrame,
+    out: str,
+    checkpoint: str,
+    n: int = FIRE_EVERY,
+    continuous: str | None = None,
+    line: Column | None = None,
 ) -> StreamingQuery:
-    return start_scores(kills, ["kind", "id"], n, out, checkpoint, player_and_team, continuous)
+    return start_scores(kills, ["kind", "id"], n, out, checkpoint, player_and_team, continuous, line)
 
 
 def score_line() -> Column:

@@ -101,6 +101,25 @@ _MESSAGES = """
     FROM events
 """
 
+_SALES = """
+    SELECT CAST(user_id AS VARCHAR) AS store_id, event_id, ts,
+           (CAST(ROUND(value * 100) AS BIGINT) - event_id % 100) * (event_id % 7 + 1) AS profit
+    FROM events WHERE event_type IN ('click', 'view')
+"""
+
+_STORE_PANES = f"""
+    SELECT store_id, pane, COUNT(*) AS n, CAST(SUM(profit) AS BIGINT) AS total
+    FROM (SELECT *, (ROW_NUMBER() OVER (PARTITION BY store_id ORDER BY event_id) - 1) // 5 AS pane FROM ({_SALES}))
+    GROUP BY store_id, pane HAVING COUNT(*) = 5
+"""
+
+_STORE_WINDOWS = f"""
+    SELECT store_id, TIME_BUCKET(INTERVAL 20 SECONDS, ts, TIMESTAMP '1970-01-01') AS window_start,
+           TIME_BUCKET(INTERVAL 20 SECONDS, ts, TIMESTAMP '1970-01-01') + INTERVAL 20 SECONDS AS window_end,
+           CAST(SUM(profit) AS BIGINT) AS profit, COUNT(*) AS n
+    FROM ({_SALES}) GROUP BY 1, 2, 3
+"""
+
 ORACLES = {
     "attendance_count": """
         SELECT o_custkey, COUNT(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey
@@ -247,4 +266,9 @@ ORACLES = {
     "stream_pane_accumulating": _ACCUMULATING,
     "stream_player_team_score": _SCORES,
     "stream_passthrough": _MESSAGES,
+    "store_pane_profit": _STORE_PANES,
+    "store_window_profit": _STORE_WINDOWS,
+    "stream_store_windows": _STORE_WINDOWS,
+    "stream_store_pane_messages": f"SELECT '(''' || store_id || ''', ' || total || ')' AS line FROM ({_STORE_PANES})",
+    "stream_score_messages": f"SELECT id || ': ' || score AS line FROM ({_SCORES})",
 }

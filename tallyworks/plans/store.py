@@ -27,10 +27,16 @@ def profit_panes(sales: DataFrame, seq: str, n: int = PANE_ROWS, flush: bool = F
 
 
 def start_profit_panes(
-    sales: DataFrame, seq: str, out: str, checkpoint: str, n: int = PANE_ROWS, continuous: str | None = None
+    sales: DataFrame,
+    seq: str,
+    out: str,
+    checkpoint: str,
+    n: int = PANE_ROWS,
+    continuous: str | None = None,
+    line: Column | None = None,
 ) -> StreamingQuery:
     return start_discarding(
-        profits(sales), ["store_id"], seq, F.col("profit"), n, out, checkpoint, continuous=continuous
+        profits(sales), ["store_id"], seq, F.col("profit"), n, out, checkpoint, continuous=continuous, line=line
     )
 
 

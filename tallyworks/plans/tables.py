@@ -14,7 +14,7 @@ from tallyworks.functions.values import units
 from tallyworks.operators import keyed, panes, rows, windows
 from tallyworks.operators.cogroup import cogroup
 from tallyworks.operators.periods import missed_periods
-from tallyworks.plans import attendance, bank, game
+from tallyworks.plans import attendance, bank, game, store
 from tallyworks.session import work_folder
 from tallyworks.sources import files, layouts, sinks, topics
 from tallyworks.streaming import control
@@ -23,6 +23,7 @@ from tallyworks.streaming import windows as stream_windows
 
 GAP_US = 6 * 3600 * 1_000_000
 WAVES = 2
+MESSAGE = T.StructType().add("value", "binary")
 DAYS = 31
 
 
@@ -323,6 +324,32 @@ def pane_accumulating(spark: SparkSession, folder: str) -> DataFrame:
     return _double_total(panes.accumulating_panes(events, ["user_id"], "event_id", units(F.col("value")), 2))
 
 
+def _sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as sales: users are stores, clicks and views come from the two cities, values are prices in cents."""
+    events = table(spark, folder, "events")
+    city = F.when(F.col("event_type") == "click", store.CITIES[0]).when(F.col("event_type") == "view", store.CITIES[1])
+    return events.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        "user_id",
+        F.col("user_id").cast("string").alias("store_id"),
+        F.coalesce(city, F.lit("elsewhere")).alias("store_location"),
+        units(F.col("value")).alias("sell_price"),
+        (F.col("event_id") % 100).alias("buy_rate"),
+        (F.col("event_id") % 7 + 1).alias("pieces_sold"),
+    )
+
+
+def store_pane_profit(spark: SparkSession, folder: str) -> DataFrame:
+    """Profit of every five sales of a store in the cities."""
+    return store.profit_panes(_sales(spark, folder), "event_id")
+
+
+def store_window_profit(spark: SparkSession, folder: str) -> DataFrame:
+    """Profit per store and 20 seconds."""
+    return _unzoned(store.profit_windows(_sales(spark, folder), "ts"), "window_start", "window_end")
+
+
 def player_team_score(spark: SparkSession, folder: str) -> DataFrame:
     return game.player_team_scores(_kills(spark, folder))
 
@@ -434,6 +461,40 @@ def stream_pane_accumulating(spark: SparkSession, folder: str) -> DataFrame:
     return _pane_results(spark, folder, "accumulating", stream_panes.start_accumulating, 2)
 
 
+def stream_store_pane_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The profit panes of a stream, published as encoded text lines and decoded again."""
+    base = work_folder(spark, "store-panes")
+
+    def start(stream: DataFrame):
+        out, checkpoint = f"{base}/out", f"{base}/checkpoint"
+        return store.start_profit_panes(stream, "event_id", out, checkpoint, line=store.pane_line())
+
+    _replayed(spark, _sales(spark, folder), base, start)
+    return _decoded_lines(stream_panes.read_results(spark, f"{base}/out", MESSAGE))
+
+
+def stream_score_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The running scores of a stream, published as encoded text lines and decoded again."""
+    base = work_folder(spark, "score-messages")
+    kills = _kills(spark, folder).select("event_id", "player_id", "team_id")
+
+    def start(stream: DataFrame):
+        return game.start_player_team_scores(stream, f"{base}/out", f"{base}/checkpoint", line=game.score_line())
+
+    _replayed(spark, kills, base, start)
+    return _decoded_lines(stream_panes.read_results(spark, f"{base}/out", MESSAGE))
+
+
+def stream_store_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Profit per store and 20 seconds, as a stream."""
+    found = _windowed(spark, _sales(spark, folder), "store-windows", lambda s: store.profit_window_stream(s, "ts"))
+    return _unzoned(found, "window_start", "window_end")
+
+
+def _decoded_lines(messages: DataFrame) -> DataFrame:
+    return messages.select(text.decode(F.col("value")).alias("line"))
+
+
 def stream_player_team_score(spark: SparkSession, folder: str) -> DataFrame:
     base = work_folder(spark, "scores")
     kills = _kills(spark, folder).select("event_id", "player_id", "team_id")

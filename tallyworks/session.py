@@ -55,6 +55,40 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, place: str):
+    """A path and its file system, which need not be a local one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove_folder(spark: SparkSession, place: str) -> None:
+    """Remove a folder or file; one that is gone already is no error."""
+    path, system = _located(spark, place)
+    system.delete(path, True)
+
+
+def write_note(spark: SparkSession, place: str, text: str) -> None:
+    """Write a small file of text, in the place of one that is there."""
+    path, system = _located(spark, place)
+    stream = system.create(path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_note(spark: SparkSession, place: str) -> str | None:
+    """The text of a small file; None if there is no such file."""
+    path, system = _located(spark, place)
+    if not system.exists(path):
+        return None
+    stream = system.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def computed(df: DataFrame) -> DataFrame:
     """The rows of a DataFrame, computed once and kept in the shared folder."""
     shared_folder(df.sparkSession)

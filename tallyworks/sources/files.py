@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyworks.functions import text, values
+from tallyworks.operators.prefix import running_total
 from tallyworks.operators.skew import small_side
-from tallyworks.session import computed
 
 _READERS = {
     T.LongType: values.to_long,
@@ -68,7 +68,7 @@ def scan_numbered_lines(spark: SparkSession, path: str, header: bool = False) ->
     """Text lines in ``value`` with ``seq``, their number over all files in file name order, from 0 on.
 
     A read block knows the order of its own lines. The blocks, not the lines,
-    are counted and put in order to find the number at which each block starts.
+    are counted; a running total over the blocks gives the number at which each starts.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -76,14 +76,10 @@ def scan_numbered_lines(spark: SparkSession, path: str, header: bool = False) ->
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row_id"),
     )
-    blocks = computed(
-        lines.groupBy("file", "block").agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("rows"))
-    )
+    blocks = lines.groupBy("file", "block").agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("rows"))
     skipped = F.when(F.col("block") == 0, 1).otherwise(0) if header else F.lit(0)
-    ahead = F.sum(F.col("rows") - skipped).over(
-        Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = blocks.select("file", "block", "first_id", F.coalesce(ahead, F.lit(0)).alias("start"))
+    starts, _ = running_total(blocks, ["file", "block"], F.col("rows") - skipped, "start")
+    starts = starts.select("file", "block", "first_id", "start")
     place = F.col("row_id") - F.col("first_id") - skipped
     numbered = lines.join(small_side(starts), ["file", "block"])
     return numbered.where(place >= 0).select((F.col("start") + place).alias("seq"), "value")

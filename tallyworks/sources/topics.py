@@ -10,6 +10,11 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tallyworks.operators.prefix import running_total
+from tallyworks.session import remove_folder, work_folder
+
+_RANK, _WAVE = "__rank", "__wave"
+
 
 def exact_glob(path: str) -> str:
     """A glob for just this path: a stream source takes a single file only through a glob."""
@@ -37,26 +42,27 @@ def publish(df: DataFrame, path: str, form: str = "parquet") -> None:
 
 
 def replay(df: DataFrame, seq: str, path: str, waves: int, stamp: str | None = None) -> Iterator[int]:
-    """Publish a table in arrival order, in waves of consecutive ``seq``.
+    """Publish a table in arrival order, in waves of equally many rows with consecutive ``seq``.
 
     Yields the number of each wave after it was written, so that the caller can
     let a stream take it in before the next one comes. Inside a wave the order
     is the ``seq`` column, which every row keeps. ``stamp`` names a column for the
     time at which the wave is published, for windows over arrival time. Rows without
-    a number come in the first wave.
+    a number come first. The table is read once; waves are cut by rank, so gaps of
+    ``seq`` do not matter, and wait in the shared folder.
     """
-    low, high, rows = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
-    if not rows:
+    spark = df.sparkSession
+    ranked, total = running_total(df, [seq], F.lit(1), _RANK)
+    if not total:
         return
-    if low is None:
-        low = high = 0
-    step = -(-(high - low + 1) // waves)
+    waiting = work_folder(spark, "waves")
+    wave_of = F.expr(f"{_RANK} * {waves} div {total}").cast("int")
+    ranked.withColumn(_WAVE, wave_of).drop(_RANK).write.partitionBy(_WAVE).parquet(waiting)
     for wave in range(waves):
-        start = low + wave * step
-        inside = (F.col(seq) >= start) & (F.col(seq) < start + step)
-        rows = df.where(inside | F.col(seq).isNull() if wave == 0 else inside)
+        rows = spark.read.parquet(waiting).where(F.col(_WAVE) == wave).drop(_WAVE)
         publish(rows if stamp is None else rows.withColumn(stamp, F.current_timestamp()), path)
         yield wave
+    remove_folder(spark, waiting)
 
 
 # Fixed value: the wording of a message.
