@@ -101,6 +101,8 @@ _MESSAGES = """
     FROM events
 """
 
+_CENTS = "SELECT user_id, event_type, CAST(ROUND(value * 100) AS BIGINT) AS cents FROM events"
+
 _SALES = """
     SELECT CAST(user_id AS VARCHAR) AS store_id, event_id, ts,
            (CAST(ROUND(value * 100) AS BIGINT) - event_id % 100) * (event_id % 7 + 1) AS profit
@@ -266,6 +268,13 @@ ORACLES = {
     "stream_pane_accumulating": _ACCUMULATING,
     "stream_player_team_score": _SCORES,
     "stream_passthrough": _MESSAGES,
+    "own_mean": f"SELECT user_id, CAST(SUM(cents) AS DOUBLE) / COUNT(*) AS mean FROM ({_CENTS}) GROUP BY user_id",
+    "own_global_mean": f"SELECT CAST(SUM(cents) AS DOUBLE) / COUNT(*) AS mean FROM ({_CENTS})",
+    "own_variance": f"""
+        SELECT event_type, CAST(COUNT(*) * SUM(cents * cents) - SUM(cents) * SUM(cents) AS DOUBLE)
+               / CAST(COUNT(*) * (COUNT(*) - 1) AS DOUBLE) AS variance
+        FROM ({_CENTS}) GROUP BY event_type
+    """,
     "store_pane_profit": _STORE_PANES,
     "store_window_profit": _STORE_WINDOWS,
     "stream_store_windows": _STORE_WINDOWS,

@@ -13,6 +13,7 @@ from tallyworks.functions import scoring, text, values
 from tallyworks.functions.values import units
 from tallyworks.operators import keyed, panes, rows, windows
 from tallyworks.operators.cogroup import cogroup
+from tallyworks.operators.own import Mean, Variance, aggregate_own
 from tallyworks.operators.periods import missed_periods
 from tallyworks.plans import attendance, bank, game, store
 from tallyworks.session import work_folder
@@ -108,6 +109,20 @@ def mean_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.keyed_mean(events, ["user_id", "event_type"], F.col("value"), scale=2)
 
 
+def own_mean(spark: SparkSession, folder: str) -> DataFrame:
+    """The mean of cents per user by an aggregate of one's own."""
+    return aggregate_own(table(spark, folder, "events"), ["user_id"], units(F.col("value")), Mean(), "mean")
+
+
+def own_variance(spark: SparkSession, folder: str) -> DataFrame:
+    """The variance of cents per type of event; five keys, so that each is hot."""
+    return aggregate_own(table(spark, folder, "events"), ["event_type"], units(F.col("value")), Variance(), "variance")
+
+
+def own_global_mean(spark: SparkSession, folder: str) -> DataFrame:
+    return aggregate_own(table(spark, folder, "events"), [], units(F.col("value")), Mean(), "mean")
+
+
 def pair_combine(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.combined_pair(table(spark, folder, "orders"), ["o_custkey"], "o_orderpriority")
 
@@ -379,6 +394,8 @@ def _replayed(spark: SparkSession, events: DataFrame, base: str, start, flush: b
         control.run_out(query)
     if flush:
         ahead = {"event_id": F.lit(-1), "ts": F.lit("2999-01-01").cast("timestamp"), "user_id": F.lit(-1)}
+        # The row has to pass the filter of the store queries.
+        ahead["store_location"] = F.lit(store.CITIES[0])
         row = spark.range(1).select(*[ahead.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
         topics.publish(row, topic)
         control.run_out(start(stream))

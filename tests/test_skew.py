@@ -1,12 +1,14 @@
 """Hot keys: the split paths against brute force, on fixtures where one key has a third of the rows."""
 
+import math
 import random
+import statistics
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.operators import panes, rows, windows
+from tallyworks.operators import own, panes, rows, windows
 from tallyworks.operators.cogroup import cogroup
 from tallyworks.operators.periods import missed_periods
 from tallyworks.operators.skew import heavy_keys
@@ -56,6 +58,30 @@ def test_discarding(spark, arrivals, slot_rows, n):
     assert len(got) == len(want) and set(got) == want
 
 
+@pytest.mark.parametrize("most", [3, 100_000])
+def test_own_aggregates(spark, arrivals, monkeypatch, most):
+    """A hot key, a NULL key, NULL values and keys without a value, with states sent early and late."""
+    monkeypatch.setattr(own, "MOST_KEYS", most)
+    found = [*((k, v) for k, _, v in arrivals), ("hot", None), ("empty", None), ("one", 7)]
+    df = spark.createDataFrame(found, "key string, value bigint").repartition(7)
+    groups = defaultdict(list)
+    for key, value in found:
+        groups[key] += [] if value is None else [value]
+    means = {r.key: r.m for r in own.aggregate_own(df, ["key"], F.col("value"), own.Mean(), "m").collect()}
+    assert means.keys() == groups.keys() and math.isnan(means.pop("empty"))
+    assert means == {k: sum(v) / len(v) for k, v in groups.items() if v}
+    variances = {r.key: r.m for r in own.aggregate_own(df, ["key"], F.col("value"), own.Variance(), "m").collect()}
+    assert variances["one"] is None and variances["empty"] is None
+    for key, values in groups.items():
+        if len(values) > 1:
+            assert variances[key] == pytest.approx(statistics.variance(values))
+    whole = own.aggregate_own(df, [], F.col("value"), own.Mean(), "m").collect()
+    every = [v for values in groups.values() for v in values]
+    assert [r.m for r in whole] == [sum(every) / len(every)]
+    assert [math.isnan(r.m) for r in own.aggregate_own(df.limit(0), [], F.col("value"), own.Mean(), "m").collect()] == [True]
+    assert own.aggregate_own(df.limit(0), ["key"], F.col("value"), own.Mean(), "m").collect() == []
+
+
 def test_discarding_flush(spark, arrivals):
     got = panes.discarding_panes(
         frame(spark, arrivals), ["key"], "seq", F.col("value"), 7, flush=True, slot_rows=64
