@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 OPEN, SHUT = "<|", "|>\n"
 END = "<|end|>\n"
 TRAINED = "assistant"
+#: Answers are exchanged within blocks of so many conversation numbers.
+BLOCK = 16
 
 
 def turns_of(df: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -54,53 +56,81 @@ def format_pairs(df: DataFrame, chosen: str = "chosen", rejected: str = "rejecte
     return found.withColumns({"prompt": prompt, "chosen_completion": completion(one), "rejected_completion": completion(two)})
 
 
-def op9_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations 2k and 2k + 1 as chosen and rejected answer of pair k: the prompt and both completions.
+def answer_pairs(turns: DataFrame, key: str = "conv_id", block: int = BLOCK) -> DataFrame:
+    """Adds a chosen and a rejected conversation to each one of a table (key, turns): both up to its last assistant turn, the rejected
+    one with the last assistant turn of another conversation in its place.
 
-    A conversation whose partner is missing is in no pair and gives no row. The two are not answers to one prompt, so that
-    most pairs, or all, have no turn in common and an empty prompt.
+    The other one is the next with an assistant turn in the block of so many whole-number keys, after the last of a block its first.
+    A conversation that is alone so has no rejected answer, and one without an assistant turn is the same on both sides;
+    both keep their row.
     """
-    turns = turns_of(spark.read.parquet(f"{folder}/conversations.parquet"))
-    pair = F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")
-    side = F.pmod("conv_id", F.lit(2))
-    pairs = turns.groupBy(pair).agg(
-        F.first(F.when(side == 0, F.col("turns")), ignorenulls=True).alias("chosen"),
-        F.first(F.when(side == 1, F.col("turns")), ignorenulls=True).alias("rejected"),
+    last = F.expr("array_max(transform(sequence(1, size(turns)), i -> if(turns[i - 1].role = 'ROLE', i, 0)))".replace("ROLE", TRAINED))
+    found = turns.withColumn("__last", last)
+    found = found.withColumn("__answer", F.when(F.col("__last") > 0, F.element_at("turns", F.col("__last"))))
+    group = Window.partitionBy(F.col(key) - F.pmod(key, F.lit(block)), F.col("__last") > 0)
+    order = group.orderBy(key)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    other = F.coalesce(F.lead("__answer").over(order), F.first("__answer").over(whole))
+    found = found.withColumn("__other", F.when(F.count(F.lit(1)).over(group) > 1, other))
+    before = F.slice("turns", F.lit(1), F.greatest(F.col("__last") - 1, F.lit(0)))
+    rejected = F.concat(before, F.when(F.col("__other").isNull(), F.slice("turns", 1, 0)).otherwise(F.array("__other")))
+    answered = F.col("__last") > 0
+    return found.select(
+        key,
+        F.when(answered, F.slice("turns", F.lit(1), F.col("__last"))).otherwise(F.col("turns")).alias("chosen"),
+        F.when(answered, rejected).otherwise(F.col("turns")).alias("rejected"),
     )
-    whole = format_pairs(pairs.filter("chosen IS NOT NULL AND rejected IS NOT NULL"))
 
-    def trained(name: str) -> Column:
-        runs = F.filter(F.col(name)["mask"], lambda run: run["trained"])
-        return F.aggregate(runs, F.lit(0).cast("long"), lambda total, run: total + run["length"])
+
+def op9_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with its last answer as chosen and that of another conversation as rejected: the prompt that both share, both
+    completions, and their masks as length:trained in turn."""
+    whole = format_pairs(answer_pairs(turns_of(spark.read.parquet(f"{folder}/conversations.parquet"))))
+
+    def mask(name: str) -> Column:
+        runs = F.transform(F.col(name)["mask"], lambda run: F.concat(run["length"], F.lit(":"), run["trained"].cast("int")))
+        return F.array_join(runs, ",")
 
     return whole.select(
-        "pair_id",
+        "conv_id",
         F.col("n_common").cast("long").alias("n_common"),
         "prompt",
         F.col("chosen_completion.text").alias("chosen"),
-        trained("chosen_completion").alias("chosen_trained"),
+        mask("chosen_completion").alias("chosen_mask"),
         F.col("rejected_completion.text").alias("rejected"),
-        trained("rejected_completion").alias("rejected_trained"),
+        mask("rejected_completion").alias("rejected_mask"),
     )
 
 
 def oracle() -> str:
-    return """
+    said = "list_transform({0}, lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10))"
+    runs = (
+        "list_transform({0}, lambda x: (length(x.role) + 5)::VARCHAR || ':0,' || (length(x.text) + 8)::VARCHAR || ':'"
+        " || CASE WHEN x.role = 'assistant' THEN '1' ELSE '0' END)"
+    )
+
+    def joined(shape: str, part: str, mark: str) -> str:
+        return f"array_to_string({shape.format(part)}, '{mark}')"
+
+    return f"""
 WITH turns AS (
-  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
                        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
-), pairs AS (
-  SELECT a.conv_id // 2 AS pair_id, a.t AS a, b.t AS b FROM turns a JOIN turns b ON b.conv_id = a.conv_id + 1 WHERE a.conv_id % 2 = 0
+), ended AS (
+  SELECT *, coalesce(list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')), 0) AS last FROM turns
+), paired AS (
+  SELECT *, coalesce(lead(t[last]) OVER w, first_value(t[last]) OVER w) AS other, count(*) OVER (PARTITION BY conv_id // 16, last > 0) AS n
+  FROM ended WINDOW w AS (PARTITION BY conv_id // 16, last > 0 ORDER BY conv_id)
+), sides AS (
+  SELECT conv_id, CASE WHEN last = 0 THEN t ELSE t[1:last] END AS a,
+    CASE WHEN last = 0 THEN t WHEN n = 1 THEN t[1:last - 1] ELSE list_append(t[1:last - 1], other) END AS b FROM paired
 ), counted AS (
   SELECT *, coalesce(list_min(list_filter(range(1, 1 + greatest(len(a), len(b))), lambda i: a[i] IS DISTINCT FROM b[i])) - 1,
-                     len(a)) AS n FROM pairs
+                     len(a)) AS n FROM sides
 )
-SELECT pair_id, n::BIGINT AS n_common,
-  array_to_string(list_transform(a[1:n], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS prompt,
-  array_to_string(list_transform(a[n + 1:], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS chosen,
-  coalesce(list_sum(list_transform(list_filter(a[n + 1:], lambda x: x.role = 'assistant'), lambda x: length(x.text) + 8)), 0)::BIGINT AS chosen_trained,
-  array_to_string(list_transform(b[n + 1:], lambda x: '<|' || x.role || '|>' || chr(10) || x.text || '<|end|>' || chr(10)), '') AS rejected,
-  coalesce(list_sum(list_transform(list_filter(b[n + 1:], lambda x: x.role = 'assistant'), lambda x: length(x.text) + 8)), 0)::BIGINT AS rejected_trained
+SELECT conv_id, n::BIGINT AS n_common, {joined(said, "a[1:n]", "")} AS prompt,
+  {joined(said, "a[n + 1:]", "")} AS chosen, {joined(runs, "a[n + 1:]", ",")} AS chosen_mask,
+  {joined(said, "b[n + 1:]", "")} AS rejected, {joined(runs, "b[n + 1:]", ",")} AS rejected_mask
 FROM counted
 """

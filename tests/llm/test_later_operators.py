@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyworks.llm import conversation_repair as repairs
-from tallyworks.llm import hashed_dedup, token_alignment
+from tallyworks.llm import hashed_dedup, preferences, token_alignment
 from tallyworks.llm.bpe import byte_letters, vocabulary
 from tallyworks.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, spark_rows, sql_rows
@@ -323,3 +323,37 @@ def test_edges_of_the_graph():
         for start, edge in itertools.groupby(edges, key=lambda edge: edge[0]):
             letters = [oct(one[3])[2:].rstrip("0") for one in edge]
             assert all(not (a != b and b.startswith(a)) for a in letters for b in letters)
+
+
+# Preference pairs
+
+
+def test_preferences_share_their_prompt(spark):
+    """Nearly all pairs have turns in common, and masks spell the lengths of the completions."""
+    rows = QUERIES["op9_preferences"](spark, "/root/testdata/sf0.01").collect()
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    assert len(rows) == turns.select("conv_id").distinct().count()
+    assert sum(row.n_common > 0 for row in rows) > 0.9 * len(rows)
+    for row in rows:
+        for text, mask in ((row.chosen, row.chosen_mask), (row.rejected, row.rejected_mask)):
+            assert sum(int(run.split(":")[0]) for run in mask.split(",") if run) == len(text)
+
+
+def test_edges_of_preferences(spark):
+    plain = [
+        (0, 0, "user", "a", "x"), (0, 1, "assistant", "b", "x"), (0, 2, "user", "trailing", "x"),
+        (1, 0, "user", "a", "x"), (1, 1, "assistant", "c", "x"), (1, 1, "assistant", "c", "x"),
+        (2, None, None, None, "x"), (40, 0, "user", "q", "x"), (40, 1, "assistant", "alone " * 30_000, "x"),
+        (None, 0, "assistant", "no id", "x"),
+    ]
+    df = spark.createDataFrame(plain, "conv_id long, turn long, role string, text string, n_common string")
+    pairs = preferences.format_pairs(preferences.answer_pairs(preferences.turns_of(df)))
+    found = {row.conv_id: row for row in pairs.collect()}
+    assert set(found) == {0, 1, 2, 40}
+    assert (found[0].n_common, found[0].prompt) == (1, "<|user|>\na<|end|>\n")
+    assert found[0].chosen_completion.text == "<|assistant|>\nb<|end|>\n" and found[0].rejected_completion.text == "<|assistant|>\nc<|end|>\n"
+    # The repeated answer of 1 is part of the prompt that it shares with its rejected side.
+    assert found[1].n_common == 2 and found[1].rejected_completion.text == "<|assistant|>\nb<|end|>\n"
+    assert found[2].n_common == 1 and found[2].chosen_completion.text == found[2].rejected_completion.text == ""
+    assert found[40].n_common == 1 and found[40].rejected_completion.text == "" and len(found[40].chosen_completion.text) > 180_000
+    assert preferences.answer_pairs(preferences.turns_of(df.limit(0))).count() == 0
