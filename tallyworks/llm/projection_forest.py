@@ -122,8 +122,8 @@ def _salt(ids: np.ndarray, parts: np.ndarray) -> np.ndarray:
 
 
 def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best of each query, each id once."""
-    order = np.lexsort((ids, query))
+    """Places of the k best of each query, each id once, with the best of its rows."""
+    order = np.lexsort((-scores, ids, query))
     first = np.append(True, (query[order][1:] != query[order][:-1]) | (ids[order][1:] != ids[order][:-1]))[: len(order)]
     order = order[first]
     order = order[np.lexsort((ids[order], -scores[order], query[order]))]
@@ -135,10 +135,11 @@ def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.
 def _rank_block(queries: np.ndarray, names: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
     """The k best of a block for each query. Products of all pairs find those that can be among them; these are then summed alike."""
     step = max(1, (1 << 20) // max(len(ids), 1))
+    repeated = len(np.unique(ids)) < len(ids)  # the k best rows may then have fewer ids
     for at in range(0, len(names), step):
         rough = queries[at : at + step] @ vectors.T
         rough[names[at : at + step, None] == ids] = -np.inf
-        if rough.shape[1] > k:
+        if rough.shape[1] > k and not repeated:
             last = np.partition(rough, -k, axis=1)[:, -k][:, None]
             wanted = rough >= last - 1e-9 * (1 + np.abs(last))
         else:

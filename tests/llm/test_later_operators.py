@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyworks.llm import conversation_repair as repairs
-from tallyworks.llm import hashed_dedup, preferences, token_alignment
+from tallyworks.llm import hashed_dedup, preferences, projection_forest, token_alignment
 from tallyworks.llm.bpe import byte_letters, vocabulary
 from tallyworks.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, spark_rows, sql_rows
@@ -357,3 +357,39 @@ def test_edges_of_preferences(spark):
     assert found[2].n_common == 1 and found[2].chosen_completion.text == found[2].rejected_completion.text == ""
     assert found[40].n_common == 1 and found[40].rejected_completion.text == "" and len(found[40].chosen_completion.text) > 180_000
     assert preferences.answer_pairs(preferences.turns_of(df.limit(0))).count() == 0
+
+
+# Nearest neighbours
+
+
+def test_nearest_of_repeated_ids(spark):
+    """Of rows with one id the best counts, and the others take no places of other ids; extra columns and a single vector do no harm."""
+    rng = np.random.default_rng(3)
+    rows = [(0, [1.0, 0.0]), (1, [0.1, 0.0]), (1, [0.9, 0.0]), (2, [0.5, 0.0]), *((7, [0.8, 0.01 * i]) for i in range(60))]
+    rows += [(k, rng.normal(0, 0.05, 2).tolist()) for k in range(10, 40)]
+    df = spark.createDataFrame([(*row, "x", "y") for row in rows], "vec_id long, embedding array<double>, score string, id string")
+    found = projection_forest.nearest(df, df.filter("vec_id = 0"), 20).orderBy("rank").collect()
+    best = {}
+    for key, vector in rows[1:]:
+        best[key] = max(vector[0], best.get(key, -9.0))
+    expected = sorted(best.items(), key=lambda one: (-one[1], one[0]))[:20]
+    assert [(row.vec_id, row.score) for row in found] == expected
+    alone = df.filter("vec_id = 0")
+    assert projection_forest.nearest(alone, alone, 20).collect() == []
+
+
+def test_recall_of_the_registered_query(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    vectors = {row.vec_id: np.array(row.embedding, dtype=float) for row in rows if row.embedding is not None}
+    ids = np.array(sorted(vectors))
+    table = np.stack([vectors[k] for k in ids])
+    found = {}
+    for row in QUERIES["op5_projection_forest"](spark, folder).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = total = 0
+    for query in ids[ids % 20 == 0]:
+        scores = np.where(ids == query, -np.inf, table @ vectors[query])
+        nearest = set(ids[np.lexsort((ids, -scores))[:20]].tolist())
+        hits, total = hits + len(nearest & found.get(int(query), set())), total + len(nearest)
+    assert hits >= 0.9 * total
