@@ -261,9 +261,9 @@ def link_documents(
         return shingle_sets(batch.column("text"), words)[0]
 
     texts = documents.select("text")
-    bits = prints.table_bits(texts)
+    bits, ranges = prints.table_sizes(texts)
     found, n, n_distinct = prints.frequent(
-        texts, hashes_of, [(2, bits), (FREQUENT, bits - 2)], limit=SLICE, bounded=(False, True)
+        texts, hashes_of, [(2, bits), (FREQUENT, bits - 2)], ranges, limit=SLICE, bounded=(False, True)
     )
     # Sizes above the largest light one count as one, so that the driver gets a few numbers only.
     sizes = member.filter("first IS NOT NULL").select(F.least("n_shingles", F.lit(2 * LARGEST_LIGHT)).alias("n"))

@@ -397,13 +397,13 @@ def cut_repeats(
         F.col(key).cast("long").alias("doc_id"), text_key.alias("text_key"), F.col(text).alias("text")
     )
     texts, context = docs.select("text"), spark.sparkContext
-    bits = prints.table_bits(texts)
+    bits, ranges = prints.table_sizes(texts)
     # The tables that go to all tasks have a bounded number of bits.
     found, _, _ = prints.frequent(
-        texts, _document_anchors, [(2, bits), (hot, bits - 4)], limit=SLICE, bounded=(False, False)
+        texts, _document_anchors, [(2, bits), (hot, bits - 4)], ranges, limit=SLICE, bounded=(False, False)
     )
     first, heavy = map(context.broadcast, found)
-    found, _, _ = prints.frequent(texts, _document_digits(first), [(2, bits)], limit=SLICE, bounded=(False,))
+    found, _, _ = prints.frequent(texts, _document_digits(first), [(2, bits)], ranges, limit=SLICE, bounded=(False,))
     tables = (first, context.broadcast(found[0]), heavy)
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.mapInArrow(
@@ -416,7 +416,7 @@ def cut_repeats(
     places = places.union(_hot_places(grouped.filter(F.col("windows") == HOT_ROW).drop("windows")))
     unknown = places.filter("windows = 0")
     found, _, _ = prints.frequent(
-        unknown.select("anchor"), lambda batch: batch.column("anchor").to_numpy().view(np.uint64), [(1, bits - 2)], text=None, bounded=(False,)
+        unknown.select("anchor"), lambda batch: batch.column("anchor").to_numpy().view(np.uint64), [(1, bits - 2)], ranges, text=None, bounded=(False,)
     )
     tables = (*tables, context.broadcast(found[0]))
     rows = docs.select("doc_id", "text").mapInArrow(

@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -85,3 +87,25 @@ def crc(ids):
 
 def sha(data):
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def quality_statistics(text, stop_words):
+    """The statistics that the rules of the quality score look at."""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts = Counter(windows)
+    repeated = {i + k for i, one in enumerate(windows) if counts[one] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    letters, n, n_lines = sum(map(len, words)), max(len(words), 1), max(len(lines), 1)
+    return {
+        "words": float(len(words)),
+        "word_length": letters / n,
+        "symbols": len(re.findall("[#*$%&|<>]", text)) / n,
+        "stop_words": sum(word in stop_words for word in words) / n,
+        "repeated_lines": (len(lines) - len(set(lines))) / n_lines,
+        "repeated_words": len(repeated) / n,
+        "shouts": len(re.findall("[!?]", text)) / n,
+        "stops": text.count(".") / n,
+        "capitals": sum(unicodedata.category(c) == "Lu" for c in text) / max(letters, 1),
+        "line_words": len(words) / n_lines,
+    }

@@ -1,6 +1,8 @@
 """Every operator against a plain version, over a table of the test data and over a table of edge cases."""
 
+import math
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -15,9 +17,11 @@ from tallyworks.llm import (
     packing,
     pii,
     preferences,
+    prints,
     projection_forest,
     quality_rules,
     rule_ensemble,
+    statistics,
     suffix_dedup,
     token_files,
 )
@@ -67,7 +71,7 @@ def words():
 
 
 def test_every_dealt_query_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 14))
     assert "pipeline" in QUERIES
 
 
@@ -105,6 +109,70 @@ def test_rule_ensemble(spark, edges, nothing):
     assert not rule_ensemble.train(documents, labels.limit(0)).weighted
 
 
+def test_rules_equal_plain_ones(spark, docs, edges):
+    """The registered query against the rules of the same ensemble, applied to plainly counted statistics."""
+    read = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
+    ensemble = rule_ensemble.train(read("documents"), read("labels"))
+    assert ensemble.weighted and all(rule.bounds for rule, _ in ensemble.weighted)
+    forms = {form for word in statistics.stop_words() for form in (word, word.capitalize())}
+
+    def score(text):
+        found = brute.quality_statistics(text or "", forms)
+        assert set(found) == set(rule_ensemble.FEATURES)
+        held = (all((found[f] > t) == above for f, above, t in rule.bounds) for rule, _ in ensemble.weighted)
+        return 1 / (1 + math.exp(-ensemble.intercept - sum(w for (_, w), holds in zip(ensemble.weighted, held) if holds)))
+
+    rows = QUERIES["op1_rule_ensemble"](spark, FOLDER).collect()
+    assert sorted(row.doc_id for row in rows) == sorted(docs)
+    for row in rows:
+        assert row.score == pytest.approx(score(docs[row.doc_id]), abs=1e-12)
+        assert row.predicted == (row.score >= 0.5) and row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1)
+    # Columns of the input with the names of results and statistics are replaced, the others stay.
+    clashing = edges.withColumns({"words": F.lit("x"), "predicted": F.lit("x")})
+    rows = rule_ensemble.predict(clashing, ensemble).collect()
+    assert len(rows) == len(EDGES) + 3 and all(row.anchor == "x" and row.predicted in (0, 1) for row in rows)
+    for row in rows:
+        assert row.score == pytest.approx(score(dict(EDGES)[row.doc_id]), abs=1e-12)
+
+
+@pytest.mark.parametrize(("gathered", "ranges"), [(prints.GATHERED, 8), (50, 8), (50, 13)])
+def test_frequent_hashes(spark, monkeypatch, gathered, ranges):
+    """Hashes counted in few and in many ranges, sent in one and in many blocks, against plain counts."""
+    monkeypatch.setattr(prints, "GATHERED", gathered)
+    random = np.random.default_rng(3)
+    hashes = prints.mix(np.append(random.integers(0, 3000, 6000), np.full(3000, 7)).astype(np.uint64))
+    random.shuffle(hashes)
+    df = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h long").repartition(5)
+    take = lambda batch: batch.column("h").to_numpy().view(np.uint64)
+    (twice, often), n, n_distinct = prints.frequent(df, take, [(2, 24), (1000, 20)], ranges, text=None, bounded=(False, True))
+    values, counts = np.unique(hashes, return_counts=True)
+    assert (n, n_distinct) == (len(hashes), len(values))
+    for table, least, bits in ((twice, 2, 24), (often, 1000, 20)):
+        slots = set((values[counts >= least] >> np.uint64(64 - bits)).tolist())
+        assert int(np.unpackbits(np.frombuffer(table, dtype=np.uint8)).sum()) == len(slots)
+        assert prints.marked(table, values[counts >= least]).all()
+    empty = prints.frequent(df.limit(0), take, [(2, 20)], ranges, text=None)
+    assert empty == ([bytes(1 << 17)], 0, 0)
+
+
+def test_a_range_stays_small():
+    """The texts of a range have at most 2**GROUP_POWER bytes at any size, until the tables have no more bits to share."""
+
+    class Texts:
+        def __init__(self, power):
+            self.power = power
+
+        def agg(self, _):
+            return self
+
+        def first(self):
+            return [1 << self.power]
+
+    for power in range(10, 48):
+        bits, ranges = prints.table_sizes(Texts(power))
+        assert power - ranges <= prints.GROUP_POWER and bits - ranges >= 7 and bits <= prints.MOST_BITS
+
+
 def test_jaccard_join(spark, docs, edges, nothing):
     rows = QUERIES["op2_jaccard_join"](spark, FOLDER).collect()
     assert {row.doc_id: (row.n_shingles, row.component_id) for row in rows} == brute.linked(docs)
