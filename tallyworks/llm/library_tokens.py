@@ -7,6 +7,7 @@ a cut. The ids of a text are then those of its pieces in turn, which are the ids
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import repeat
@@ -181,6 +182,7 @@ def tokenize(
     schema = T.StructType([*kept, T.StructField(ids, T.BinaryType()), *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         tokens = words(path)
         ragged.give_back()
         for batch in ragged.slices(batches, text, SLICE):

@@ -41,13 +41,17 @@ _PIECES = [
 def lexical_keys(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """For each document the smallest hash of its rarest tokens; tokens that were merged later have higher ids and are rarer."""
     keys = np.zeros(len(lengths), dtype=np.int64)
-    ends = ragged.offsets(lengths).tolist()
     rows = np.flatnonzero(lengths)
     if len(rows):
-        rarest = [np.unique(ids[ends[row] : ends[row + 1]])[-KEY_TERMS:] for row in rows.tolist()]
-        term = np.concatenate(rarest).astype(np.uint64)
+        owner = np.repeat(np.arange(len(rows), dtype=np.uint64), lengths[rows])
+        pairs = np.sort(owner << np.uint64(32) | ids.astype(np.uint64))
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
+        owner = (pairs >> np.uint64(32)).astype(np.int64)
+        ends = np.cumsum(np.bincount(owner))
+        rarest = np.flatnonzero(ends[owner] - np.arange(len(pairs)) <= KEY_TERMS)
+        term, owner = pairs[rarest] & np.uint64(0xFFFFFFFF), owner[rarest]
         hashes = (term * np.uint64(0x9E3779B97F4A7C15) ^ (term << np.uint64(17))) * np.uint64(0xC4CEB9FE1A85EC53) >> np.uint64(1)
-        keys[rows] = np.minimum.reduceat(hashes, ragged.offsets(np.array([len(one) for one in rarest]))[:-1])
+        keys[rows] = np.minimum.reduceat(hashes, np.flatnonzero(np.append(True, owner[1:] != owner[:-1])))
     return keys
 
 
