@@ -10,10 +10,10 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
@@ -22,8 +22,8 @@ from tallyworks.llm import ragged
 
 JOINED = 200
 CACHED = 300_000
-#: Encoding holds some eighty times the bytes of a slice.
-SLICE = 1 << 20
+#: Encoding holds some forty times the bytes of a slice.
+SLICE = 2 << 20
 
 
 def _table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -58,7 +58,7 @@ class WordTokens:
 
     def forget(self) -> None:
         """Drops the words that are kept."""
-        self.known: dict[bytes, int] = {}
+        self.known = pa.array([], pa.large_binary())
         self.kept, self.kept_lengths = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
 
     def _letters(self, flat: np.ndarray) -> np.ndarray:
@@ -78,19 +78,23 @@ class WordTokens:
         plain = np.add.reduceat(self._letters(flat) & PLAIN[flat], bounds[:-1]) == sizes
         number = np.empty(len(words), dtype=np.int64)
         number[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(words))
-        ids, lengths = self._letter_words(words.filter(pa.array(plain)).to_pylist())
+        ids, lengths = self._letter_words(words.filter(pa.array(plain)))
         others = words.filter(pa.array(~plain)).cast(pa.large_string()).to_pylist()
         rest = [one.ids for one in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
         ids = np.concatenate([ids, np.array([i for one in rest for i in one], dtype=np.int64)])
         lengths = np.concatenate([lengths, np.array([len(one) for one in rest], dtype=np.int64)])
         return ragged.take(ids, ragged.offsets(lengths), number)
 
-    def _letter_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words of letters, flat, and their lengths. The first CACHED words that come up are kept for later slices."""
-        index = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(index < 0)
-        new = [words[at] for at in missing.tolist()]
-        joined = [b" ".join(new[at : at + JOINED]).decode() for at in range(0, len(new), JOINED)]
+    def _letter_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words of letters, flat, and their lengths. The first CACHED words that come up are kept for later slices."""
+        index = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        missing = index < 0
+        new = words.filter(pa.array(missing))
+        flat, bounds = ragged.text_bytes(new)
+        spaced = np.insert(flat, bounds[1:], 0x20).tobytes()
+        cuts = (bounds + np.arange(len(bounds))).tolist()
+        cuts = [*cuts[:-1:JOINED], cuts[-1]]
+        joined = [spaced[begin:end].decode() for begin, end in zip(cuts, cuts[1:])]
         found = [np.array(one.ids, dtype=np.int64) for one in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
         ids = np.concatenate([np.empty(0, dtype=np.int64), *found])
         lengths = np.diff(np.append(-1, np.flatnonzero(self.ends[ids])))
@@ -100,7 +104,7 @@ class WordTokens:
         result = ragged.take(np.concatenate([self.kept, ids]), ragged.offsets(np.concatenate([self.kept_lengths, lengths])), index)
         room = min(CACHED - len(self.known), len(new))
         if room > 0:
-            self.known.update(zip(new[:room], range(len(self.known), len(self.known) + room)))
+            self.known = pa.concat_arrays([self.known, new.slice(0, room)])
             self.kept = np.concatenate([self.kept, ids[: lengths[:room].sum()]])
             self.kept_lengths = np.concatenate([self.kept_lengths, lengths[:room]])
         return result
