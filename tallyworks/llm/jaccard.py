@@ -294,6 +294,8 @@ def link_documents(
         compared = pairs if compared is None else compared.union(pairs)
         links = stored(links.union(_linked(pairs, documents, words, threshold)).distinct(), "links")
         named = components(links, "a", "b").withColumnRenamed("node", "doc_id")
+        # One link for each document says as much as all that were found; later rounds go on from these.
+        links = named.filter("doc_id <> component").select(F.col("doc_id").alias("a"), F.col("component").alias("b"))
         now = lists.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         now = stored(now, "lists")
     # What is left: entries of one list in different components, each with each of the others.
