@@ -61,6 +61,12 @@ def _located(spark: SparkSession, place: str):
     return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def qualified(spark: SparkSession, place: str) -> str:
+    """A path with the scheme of the file system that Spark takes it for, for programs that would take it for a local one."""
+    path, system = _located(spark, place)
+    return system.makeQualified(path).toString()
+
+
 def remove_folder(spark: SparkSession, place: str) -> None:
     """Remove a folder or file; one that is gone already is no error."""
     path, system = _located(spark, place)
