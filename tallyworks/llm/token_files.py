@@ -14,13 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm import library_tokens, ragged
 from tallyworks.llm.bpe import vocabulary
-from tallyworks.session import work_folder
+from tallyworks.session import qualified, work_folder
 
 LENGTH = 2048
 BATCH_SEQUENCES = 256
@@ -39,7 +40,7 @@ class SequenceWriter:
     def __init__(self, sink, length: int, kind: np.dtype, batch: int = BATCH_SEQUENCES):
         self.length, self.kind, self.room = length, kind, length * batch
         self.schema = pa.schema(
-            [("tokens", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))],
+            [("tokens", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))],
             metadata={"length": str(length), "batch": str(batch)},
         )
         self.file = pa.ipc.new_file(sink, self.schema)
@@ -57,7 +58,7 @@ class SequenceWriter:
 
     def _write(self, ids: np.ndarray, n: int) -> None:
         """Writes whole sequences, of which the first n places hold ids."""
-        mask = np.arange(len(ids)) < n
+        mask = (np.arange(len(ids)) < n).view(np.uint8)
         for at in range(0, len(ids), self.room):
             parts = (ids[at : at + self.room].astype(self.kind), mask[at : at + self.room])
             columns = [pa.FixedSizeListArray.from_arrays(pa.array(part), self.length) for part in parts]
@@ -79,7 +80,8 @@ class SequenceReader:
     def __init__(self, path: str):
         system, place = _open(path)
         mapped = isinstance(system, fs.LocalFileSystem)
-        self.file = pa.ipc.open_file(pa.memory_map(place) if mapped else system.open_input_file(place))
+        self.source = pa.memory_map(place) if mapped else system.open_input_file(place)
+        self.file = pa.ipc.open_file(self.source)
         settings = self.file.schema.metadata
         self.length, self.batch = int(settings[b"length"]), int(settings[b"batch"])
         self.at, self.views = -1, None
@@ -87,9 +89,9 @@ class SequenceReader:
     def _views(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         if number != self.at:
             batch = self.file.get_batch(number)
-            # The ids are a view; the mask has one bit for each and is unpacked.
-            ids, mask = (batch.column(k).flatten() for k in (0, 1))
-            self.views = ids.to_numpy(zero_copy_only=True), mask.to_numpy(zero_copy_only=False)
+            ids, mask = (batch.column(k).flatten().to_numpy(zero_copy_only=True) for k in (0, 1))
+            # A mask value is a byte, which numpy takes as a truth value where it lies.
+            self.views = ids, mask.view(bool)
             self.at = number
         return self.views
 
@@ -111,18 +113,16 @@ class SequenceReader:
         return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0, np.int64), np.empty(0, bool))
 
 
-def _shard_of(key: Column, bounds: list) -> Column:
-    """The number of bounds below the key, by halving; null comes before all."""
-    if not bounds:
-        return F.lit(0)
+def _shard_of(key: Column, bounds: list[int]) -> Column:
+    """The number of sorted bounds below the key; null comes before all. Only the key goes to Python."""
+    places = np.array(bounds, dtype=np.int64)
 
-    def at(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(key > F.lit(bounds[mid]), at(mid + 1, high)).otherwise(at(low, mid))
+    @F.arrow_udf("int")
+    def found(keys: pa.Array) -> pa.Array:
+        known = pc.fill_null(keys, np.iinfo(np.int64).min).to_numpy()
+        return pa.array(np.searchsorted(places, known, side="left"), pa.int32())
 
-    return F.when(key.isNull(), 0).otherwise(at(0, len(bounds)))
+    return found(key.cast("long")) if bounds else F.lit(0)
 
 
 def deal(df: DataFrame, key: str, shards: int | None = None) -> DataFrame:
@@ -186,6 +186,8 @@ def write_sequences(df: DataFrame, folder: str, key: str, ids: str, kind: np.dty
         if writer:
             yield finish()
 
+    # Executors open the files without Spark, so the path has to name its file system.
+    folder = qualified(spark, folder)
     dealt = df.select("shard", F.col(key).cast("long").alias("key"), F.col(ids).alias("ids"))
     manifest = work_folder(spark, "token-manifest")
     dealt.mapInArrow(run, _MANIFEST).write.parquet(manifest)

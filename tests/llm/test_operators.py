@@ -219,11 +219,32 @@ def test_token_files(spark, docs, words, edges, nothing, tmp_path):
     assert [row.start for row in rows] == np.cumsum([0, *(row.n_tokens for row in rows)])[:-1].tolist()
     reader = token_files.SequenceReader(manifest.orderBy("shard").first().path + ".arrow")
     ids, mask = reader.sequence(0)
-    assert len(ids) == len(mask) == 16 and mask.any() and not ids.flags.owndata
+    assert len(ids) == len(mask) == 16 and mask.any()
+    reader.source.seek(0)
+    whole = reader.source.read_buffer()
+    for part in (ids, mask):
+        assert whole.address <= part.ctypes.data and part.ctypes.data + part.nbytes <= whole.address + whole.size
     tokens = library_tokens.tokenize(token_files.deal(nothing.select("doc_id", "text"), "doc_id", 3), path, 2)
     assert token_files.write_sequences(tokens, str(tmp_path / "b"), "doc_id", "ids", library_tokens.id_type(path)).count() == 0
 
 
+def test_token_files_of_odd_rows(spark, words, tmp_path):
+    """Null keys, a document longer than a batch of sequences, repeated rows, and columns with clashing names."""
+    path, long = bpe.vocabulary("word_bpe_49k.json"), "one two three " * 3000
+    rows = [(None, "left out of no file", 0, "a"), (5, long, 1, "b"), (5, long, 1, "b"), (2, "", 2, "c"), (2**60, "last", 3, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int, path string")
+    tokens = library_tokens.tokenize(token_files.deal(df, "doc_id", 4), path, 2)
+    manifest = token_files.write_sequences(tokens, str(tmp_path / "odd"), "doc_id", "ids", library_tokens.id_type(path), length=8)
+    found = [(row.key, row.n_tokens, row.ids_crc32) for row in token_files.read_documents(manifest).orderBy("start").collect()]
+    ids = {text: words.encode(text, add_special_tokens=False).ids + [2] for _, text, _, _ in rows}
+    want = [(rows[at][0], len(ids[rows[at][1]]), brute.crc(ids[rows[at][1]])) for at in (0, 3, 1, 2, 4)]
+    assert found == want and want[2][1] > 8 * token_files.BATCH_SEQUENCES
+    assert all(row.path.startswith("file:") for row in manifest.collect())
+    bounds, keys = [3, 3**20, 2**60], [None, 3, 4, 3**20, 2**60, 2**60 + 1]
+    frame = spark.createDataFrame([(key,) for key in keys], "k long")
+    assert [row[0] for row in frame.select(token_files._shard_of(frame.k, bounds)).collect()] == [0, 0, 1, 1, 2, 3]
+
+
 def test_projection_forest(spark):
     random = np.random.default_rng(3)
     vectors = random.standard_normal((400, 8)).astype(np.float32)
