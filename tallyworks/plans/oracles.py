@@ -275,6 +275,23 @@ ORACLES = {
                / CAST(COUNT(*) * (COUNT(*) - 1) AS DOUBLE) AS variance
         FROM ({_CENTS}) GROUP BY event_type
     """,
+    "stream_landed_profit": f"""
+        SELECT store_id, window_start, window_start + INTERVAL 20 SECONDS AS window_end,
+               CAST(SUM(profit) AS BIGINT) AS profit, COUNT(*) AS n
+        FROM (SELECT *, TIMESTAMP '2024-01-01' + INTERVAL 20 SECONDS * (event_id % 4 * 15 // 20) AS window_start FROM ({_SALES}))
+        GROUP BY store_id, window_start
+    """,
+    "missed_minutes": """
+        SELECT user_id AS customer_id, 44640 - COUNT(*) AS missed, GREATEST(MAX(gap), 44640 - MAX(minute)) AS longest_gap
+        FROM (SELECT user_id, minute, minute - LAG(minute, 1, 0) OVER (PARTITION BY user_id ORDER BY minute) - 1 AS gap
+              FROM (SELECT DISTINCT user_id, date_diff('minute', TIMESTAMP '2024-01-01', ts) + 1 AS minute FROM events)
+              WHERE minute BETWEEN 1 AND 44640)
+        GROUP BY user_id
+    """,
+    "exclude_long_list": """
+        SELECT o_orderkey, o_custkey FROM orders
+        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+    """,
     "store_pane_profit": _STORE_PANES,
     "store_window_profit": _STORE_WINDOWS,
     "stream_store_windows": _STORE_WINDOWS,

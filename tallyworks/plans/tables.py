@@ -14,9 +14,9 @@ from tallyworks.functions.values import units
 from tallyworks.operators import keyed, panes, rows, windows
 from tallyworks.operators.cogroup import cogroup
 from tallyworks.operators.own import Mean, Variance, aggregate_own
-from tallyworks.operators.periods import missed_periods
+from tallyworks.operators.periods import missed_in_series, missed_periods
 from tallyworks.plans import attendance, bank, game, store
-from tallyworks.session import work_folder
+from tallyworks.session import set_file_times, work_folder
 from tallyworks.sources import files, layouts, sinks, topics
 from tallyworks.streaming import control
 from tallyworks.streaming import panes as stream_panes
@@ -26,6 +26,9 @@ GAP_US = 6 * 3600 * 1_000_000
 WAVES = 2
 MESSAGE = T.StructType().add("value", "binary")
 DAYS = 31
+MINUTES = DAYS * 24 * 60
+# The first of the fixed times at which files are landed, and the seconds between two.
+LANDED_AT, LANDED_EVERY, LANDINGS = 1_704_067_200, 15, 4
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -134,6 +137,13 @@ def distinct_pairs(spark: SparkSession, folder: str) -> DataFrame:
 # --- co-group, exclusion, union, routing, order, words ---------------------------------------
 
 
+def exclude_long_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders without a returned item; the list has a third of all orders and grows with them."""
+    returned = table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return rows.exclude_long(orders, returned.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+
+
 def _list_texts(grouped: DataFrame, *names: str) -> DataFrame:
     others = [c for c in grouped.columns if c not in names]
     return grouped.select(*others, *[text.joined(F.col(n), ",").alias(n) for n in names])
@@ -264,6 +274,13 @@ def missed_period_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return missed_periods(_purchase_days(spark, folder), ["customer_id"], "day", DAYS)
 
 
+def missed_minutes(spark: SparkSession, folder: str) -> DataFrame:
+    """Minutes of a month without an event, per user."""
+    minute = F.expr("timestampdiff(MINUTE, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts) + 1")
+    events = table(spark, folder, "events").select(F.col("user_id").alias("customer_id"), minute.alias("minute"))
+    return missed_in_series(events, ["customer_id"], "minute", MINUTES)
+
+
 def missed_period_defaulters(spark: SparkSession, folder: str) -> DataFrame:
     return bank.missed_totals(_purchase_days(spark, folder), ["customer_id"], "day", DAYS, in_all=20, in_a_row=8)
 
@@ -372,6 +389,32 @@ def player_team_score(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------
 
 
+def stream_landed_profit(spark: SparkSession, folder: str) -> DataFrame:
+    """Profit per store and 20 seconds of arrival, which is the time of the files that another program lands."""
+    base = work_folder(spark, "landed")
+    sales = _sales(spark, folder).drop("ts")
+
+    def land(rows: DataFrame, k: int, at: int) -> None:
+        rows.write.parquet(f"{base}/topic/{k}")
+        set_file_times(spark, f"{base}/topic/{k}", at)
+
+    def take_in() -> None:
+        stream = topics.subscribe(spark, f"{base}/topic/*", sales.schema, arrival="landed_at")
+        windows = store.profit_window_stream(stream, "landed_at")
+        control.run_out(control.start_sink(windows, f"{base}/out", f"{base}/checkpoint"))
+
+    for k in range(LANDINGS):
+        land(sales.where(F.col("event_id") % LANDINGS == k), k, LANDED_AT + k * LANDED_EVERY)
+        if k % 2:
+            with control.setting(spark, control.BATCH_WITHOUT_INPUT, "false"):
+                take_in()
+    # A file of the next day closes all windows; its own stays open.
+    ahead = [F.lit({"store_location": store.CITIES[0]}.get(f.name)).cast(f.dataType).alias(f.name) for f in sales.schema]
+    land(spark.range(1).select(*ahead), LANDINGS, LANDED_AT + 86400)
+    take_in()
+    return _unzoned(spark.read.parquet(f"{base}/out"), "window_start", "window_end")
+
+
 def _zoned_events(spark: SparkSession, folder: str) -> DataFrame:
     """Watermarks need timestamps with a zone."""
     events = table(spark, folder, "events")

@@ -73,6 +73,14 @@ def remove_folder(spark: SparkSession, place: str) -> None:
     system.delete(path, True)
 
 
+def set_file_times(spark: SparkSession, folder: str, seconds: int) -> None:
+    """Give the files right inside a folder a modification time, in seconds since 1970."""
+    path, system = _located(spark, folder)
+    for status in system.listStatus(path):
+        if status.isFile():
+            system.setTimes(status.getPath(), seconds * 1000, -1)
+
+
 def write_note(spark: SparkSession, place: str, text: str) -> None:
     """Write a small file of text, in the place of one that is there."""
     path, system = _located(spark, place)

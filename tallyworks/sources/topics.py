@@ -22,13 +22,25 @@ def exact_glob(path: str) -> str:
 
 
 def subscribe(
-    spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet", files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    form: str = "parquet",
+    files_per_batch: int | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
-    """The files of a folder, and those that arrive later, as a stream."""
+    """The files of a folder, and those that arrive later, as a stream.
+
+    ``arrival`` names a column for the time at which the file of a row was written, so
+    that windows over arrival time need no stamp of the program that writes.
+    """
     reader = spark.readStream.schema(schema).format(form)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    stream = reader.load(path)
+    if arrival is None:
+        return stream
+    return stream.select("*", F.col("_metadata.file_modification_time").alias(arrival))
 
 
 def open_topic(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet") -> None:
