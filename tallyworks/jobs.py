@@ -10,6 +10,7 @@ which one of these is bad go to the folder of ``--rejects``.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -24,10 +25,16 @@ MESSAGE = T.StructType().add("seq", "long").add("arrived_at", "timestamp").add("
 
 
 def _scan(spark: SparkSession, args, layout: T.StructType, header: bool, option: str = "input") -> DataFrame:
-    """The rows of an input; its rejects go to a folder of their own below that of the rejects."""
-    found, rejects = files.scan_delimited(spark, getattr(args, option), layout, header)
+    """The rows of an input; its rejects go to a folder of their own below that of the rejects.
+
+    With rejects or several outputs the input is read once, and its counts are printed.
+    """
+    if not args.rejects and "output2" not in args:
+        return files.scan_delimited(spark, getattr(args, option), layout, header)[0]
+    found, rejects, counts = files.scan_delimited_once(spark, getattr(args, option), layout, header)
     if args.rejects:
         sinks.write_table(rejects, f"{args.rejects}/{option}", "json")
+    print(json.dumps({option: {name: n for name, n in counts.items() if n}}))
     return found
 
 
@@ -46,12 +53,10 @@ def top_defaulters(spark, args):
 
 
 def loan_defaulters(spark, args):
-    # Both outputs are made from one parsed copy.
-    loans = _scan(spark, args, layouts.LOAN, True).persist()
+    loans = _scan(spark, args, layouts.LOAN, True)
     _lines(bank.medical_loan_defaulters(loans), bank.loan_line(), args.output)
     personal = bank.personal_loan_defaulters(loans).withColumn("late_payments", bank.missed_payments())
     _lines(personal, bank.loan_line(), args.output2)
-    loans.unpersist()
 
 
 def both_defaulters(spark, args):
@@ -108,10 +113,9 @@ def replay_numbers(spark, args):
 
 
 def _run(query, args) -> None:
-    if args.seconds is None:
-        control.run_out(query)
-    else:
-        control.listen(query, args.seconds)
+    """Wait for the query and what runs beside it, and print what each took in; an error names the batch."""
+    for record in control.run_all([query, *args.beside], args.watch, args.seconds):
+        print(json.dumps({"batches": len(record.batches), "rows": record.rows}))
 
 
 def _topic_rows(spark, args, layout: T.StructType) -> DataFrame:
@@ -125,6 +129,8 @@ def _topic_rows(spark, args, layout: T.StructType) -> DataFrame:
         query = control.start_sink(rejects, f"{args.rejects}/input", f"{args.checkpoint}-rejects", continuous=args.every)
         if args.every is None:
             control.run_out(query)
+        else:
+            args.beside.append(query)
     return found
 
 
@@ -242,7 +248,12 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(arguments)
     session = spark or build_session(None, f"tallyworks {args.job}")
-    {**BATCH, **STREAM}[args.job](session, args)
+    if args.job in BATCH:
+        BATCH[args.job](session, args)
+        return
+    args.beside = []
+    with control.watching(session) as args.watch:
+        STREAM[args.job](session, args)
 
 
 if __name__ == "__main__":

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tallyworks.functions import text, values
 from tallyworks.operators.prefix import running_total
 from tallyworks.operators.skew import small_side
+from tallyworks.session import work_folder
 
 _READERS = {
     T.LongType: values.to_long,
@@ -36,6 +37,13 @@ def conform(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFrame]
     rows = raw.select(*others, *[typed(f.name, f.dataType) for f in layout.fields])
     for name in required:
         rows = rows.where(F.col(name).isNotNull())
+    line, bad_columns = _complaint(layout)
+    rejects = raw.select(*others, line.alias("line"), bad_columns.alias("bad_columns"))
+    return rows, rejects.where(F.size("bad_columns") > 0)
+
+
+def _complaint(layout: T.StructType) -> tuple[Column, Column]:
+    """The row as text, and the names of its bad columns."""
     flags = []
     for f in layout.fields:
         bad = typed(f.name, f.dataType).isNull()
@@ -43,8 +51,40 @@ def conform(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFrame]
             bad = bad & (F.length(text.strip(F.col(f.name))) > 0)
         flags.append(F.when(bad, F.lit(f.name)))
     whole = F.concat_ws(",", *[F.coalesce(F.col(n), F.lit("")) for n in layout.fieldNames()])
-    rejects = raw.select(*others, whole.alias("line"), F.array_compact(F.array(*flags)).alias("bad_columns"))
-    return rows, rejects.where(F.size("bad_columns") > 0)
+    return whole, F.array_compact(F.array(*flags))
+
+
+_LINE, _BAD, _KEPT = "__line", "__bad_columns", "__kept"
+
+
+def conform_once(raw: DataFrame, layout: T.StructType) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """The rows and rejects of ``conform`` from one pass over the input, and how many there are.
+
+    The pass writes both, tagged, to a table in the shared folder, from which any number of
+    results read the columns that they need; the counts are observed on the way. They
+    are ``read``, ``rows``, ``rejects``, and ``bad <column>`` for each column.
+    """
+    spark = raw.sparkSession
+    others = [c for c in raw.columns if c not in layout.fieldNames()]
+    line, bad_columns = _complaint(layout)
+    required = F.array(*[F.lit(f.name) for f in layout.fields if not f.nullable]).cast("array<string>")
+    tagged = raw.select(
+        *others,
+        *[typed(f.name, f.dataType) for f in layout.fields],
+        F.when(F.size(bad_columns) > 0, line).alias(_LINE),
+        bad_columns.alias(_BAD),
+        (~F.arrays_overlap(bad_columns, required)).alias(_KEPT),
+    )
+    counts = {"read": F.lit(True), "rows": F.col(_KEPT), "rejects": F.size(_BAD) > 0}
+    counts |= {f"bad {name}": F.array_contains(_BAD, name) for name in layout.fieldNames()}
+    seen = Observation()
+    place = work_folder(spark, "scanned")
+    observed = tagged.observe(seen, *[F.count_if(rule).alias(name) for name, rule in counts.items()])
+    observed.write.partitionBy(_KEPT).parquet(place)
+    written = spark.read.schema(observed.schema).parquet(place)
+    rows = written.where(F.col(_KEPT)).drop(_LINE, _BAD, _KEPT)
+    rejects = written.where(F.size(_BAD) > 0).select(*others, F.col(_LINE).alias("line"), F.col(_BAD).alias("bad_columns"))
+    return rows, rejects, dict(seen.get)
 
 
 def scan_delimited(
@@ -54,9 +94,20 @@ def scan_delimited(
 
     Fields have no quoting: every separator splits. Surplus fields are ignored.
     """
+    return conform(_fields(spark, path, layout, header, separator), layout)
+
+
+def scan_delimited_once(
+    spark: SparkSession, path: str, layout: T.StructType, header: bool = False, separator: str = ","
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """What ``scan_delimited`` gives, and the counts, with the files read and parsed once for all results."""
+    return conform_once(_fields(spark, path, layout, header, separator), layout)
+
+
+def _fields(spark: SparkSession, path: str, layout: T.StructType, header: bool, separator: str) -> DataFrame:
     as_text = T.StructType([T.StructField(n, T.StringType()) for n in layout.fieldNames()])
     reader = spark.read.schema(as_text).option("header", header).option("sep", separator).option("quote", "")
-    return conform(reader.csv(path), layout)
+    return reader.csv(path)
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:

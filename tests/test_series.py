@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyworks.operators import periods, rows
-from tallyworks.session import set_file_times
-from tallyworks.sources import topics
+from tallyworks.session import remove_folder, set_file_times
+from tallyworks.sources import files, layouts, topics
 from tallyworks.streaming import control
+from tests import fixtures
 
 
 def missed(seen, n):
@@ -98,3 +99,23 @@ def test_a_failing_query_is_reported_with_its_batch(spark, tmp_path):
             control.run_all([start("c", 100), start("d", 10)], watch)
     assert failure.value.batch == 1
     assert not spark.streams.active
+
+
+@pytest.mark.parametrize("layout, lines", [(layouts.CARD, fixtures.CARD_LINES), (layouts.LOAN, fixtures.loan_lines())])
+def test_rows_and_rejects_from_one_pass(spark, tmp_path, layout, lines):
+    """The same as two passes give, with counts, and without the input once it was read."""
+    path = fixtures.write(tmp_path, "in.csv", [*lines, "", ",,,"])
+    texts = lambda df: sorted(str(row) for row in df.collect())
+    want = [texts(df) for df in files.scan_delimited(spark, path, layout, header=True)]
+    rows_, rejects, counts = files.scan_delimited_once(spark, path, layout, header=True)
+    remove_folder(spark, path)
+    assert [texts(rows_), texts(rejects)] == want
+    assert (counts["rows"], counts["rejects"]) == tuple(map(len, want)) and counts["read"] >= counts["rows"]
+    bad = [name for row in rejects.collect() for name in row["bad_columns"]]
+    assert {name: counts[f"bad {name}"] for name in set(bad)} == {name: bad.count(name) for name in set(bad)}
+
+
+def test_one_pass_over_nothing(spark, tmp_path):
+    path = fixtures.write(tmp_path, "in.csv", ["head"])
+    rows_, rejects, counts = files.scan_delimited_once(spark, path, layouts.CARD, header=True)
+    assert rows_.count() == rejects.count() == 0 and set(counts.values()) == {0}
