@@ -1,5 +1,6 @@
 """Every operator against a plain version, over a table of the test data and over a table of edge cases."""
 
+import itertools
 import math
 import re
 import zlib
@@ -445,6 +446,28 @@ def test_pipeline_near_duplicates(spark):
     assert sorted(row.doc_id for row in kept.collect()) == sorted(first)
 
 
+def test_messages_against_exact_marginals():
+    """On a graph without a cycle, chain and skip edges alike, message passing gives what all labellings add up to."""
+    text = "a1 b2  gamma1234 x3  gamma1234 y4  name@example.com z5"
+    base = pii.base_spans(text)
+    words = pii.words_of(text, base)
+    assert words.chain.tolist() == [[0, 1], [2, 3], [4, 5], [6, 7]] and words.skips.tolist() == [[2, 4]]
+    random = np.random.default_rng(5)
+    shapes = ((pii.FORM_SIZE, pii.LABELS), (pii.LABELS, pii.LABELS), (pii.LABELS, pii.LABELS))
+    field = pii.Field(*(random.normal(size=shape) for shape in shapes))
+    scores = words.forms @ field.form
+    exact = np.zeros((len(words.seen), pii.LABELS))
+    free = [range(pii.LABELS) if seen <= 0 else [seen] for seen in words.seen.tolist()]
+    for labels in itertools.product(*free):
+        labels = np.array(labels)
+        total = scores[np.arange(len(labels)), labels].sum()
+        total += field.chain[labels[words.chain[:, 0]], labels[words.chain[:, 1]]].sum()
+        total += field.skip[labels[words.skips[:, 0]], labels[words.skips[:, 1]]].sum()
+        exact[np.arange(len(labels)), labels] += np.exp(total)
+    assert (words.seen > 0).sum() == 1
+    assert np.allclose(field.posterior(words), exact / exact.sum(axis=1, keepdims=True), atol=1e-6)
+
+
 def test_mask_of_overlapping_entities(spark):
     """No character of an entity stays, also where a later one begins within it and goes on beyond it."""
     table = {
