@@ -69,7 +69,8 @@ def corpus_statistics(df: DataFrame, ids: str, kind: np.dtype, size: int) -> tup
             for row in range(len(lengths)):
                 term = found[ends[row] : ends[row + 1]]
                 there[term] = True
-                held += there
+                term = np.flatnonzero(there)
+                held[term] += 1
                 there[term] = False
             docs, tokens = docs + len(lengths), tokens + len(found)
         token = np.append(np.flatnonzero(held), [-1, -2])

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: The most bytes that go to a Python worker in one Arrow batch. Spark's own limit counts rows only.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _local_root: str | None = None
 
 
@@ -103,6 +106,15 @@ def read_note(spark: SparkSession, place: str) -> str | None:
         stream.close()
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """From now on rows go to Python workers in Arrow batches of about so many bytes, unless the session names a limit.
+
+    Otherwise the JVM and the worker hold ten thousand texts at once, whatever their length.
+    """
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(size))
+
+
 def computed(df: DataFrame) -> DataFrame:
     """The rows of a DataFrame, computed once and kept in the shared folder."""
     shared_folder(df.sparkSession)

@@ -6,8 +6,10 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -350,6 +352,52 @@ def test_tokens_equal_the_library(name):
         at += n
 
 
+class Counted:
+    """A tokenizer that counts the words that it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.words += sum(len(text.split()) for text in texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_words_are_kept_over_tasks(spark, monkeypatch, words):
+    """A word goes to the library once for a worker, and not again in its next task; ids stay those of the library."""
+    class Table:
+        sparkSession = spark
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    path = bpe.vocabulary("word_bpe_49k.json")
+    tokens = library_tokens.WordTokens(path)
+    tokens.tokenizer = Counted(tokens.tokenizer)
+    monkeypatch.setattr(library_tokens, "words", lambda path: tokens)
+    texts = ["the quick brown fox", "the Quick élan", "élan " + "y" * 100]
+    batch = pa.record_batch([pa.array([1, 2, 3]), pa.array(texts)], ["doc_id", "text"])
+    run, counts = library_tokens.tokenize(Table(), path, 2), []
+    for _ in range(2):
+        (out,) = run(iter([batch]))
+        for text, data in zip(texts, out.column("ids").to_pylist()):
+            assert np.frombuffer(data, tokens.kind).tolist() == words.encode(text, add_special_tokens=False).ids + [2]
+        counts.append(tokens.tokenizer.words)
+    assert counts == [6, 7]  # a word of more than 64 bytes is not kept
+
+
+def test_kept_words_of_one_hash(monkeypatch, words):
+    """Words with one hash, of the same and of other lengths, are told apart by their bytes."""
+    monkeypatch.setattr(library_tokens, "_PRINT", np.zeros_like(library_tokens._PRINT))
+    tokens = library_tokens.WordTokens(bpe.vocabulary("word_bpe_49k.json"))
+    texts = ["alpha gamma", "delta beta alpha", "gamma délta Alpha"]
+    for _ in range(3):
+        ids, lengths = tokens.encode(pa.array(texts))
+        assert ids.tolist() == [i for text in texts for i in words.encode(text, add_special_tokens=False).ids]
+    assert len(tokens.prints) == 1
+
+
 def test_personal_data(spark, docs, edges, nothing):
     random = np.random.default_rng(5)
     for _ in range(5000):
