@@ -45,7 +45,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts the kind in the place of personal data."""
-    return _with_text(pii.mask(pii.find_entities(docs, pii.train(docs))), "text")
+    return _with_text(pii.find_and_mask(docs, pii.train(docs)), "text")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import prints, ragged
 from tallyworks.llm.components import components, stored
+from tallyworks.session import small_batches
 
 THRESHOLD = 85
 WORDS = 4
 FREQUENT = 32
 LARGEST_LIGHT = 26
-SLICE = 2 << 20
+SLICE = 1 << 20
 ROUNDS = 3
 SKETCH_BITS = 256
 SKETCH = [f"sketch{k}" for k in range(SKETCH_BITS // 64)]
@@ -251,6 +252,7 @@ def link_documents(
     Other columns are dropped, so that their names cannot clash. An empty table gives no rows.
     """
     spark = df.sparkSession
+    small_batches(spark)
     sets = stored(set_prints(df, key, text, words), "set-prints")
     codes = ["n_shingles", "code1", "code2"]
     classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*codes).agg(F.min("doc_id").alias("first"))

@@ -31,12 +31,13 @@ from pyspark.sql import types as T
 
 from tallyworks.llm import prints, ragged
 from tallyworks.llm.components import stored
+from tallyworks.session import small_batches
 
 WINDOW = 50
 DIGIT = 25
 SIDE = WINDOW - DIGIT
 STEPS = SIDE + 1
-SLICE = 2 << 20
+SLICE = 1 << 20
 BLOCK = 1 << 18
 NEXT = SIDE // 2 + 1
 HOT = 20_000
@@ -390,6 +391,7 @@ def cut_repeats(
     An empty table gives no rows. With characters, a character is cut only if all its bytes are, and what is left is text.
     """
     spark = df.sparkSession
+    small_batches(spark)
     added = ("n_bytes", "n_removed", "n_spans", kept)
     base = df.drop(*(name for name in added if name != text))
     text_key = F.shiftrightunsigned(F.xxhash64(F.col(text)), 33)

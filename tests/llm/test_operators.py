@@ -477,6 +477,26 @@ def test_pipeline_of_odd_rows(spark):
     assert packed.filter("start = 0").count() == len(rows) and corpus_pipeline.packed(spark, df.limit(0), FOLDER).count() == 0
 
 
+def test_stages_take_small_batches(spark):
+    """Long texts go to the workers in batches of bounded bytes, and masking needs one worker for a task."""
+    rows = [(k, f"{k} " + "plain words of a long text " * 800, "en", "web", 0) for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], ["n"])
+
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, df.limit(20), FOLDER)
+        assert max(row.n for row in df.mapInArrow(sizes, "n long").collect()) < 6 << 20, name
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "12345")
+    masked = corpus_pipeline.personal_data(spark, df.limit(20), FOLDER)
+    assert masked._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "12345"
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
 def test_pipeline_near_duplicates(spark):
     """The stage takes shingles of five words and 80 percent; some copies here link only so."""
     texts = []
