@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from tallyworks.session import work_folder
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder, written once."""
+def stored(df: DataFrame, label: str, rows_a_file: int = 0) -> DataFrame:
+    """The rows as a table in the shared folder, written once; with a number, files have no more rows, so that tasks can share them."""
     place = work_folder(df.sparkSession, label)
-    df.write.parquet(place)
+    df.write.option("maxRecordsPerFile", rows_a_file).parquet(place)
     return df.sparkSession.read.parquet(place)
 
 

@@ -1,6 +1,7 @@
 """Token alignment, conversation repair and hashed deduplication against plain versions."""
 
 import hashlib
+import heapq
 import itertools
 import random
 from bisect import bisect_left
@@ -393,3 +394,89 @@ def test_recall_of_the_registered_query(spark):
         nearest = set(ids[np.lexsort((ids, -scores))[:20]].tolist())
         hits, total = hits + len(nearest & found.get(int(query), set())), total + len(nearest)
     assert hits >= 0.9 * total
+
+
+def plain_search(forest, query, visits):
+    """The leaves that leave one queue over all trees first."""
+    margins = forest.directions @ np.append(query, 0.0) - forest.bounds
+    queue, found = [(0.0, tree, 0) for tree in range(forest.trees)], set()
+    while queue and len(found) < visits:
+        missed, tree, node = heapq.heappop(queue)
+        while node < forest.leaves - 1:
+            near = 2 * node + 1 + (margins[tree, node] > 0)
+            heapq.heappush(queue, (max(missed, abs(margins[tree, node])), tree, 4 * node + 3 - near))
+            node = near
+        found.add(node - (forest.leaves - 1) + tree * forest.leaves)
+    return found
+
+
+@pytest.mark.parametrize("depth, visits", [(0, 2), (1, 3), (4, 1), (4, 13), (6, 100), (6, 256)])
+def test_leaves_seen_leave_one_queue(depth, visits):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(600, 6))
+    forest = projection_forest.Forest(points, 4, depth, (points**2).sum(axis=1).max())
+    seen = forest.search(points[:60], visits)
+    assert [set(np.flatnonzero(row)) for row in seen] == [plain_search(forest, query, visits) for query in points[:60]]
+
+
+@pytest.mark.parametrize("k, longest, kind", [(5, 1.0, "f4"), (20, 1e4, "f8"), (3, 1e120, "f8")])
+def test_ranking_of_rows_that_stream_past(k, longest, kind):
+    """Only leaves that a query sees count, ids come once with their best row, ties go to the smaller id; one query sees few rows."""
+    rng = np.random.default_rng(4)
+    rows, asked = (rng.normal(size=(n, 7)).astype(kind) for n in (5000, 300))
+    rows[100:2000:3] = rows[100]
+    rows[7] *= longest / np.linalg.norm(rows[7])
+    ids = rng.integers(0, 4000, len(rows))
+    leaves = rng.integers(0, 40, (len(rows), 2)) + np.array([0, 40])
+    seen = rng.random((len(asked), 80)) < 0.3
+    seen[0] = False
+    seen[0, leaves[4990, 0]] = True
+    length = float(np.linalg.norm(rows, axis=1).max())
+    ranking = projection_forest.Ranking(np.arange(len(asked)), asked, np.packbits(seen, axis=1, bitorder="little"), k, length)
+    for at in range(0, len(rows), 1700):
+        some = slice(at, at + 1700)
+        ranking.meet(ids[some], rows[some], (rows[some] / length).astype(np.float32), leaves[some].astype(np.uint8))
+    found = {}
+    for query, vec, score in zip(*ranking.best(), strict=True):
+        found.setdefault(int(query), []).append((int(vec), float(score)))
+    for query in range(len(asked)):
+        best = {}
+        for row in np.flatnonzero(seen[query][leaves].any(axis=1) & (ids != query)):
+            score = float((asked[query].astype(float) * rows[row]).sum())
+            best[int(ids[row])] = max(score, best.get(int(ids[row]), -np.inf))
+        assert found.get(query, []) == sorted(best.items(), key=lambda one: (-one[1], one[0]))[:k]
+
+
+def test_nearest_copies_no_vector_for_each_leaf(spark):
+    """With all leaves seen the rows are those of brute force, and what is shuffled stays near the size of the result."""
+    rng = np.random.default_rng(6)
+    table = rng.normal(size=(1500, 8)).astype(np.float32)
+    table[200:260] = table[200]
+    df = spark.createDataFrame([(int(key), vector.tolist()) for key, vector in enumerate(table)], "vec_id long, embedding array<float>")
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(at).length() for at in range(files.size()) if files.apply(at).getName().startswith("shuffle"))
+
+    before = shuffled()
+    found = projection_forest.nearest(df, df, 5, leaf_rows=8, block=64, visited=1.0).collect()
+    assert shuffled() - before < 10 * len(found) * 24
+    exact = table.astype(np.float64)
+    expected = []
+    for query in range(len(table)):
+        scores = (exact[query] * exact).sum(axis=1)
+        scores[query] = -np.inf
+        order = np.lexsort((np.arange(len(table)), -scores))[:5]
+        expected += [(query, rank, int(vec), scores[vec]) for rank, vec in enumerate(order, 1)]
+    assert sorted(tuple(row) for row in found) == expected
+
+
+def test_packs_are_bounded():
+    """A pack has at most so many rows and bytes, or one row, and no row is lost."""
+    batches = [pa.record_batch([pa.array(np.arange(n)), pa.array([[float(n)] * 10] * n, pa.list_(pa.float64()))], ["id", "v"]) for n in (1, 700, 40)]
+    for rows, size, most in ((100, 1 << 20, 100), (1000, 52 * 90, 90), (1000, 1, 1)):
+        pack = projection_forest._packs(lambda vectors: np.zeros((len(vectors), 4), np.uint8), "f4", rows, size, 64)
+        packs = [row for batch in pack(iter(batches)) for row in batch.to_pylist()]
+        assert max(row["n"] for row in packs) == most and sum(row["n"] for row in packs) == 741
+        assert [len(row["vectors"]) for row in packs] == [40 * row["n"] for row in packs]
+        assert b"".join(row["ids"] for row in packs) == b"".join(np.arange(n).tobytes() for n in (1, 700, 40))
